@@ -156,9 +156,13 @@ def joined(spans: Column) -> Column:
     return F.concat_ws(",", F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))))
 
 
+def count_of(spans: Column, kind: str) -> Column:
+    return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
     spans = F.col("spans")
-    counts = [F.size(F.filter(spans, lambda s, k=kind: s["kind"] == k)).cast("long").alias(f"n_{kind}") for kind in BASE_KINDS]
+    counts = [count_of(spans, kind).alias(f"n_{kind}") for kind in BASE_KINDS]
     base = F.filter(spans, lambda s: s["kind"].isin(*BASE_KINDS))
     return found.select("doc_id", *counts, F.sha2(joined(base), 256).alias("base_sha256"), joined(spans).alias("spans"))

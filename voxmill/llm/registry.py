@@ -6,17 +6,24 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, host_rules, pareto_mix
+from . import byte_bpe, exact_dedup, host_rules, ngram_join, pareto_mix, pii, rule_ensemble, warc, wavelet
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {
+    "op1_quality_rule_ensemble": rule_ensemble.query,
     "op2_host_quality_rules": host_rules.query,
     "op3_exact_dedup": exact_dedup.query,
+    "op4_wavelet_shards": wavelet.query,
+    "op6_pii_anchors": pii.query,
+    "op7_warc_normaliser": warc.query,
     "op8_pareto_mix": pareto_mix.query,
+    "op9_byte_bpe": byte_bpe.query,
+    "op10_ngram_tree_join": ngram_join.query,
 }
 ORACLE_SQL: dict[str, str] = {
     "op2_host_quality_rules": host_rules.SQL,
     "op3_exact_dedup": exact_dedup.SQL,
+    "op7_warc_normaliser": warc.SQL,
     "op8_pareto_mix": pareto_mix.SQL,
 }
