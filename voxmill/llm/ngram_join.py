@@ -420,3 +420,13 @@ def joined(docs: DataFrame) -> DataFrame:
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+def keep_one(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """``docs`` with one document of each component, the one with the smallest id.
+
+    Rows without an id are in no component and stay; rows that repeat the id of the one that
+    stays stay with it.
+    """
+    found = scratch.save(joined(docs.select("doc_id", "text")).filter("component_id <> doc_id").select("doc_id").distinct(), "near_copies")
+    return joins.keyed_filter(docs, found, ["doc_id"], "left_anti").select(*docs.columns)

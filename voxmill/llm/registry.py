@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, exact_dedup, host_rules, ngram_join, pareto_mix, pii, rule_ensemble, warc, wavelet
+from . import byte_bpe, exact_dedup, host_rules, ngram_join, pareto_mix, pii, rule_ensemble, substring_dedup, warc, wavelet
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,6 +15,7 @@ QUERIES: dict[str, Query] = {
     "op2_host_quality_rules": host_rules.query,
     "op3_exact_dedup": exact_dedup.query,
     "op4_wavelet_shards": wavelet.query,
+    "op5_substring_dedup": substring_dedup.query,
     "op6_pii_anchors": pii.query,
     "op7_warc_normaliser": warc.query,
     "op8_pareto_mix": pareto_mix.query,

@@ -27,11 +27,23 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def save(df: DataFrame, name: str, by: tuple[str, ...] = ()) -> DataFrame:
-    """Write ``df`` as a table in the shared folder and return what reads it."""
-    path = new_folder(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+#: Lets Spark delete a write's shuffle files once the table is there.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def save(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as a table in the shared folder and return what reads it.
+
+    The shuffle files of the write are deleted with its end: nothing reads them any more.
+    """
+    spark = df.sparkSession
+    path, before = new_folder(spark, name), spark.conf.get(CLEANUP)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def drop(df: DataFrame) -> None:
