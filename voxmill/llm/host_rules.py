@@ -18,9 +18,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import joins, scratch
-from .words import SPACE_CHARS, count_chars, words_of
+from .words import SPACE_CHARS, words_of
 
 SYMBOLS = "#*$%&|<>"
+#: Lower bits of a sorted window that hold its place; longer texts sort whole hashes at once.
+PLACE_BITS = 24
 METRICS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 #: Limits of the intra-class correlation that the moments give; 1/r - 1 is the prior's strength.
 MIN_CORRELATION, MAX_CORRELATION = 1e-4, 0.99
@@ -32,31 +34,38 @@ def repeated_line_count(text: Column) -> Column:
     return (F.size(lines) - F.size(F.array_distinct(lines))).cast("long")
 
 
-def repeated_word_count(words: Column, n: int = 3) -> Column:
-    """Words inside ``n``-word windows that the text has twice or more.
+def with_repeated_words(df: DataFrame, words: str, out: str) -> DataFrame:
+    """``df`` with the words inside 3-word windows that the text has twice or more.
 
-    The windows' hashes are sorted with their places, so equal windows become neighbours; the
-    places of those with an equal neighbour, in order, then say how many words they cover.
-    No expression here holds the word array inside a lambda, so nothing is computed anew for
-    each element.
+    A window is known by a 64-bit hash of its words' hashes. The hashes' upper bits, each with its
+    place in the lower ones, are sorted as plain numbers; only windows that agree with a
+    neighbour there are sorted again with their whole hash. What is left are the places of
+    repeated windows, and a pass over them in order adds up the words they cover. Each array is
+    a column that several expressions use, so that no plan computes one inside a lambda.
     """
-    hashes = F.transform(words, lambda w: F.xxhash64(w))
-    window = hashes
-    for k in range(1, n):
-        tail = F.slice(hashes, k + 1, F.greatest(F.size(words) - k, F.lit(0)))
-        window = F.zip_with(window, tail, lambda a, b: F.when(b.isNotNull(), F.xxhash64(a, b)))
-    placed = F.array_sort(F.filter(F.transform(window, lambda h, i: F.struct(h.alias("h"), i.alias("i"))), lambda x: x["h"].isNotNull()))
-
-    def tail_of(a: Column) -> Column:
-        return F.slice(a, 2, F.greatest(F.size(a) - 1, F.lit(0)))
-
-    same_next = F.zip_with(placed, tail_of(placed), lambda x, y: F.struct(x["i"].alias("i"), F.coalesce(x["h"] == y["h"], F.lit(False)).alias("e")))
-    nothing = F.struct(F.lit(-1).alias("i"), F.lit(False).alias("e"))
-    either = F.zip_with(same_next, F.concat(F.array(nothing), same_next), lambda x, y: F.when(x["e"] | y["e"], x["i"]))
-    places = F.array_sort(F.filter(either, lambda i: i.isNotNull()))
-    start = F.struct(F.lit(0).alias("covered"), F.lit(-n).alias("end"))
-    covered = F.aggregate(places, start, lambda a, i: F.struct((a["covered"] + F.lit(n) - F.greatest(a["end"] - i, F.lit(0))).alias("covered"), (i + F.lit(n)).alias("end")), lambda a: a["covered"])
-    return covered.cast("long")
+    low = (1 << PLACE_BITS) - 1
+    df = df.withColumn("_h", F.transform(words, lambda w: F.xxhash64(w)))
+    windows = F.transform("_h", lambda h, i: F.xxhash64(h, F.get("_h", i + 1), F.get("_h", i + 2)))
+    df = df.withColumn("_g", F.slice(windows, 1, F.greatest(F.size("_h") - 2, F.lit(0))))
+    df = df.withColumn("_k", F.sort_array(F.transform("_g", lambda g, i: g.bitwiseAND(F.lit(~low)).bitwiseOR(i.cast("long")))))
+
+    def upper(x: Column) -> Column:
+        return F.shiftright(x, PLACE_BITS)
+
+    near = F.filter("_k", lambda k, i: F.coalesce(upper(k) == upper(F.get("_k", i + 1)), F.lit(False)) | F.coalesce(upper(k) == upper(F.get("_k", i - 1)), F.lit(False)))
+    some = F.transform(near, lambda k: k.bitwiseAND(F.lit(low)).cast("int"))
+    places = F.when(F.size("_g") <= low, some).otherwise(F.sequence(F.lit(0), F.size("_g") - 1))
+    df = df.withColumn("_c", F.when(F.size("_g") > 1, places).otherwise(F.array().cast("array<int>")))
+    df = df.withColumn("_e", F.sort_array(F.transform("_c", lambda i: F.struct(F.get("_g", i).alias("h"), i.alias("i")))))
+    twice = F.filter("_e", lambda e, i: F.coalesce(e["h"] == F.get("_e", i + 1)["h"], F.lit(False)) | F.coalesce(e["h"] == F.get("_e", i - 1)["h"], F.lit(False)))
+    start = F.struct(F.lit(0).alias("covered"), F.lit(-3).alias("end"))
+    covered = F.aggregate(
+        F.sort_array(F.transform(twice, lambda e: e["i"])),
+        start,
+        lambda a, i: F.struct((a["covered"] + 3 - F.greatest(a["end"] - i, F.lit(0))).alias("covered"), (i + 3).alias("end")),
+        lambda a: a["covered"],
+    )
+    return df.withColumn(out, covered.cast("long")).drop("_h", "_g", "_k", "_c", "_e")
 
 
 def measure(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -67,11 +76,11 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
     held = held.withColumn("_w", words_of(F.col("_t")))
     held = held.withColumns({
         "n_words": F.size("_w").cast("long"),
-        "word_chars": F.length(F.translate("_t", SPACE_CHARS, "")).cast("long"),
-        "n_symbols": count_chars(F.col("_t"), SYMBOLS),
+        "word_chars": F.length(F.array_join("_w", "")).cast("long"),
+        "n_symbols": F.length(F.regexp_replace("_t", f"[^{SYMBOLS}]+", "")).cast("long"),
         "n_dup_lines": repeated_line_count(F.col("_t")),
-        "n_repeat_words": repeated_word_count(F.col("_w")),
     })
+    held = with_repeated_words(held, "_w", "n_repeat_words")
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     return held.withColumn("base_failed", failed).filter("_fence >= 0").drop("_t", "_w", "_fence")
 
@@ -79,21 +88,21 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
 def judge_hosts(measured: DataFrame, host: str = "source", max_rate: float = 0.5) -> DataFrame:
     """One row per host: ``host_docs``, ``host_failed``, ``host_rate`` (shrunk), ``host_kept``.
 
-    The prior comes from the moments of the hosts' rates, weighted by their documents; its four
-    sums are a single row, which is what is broadcast.
+    The prior comes from the moments of the hosts' rates, weighted by their documents; only its
+    two numbers come to the driver.
     """
     hosts = measured.filter(F.col(host).isNotNull()).groupBy(F.col(host)).agg(F.count("*").alias("host_docs"), F.sum(F.col("base_failed").cast("long")).alias("host_failed"))
     d, f = F.col("host_docs"), F.col("host_failed")
     sums = hosts.agg(F.count("*").alias("k"), F.sum(d).alias("n"), F.sum(f).alias("f"), F.sum((f * f) / d).alias("ff"), F.sum((d * d).cast("double")).alias("nn"))
-    mean = F.col("f") / F.col("n")
+    mean = F.try_divide(F.col("f"), F.col("n"))
     noise = mean * (1 - mean)
     spread = F.col("ff") - F.col("f") * mean
-    free = F.col("n") - F.col("nn") / F.col("n") - (F.col("k") - 1)
+    free = F.col("n") - F.try_divide(F.col("nn"), F.col("n")) - (F.col("k") - 1)
     raw = F.when((noise > 0) & (free > 0), (spread / noise - (F.col("k") - 1)) / free).otherwise(F.lit(0.0))
     kept = F.greatest(F.lit(MIN_CORRELATION), F.least(F.lit(MAX_CORRELATION), raw))
-    prior = sums.select(mean.alias("prior_mean"), (1 / kept - 1).alias("prior_size"))
-    rate = F.round((f + F.col("prior_mean") * F.col("prior_size")) / (d + F.col("prior_size")), 6)
-    judged = hosts.crossJoin(F.broadcast(prior)).withColumn("host_rate", rate)  # one row on the right
+    prior = sums.select(F.coalesce(mean, F.lit(0.0)).alias("mean"), (1 / kept - 1).alias("size")).first()  # two numbers
+    rate = F.round((f + F.lit(prior["mean"]) * F.lit(prior["size"])) / (d + F.lit(prior["size"])), 6)
+    judged = hosts.withColumn("host_rate", rate)
     return judged.select(host, "host_docs", "host_failed", "host_rate", (F.col("host_rate") <= max_rate).alias("host_kept"))
 
 
