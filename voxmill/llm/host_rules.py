@@ -71,9 +71,7 @@ def with_repeated_words(df: DataFrame, words: str, out: str) -> DataFrame:
 def measure(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with METRICS and ``base_failed``; all native expressions over the whole text."""
     held = docs.drop(*METRICS, "base_failed", "_t", "_w", "_fence")
-    # the fence is not deterministic, so no later filter is moved below it and computed twice
-    held = held.withColumns({"_t": F.coalesce(F.col(text), F.lit("")), "_fence": F.monotonically_increasing_id()})
-    held = held.withColumn("_w", words_of(F.col("_t")))
+    held = held.withColumn("_t", F.coalesce(F.col(text), F.lit(""))).withColumn("_w", words_of(F.col("_t")))
     held = held.withColumns({
         "n_words": F.size("_w").cast("long"),
         "word_chars": F.length(F.array_join("_w", "")).cast("long"),
@@ -82,7 +80,9 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
     })
     held = with_repeated_words(held, "_w", "n_repeat_words")
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    return held.withColumn("base_failed", failed).filter("_fence >= 0").drop("_t", "_w", "_fence")
+    # the fence is not deterministic, so no later filter is moved below it and computed there anew
+    held = held.withColumns({"base_failed": failed, "_fence": F.monotonically_increasing_id()})
+    return held.filter("_fence >= 0").drop("_t", "_w", "_fence")
 
 
 def judge_hosts(measured: DataFrame, host: str = "source", max_rate: float = 0.5) -> DataFrame:
