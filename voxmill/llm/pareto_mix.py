@@ -41,7 +41,8 @@ def targets(sizes: DataFrame, share: float = 1.5, max_repeat: float = 2.0) -> Da
     """One row per source: ``s``, ``n``, ``source_size``, ``target``.
 
     Works on the table of sources, one aggregated row each. Filling up by weight stops for
-    the sources with the least room per weight first, so one ordered pass finds the level.
+    the sources with the least room per weight first, so one ordered pass finds the level: it is
+    the largest that its own source has room for.
     """
     by_source = sizes.groupBy("s").agg(F.count("*").alias("n"), F.sum("size").alias("source_size"))
     order = Window.orderBy("s")
@@ -56,7 +57,7 @@ def targets(sizes: DataFrame, share: float = 1.5, max_repeat: float = 2.0) -> Da
         "total": F.sum("source_size").over(all_rows),
     })
     fill = fill.withColumn("level", (share * F.col("total") - max_repeat * F.col("full")) / F.col("open"))
-    fill = fill.withColumn("level", F.min(F.when(F.col("level") <= F.col("room"), F.col("level"))).over(all_rows))
+    fill = fill.withColumn("level", F.max(F.when(F.col("level") <= F.col("room"), F.col("level"))).over(all_rows))
     cap = max_repeat * F.col("source_size")
     return fill.select("s", "n", "source_size", F.least(cap, F.coalesce(F.col("level") * F.col("w"), cap)).cast("double").alias("target"))
 
@@ -127,7 +128,7 @@ r AS (SELECT *, 2.0::DOUBLE * ss / w AS room FROM w),
 f AS (SELECT *, coalesce(sum(ss) OVER (ORDER BY room, k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS ful,
              sum(w) OVER (ORDER BY room, k ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS op, sum(ss) OVER () AS total FROM r),
 l AS (SELECT *, (1.5::DOUBLE * total - 2.0::DOUBLE * ful) / op AS lv FROM f),
-t AS (SELECT *, least(2.0::DOUBLE * ss, coalesce((min(lv) FILTER (lv <= room) OVER ()) * w, 2.0::DOUBLE * ss)) AS target FROM l),
+t AS (SELECT *, least(2.0::DOUBLE * ss, coalesce((max(lv) FILTER (lv <= room) OVER ()) * w, 2.0::DOUBLE * ss)) AS target FROM l),
 p AS (SELECT *, CASE WHEN ss > 0 THEN target / ss ELSE 0 END AS ratio FROM t),
 q AS (SELECT d.doc_id, size, ss, target, floor(ratio) AS whole, ratio - floor(ratio) AS p, target - floor(ratio) * ss AS rest, k,
              (u / (1 - u)) / nullif((ratio - floor(ratio)) / (1 - (ratio - floor(ratio))), 0) AS rank
