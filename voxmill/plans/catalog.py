@@ -1,6 +1,8 @@
-"""The library's own queries by name, with their SQL."""
+"""The library's own queries by name, with the SQL of those that SQL can express."""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+from . import records, sequences, speech, texts
+
+QUERIES = speech.QUERIES | records.QUERIES | texts.QUERIES | sequences.QUERIES
+ORACLE_SQL = speech.SQL | records.SQL | texts.SQL | sequences.SQL
