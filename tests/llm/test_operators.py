@@ -1,0 +1,413 @@
+"""Each operator on small cases: nulls, empty and long texts, ties, repeated rows, empty tables."""
+
+import hashlib
+import random
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from voxmill.llm import (
+    byte_bpe,
+    components,
+    exact_dedup,
+    host_rules,
+    joins,
+    ngram_join,
+    pareto_mix,
+    pii,
+    rule_ensemble,
+    shingles,
+    substring_dedup,
+    warc,
+    wavelet,
+)
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def docs_of(spark, rows):
+    """rows: (doc_id, text) or (doc_id, text, source)."""
+    full = [(r[0], r[1], "en", r[2] if len(r) > 2 else "s", len(r[1] or "")) for r in rows]
+    return spark.createDataFrame(full, SCHEMA)
+
+
+def words(n, seed=0, vocabulary=5000):
+    rng = random.Random(seed)
+    return [f"w{rng.randrange(vocabulary)}" for _ in range(n)]
+
+
+HARD = [(1, None), (2, ""), (3, " \t\n"), (4, "a"), (4, "a"), (5, "x " * 20000), (None, "no id"), (6, "é ü\x85 b")]
+
+
+@pytest.fixture(scope="module")
+def hard(spark):
+    return docs_of(spark, HARD)
+
+
+@pytest.fixture(scope="module")
+def empty(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+# 2: host rules
+
+
+def brute_metrics(text):
+    text = text or ""
+    ws = [w for w in __import__("re").split(r"[\x20\x09-\x0D]+", text) if w]
+    lines = [x for x in text.split("\n") if any(c not in " \t\n\x0b\x0c\r" for c in x)]
+    grams = {}
+    for i in range(len(ws) - 2):
+        grams.setdefault(tuple(ws[i : i + 3]), []).append(i)
+    covered = {i + k for at in grams.values() if len(at) > 1 for i in at for k in range(3)}
+    return len(ws), sum(map(len, ws)), sum(c in "#*$%&|<>" for c in text), len(lines) - len(set(lines)), len(covered)
+
+
+def test_metrics_equal_brute_force(spark, hard):
+    rng = random.Random(1)
+    made = [(k, " ".join(rng.choice("ab cd#x | \n ef".split(" ")) for _ in range(rng.randrange(60)))) for k in range(100, 200)]
+    got = host_rules.measure(hard.unionByName(docs_of(spark, made))).collect()
+    for r in got:
+        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == brute_metrics(r.text)
+
+
+def test_bad_host_loses_its_good_documents(spark, empty):
+    good, bad = " ".join(words(80)), "too short"
+    rows = [(k, good if k % 10 else bad, "fine") for k in range(200)] + [(1000 + k, good if k == 0 else bad, "junk") for k in range(200)] + [(5000, good, None)]
+    docs = docs_of(spark, rows)
+    kept = {r.doc_id for r in host_rules.keep_good(spark, docs).collect()}
+    assert kept == {k for k in range(200) if k % 10} | {5000}
+    assert host_rules.keep_good(spark, empty).columns == docs.columns
+    assert host_rules.keep_good(spark, empty).count() == 0
+
+
+# 3: exact dedup
+
+
+def test_exact_dedup(spark, hard, empty):
+    got = {(r.doc_id, r.keep_id, r.group_size, r.kept) for r in exact_dedup.verdicts(hard).collect()}
+    assert (1, 1, 2, True) in got and (2, 1, 2, False) in got and (3, 3, 1, True) in got
+    assert sorted(k for d, _, _, k in [(r.doc_id, 0, 0, r.kept) for r in exact_dedup.verdicts(hard).collect()] if d == 4) == [False, True]
+    assert exact_dedup.verdicts(empty).count() == 0
+    left = exact_dedup.keep_first(spark, hard)
+    assert left.columns == hard.columns
+    assert sorted(r.doc_id or 0 for r in left.collect()) == [0, 1, 3, 4, 5, 6]
+
+
+def test_hash_collisions_are_told_apart(spark):
+    docs = docs_of(spark, [(k, f"text {k % 5}") for k in range(40)])
+    weak = exact_dedup.verdicts(docs, lambda t: F.unhex(F.substring(F.md5(F.length(t).cast("string")), 1, 2)))
+    assert {(r.doc_id, r.keep_id) for r in weak.collect()} == {(k, k % 5) for k in range(40)}
+
+
+# 8: mixing
+
+
+def test_targets_by_filling_up(spark):
+    sizes = {"a": 100, "b": 1000, "c": 1000, "d": 50, None: 500}
+    docs = docs_of(spark, [(k, "w " * n, s) for k, (s, n) in enumerate(sizes.items())])
+    plan = {(None if r.s.none else r.s.name): r.target for r in pareto_mix.targets(pareto_mix.sized(docs)).collect()}
+    names = ["a", "b", "c", "d", None]
+    weight = dict(zip(names, [5, 2, 1, 5, 2], strict=True))
+    left, active, want = 1.5 * sum(sizes.values()), set(names), {}
+    while True:
+        total = sum(weight[s] for s in active)
+        full = [s for s in active if left * weight[s] / total > 2 * sizes[s]]
+        if not full:
+            want |= {s: left * weight[s] / total for s in active}
+            break
+        for s in full:
+            want[s] = 2.0 * sizes[s]
+            left -= want[s]
+            active.discard(s)
+    assert plan == pytest.approx(want)
+
+
+def test_mix_meets_targets(spark, hard, empty):
+    rows = [(k, " ".join(words(10 + k % 50, k)), f"s{k % 4}") for k in range(2000)]
+    docs = docs_of(spark, rows)
+    sizes = pareto_mix.sized(docs)
+    got = pareto_mix.allocate(sizes, pareto_mix.targets(sizes)).toPandas()
+    by = got.assign(name=got.s.map(lambda s: s["name"])).groupby("name").agg(taken=("taken", "sum"), target=("target", "first"))
+    assert (abs(by.taken - by.target) <= 30).all()
+    assert (got.taken <= 2 * got["size"]).all()
+    twice = pareto_mix.repeat_rows(spark, docs)
+    assert twice.count() == int(got.copies.sum()) and twice.columns == docs.columns
+    assert pareto_mix.repeat_rows(spark, hard).columns == hard.columns
+    assert pareto_mix.repeat_rows(spark, hard).filter("doc_id in (1, 2, 3)").count() == 3
+    assert pareto_mix.repeat_rows(spark, empty).count() == 0
+
+
+# 4: wavelet files
+
+
+class Memory(__import__("io").BytesIO):
+    def size(self):
+        return len(self.getvalue())
+
+
+@pytest.mark.parametrize("n", [0, 1, 9, 70_000])
+def test_wavelet_file(n):
+    ids = np.minimum(np.random.default_rng(n).zipf(1.4, n), 49_000).astype(np.uint32)
+    file = wavelet.WaveletFile(Memory(wavelet.build(ids, [(1, n)])))
+    assert (file.all_ids() == ids).all()
+    rng = random.Random(n)
+    for _ in range(50 if n else 0):
+        i, v = rng.randrange(n), int(ids[rng.randrange(n)])
+        places = np.flatnonzero(ids == v)
+        k = rng.randrange(len(places))
+        assert (file.access(i), file.rank(v, i), file.count(v), file.select(v, k)) == (ids[i], (ids[:i] == v).sum(), len(places), places[k])
+    assert file.count(65_000) == 0 and file.select(65_000, 0) == -1
+
+
+def test_wavelet_shards_round_trip(spark, hard, empty, tmp_path):
+    docs = hard.unionByName(docs_of(spark, [(100 + k, " ".join(words(30, k))) for k in range(50)]))
+    manifest = wavelet.write_shards(docs, f"file://{tmp_path}/w", shard_ids=500)
+    got = wavelet.read_shards(manifest).orderBy("start").collect()
+    tok, at = wavelet.word_ids(wavelet.VOCABULARY).tokenizer, 0
+    assert [r.doc_id for r in got] == sorted((r.doc_id for r in docs.collect()), key=lambda d: (d is not None, d))
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    for r in got:
+        want = np.array([*tok.encode(texts[r.doc_id] or "", add_special_tokens=False).ids, 1], dtype="<u4").tobytes()
+        assert (r.start, r.n_tokens, bytes(r.ids)) == (at, len(want) // 4, want)
+        at += r.n_tokens
+    assert wavelet.read_shards(wavelet.write_shards(empty, f"file://{tmp_path}/e")).count() == 0
+
+
+# 9: byte-level BPE
+
+
+def test_bpe_equals_tiktoken(spark, hard, empty):
+    import public_tokenizers
+    import tiktoken
+
+    own = byte_bpe.codec(byte_bpe.VOCABULARY)
+    other = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=own.ranks, special_tokens={})
+    rng = random.Random(2)
+    alphabets = ["ab", "abcdefgh ", "aé日本 \n", "  \n\t", "0123456789", "😀á ", "\x00\x01"]
+    texts = ["".join(rng.choice(a) for _ in range(rng.randrange(80))) for a in alphabets for _ in range(60)] + ["a" * 5000, "ab" * 3000]
+    for text in texts:
+        ids = own.encode(text)
+        assert np.frombuffer(ids, dtype="<u4").tolist() == other.encode_ordinary(text)
+        assert own.decode(ids) == text.encode()
+    got = {r.doc_id: r for r in byte_bpe.digests(hard).collect()}
+    assert got[1].n_tokens == got[2].n_tokens == 0 and got[1].decoded_sha256 == hashlib.sha256(b"").hexdigest()
+    assert got[5].decoded_sha256 == hashlib.sha256(b"x " * 20000).hexdigest()
+    assert byte_bpe.digests(empty).count() == 0
+
+
+# 6: personal data
+
+
+def brute_spans(text):
+    import re
+
+    patterns = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
+    found = {}
+    for kind, pattern in patterns.items():
+        spans = []
+        for m in re.finditer(pattern, text):
+            digits = re.sub("[^0-9]", "", m[0])
+            good = {"email": True, "ip": kind == "ip" and all(int(p) <= 255 for p in m[0].split(".")), "card": 16 <= len(digits) <= 19 and pii.luhn(digits), "phone": 8 <= len(digits) <= 15}[kind]
+            if good:
+                spans.append(m.span())
+        found[kind] = spans
+    return found
+
+
+def test_pii_base_equals_patterns(hard, empty):
+    rng = random.Random(3)
+    for _ in range(4000):
+        a = rng.choice(["12.", "1234567890 -.", "a@b.-", "a@.+1 ()-", "+12 ()5-.3", "0123456789 -"])
+        text = "".join(rng.choice(a) for _ in range(rng.randrange(60)))
+        found = pii.Spans(text).found
+        assert {k: found[k] for k in pii.BASE_KINDS} == brute_spans(text)
+    rows = pii.Spans('mail a.b@c.org, see https://x.org/a?b=1. token = "04db99bab91" SSN: 123-45-6789').rows()
+    assert [r[0] for r in rows] == ["email", "url", "account", "account"]
+    assert pii.Spans("the account of a tokenised secret garden and nothing more").rows() == []
+    assert pii.find(hard.select("doc_id", "text")).count() == len(HARD)
+    assert pii.find(empty).count() == 0
+
+
+# 7: WARC
+
+
+def test_warc_round_trip(spark, tmp_path):
+    big = "<p>" + "x" * 1500
+    rows = [(1, "http://a", big), (2, "http://b", big), (3, None, "small"), (4, "http://d\r\nX: y", "small"), (5, "u", None), (6, "u", "é" * 3_000_000), (2, "http://b", big), (None, "n", big)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    archives = warc.write_archives(warc.with_keeper(pages), f"file://{tmp_path}/a", archive_bytes=2000)
+    got = {(r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in warc.read_archives(warc.normalise(archives, f"file://{tmp_path}/b")).collect()}
+    want = set()
+    for page_id, _, html in rows:
+        raw = (html or "").encode()
+        revisit = len(raw) >= 1000 and html == big and page_id != 2
+        want.add((page_id, len(raw), hashlib.sha1(raw).hexdigest(), "revisit" if revisit else "response", 2 if revisit else None))
+    assert got == want
+    for path in (tmp_path / "b").glob("*.warc.gz"):  # each member alone is one record
+        data = path.read_bytes()
+        for line in path.with_name(path.name.replace(".warc.gz", ".idx")).read_text().splitlines():
+            place = __import__("json").loads(line)
+            assert zlib.decompress(data[place["offset"] : place["offset"] + place["length"]], 31).startswith(b"WARC/1.1")
+    none = spark.createDataFrame([], pages.schema)
+    assert warc.read_archives(warc.normalise(warc.write_archives(warc.with_keeper(none), f"file://{tmp_path}/c"), f"file://{tmp_path}/d")).count() == 0
+
+
+# 10: n-gram join
+
+
+def brute_components(rows):
+    sets = []
+    for _, text in rows:
+        ws = (text or "").encode().lower().split()
+        sets.append({tuple(ws[i : i + 5]) for i in range(len(ws) - 4)} if len(ws) >= 5 else ({tuple(ws)} if ws else set()))
+    forest = ngram_join.Forest(len(rows))
+    for a in range(len(rows)):
+        for b in range(a):
+            both = len(sets[a] & sets[b])
+            if sets[a] and sets[b] and 100 * both >= 80 * len(sets[a] | sets[b]):
+                forest.join(a, b)
+    roots = {}
+    for k, (doc_id, _) in enumerate(rows):
+        roots.setdefault(forest.root(k), []).append(doc_id)
+    return {d: min(ids) for ids in roots.values() for d in ids}, {rows[k][0]: len(s) for k, s in enumerate(sets)}
+
+
+def near_rows(seed):
+    rng = random.Random(seed)
+    rows = []
+    for base in range(12):
+        text = words(rng.choice([3, 5, 8, 30, 120]), base + 100 * seed, 300)
+        for _ in range(rng.randrange(1, 9)):
+            own = list(text)
+            for _ in range(rng.randrange(3)):
+                own[rng.randrange(len(own))] = f"z{rng.randrange(1000)}"
+            rows.append((len(rows), " ".join(own)))
+    passage = words(40, 999)
+    rows += [(len(rows) + k, " ".join(words(60, 5000 + k) + passage)) for k in range(10)]
+    rows += [(900, None), (901, ""), (902, "A b C"), (903, "a B c"), (904, "same " * 300)]
+    return rows
+
+
+def test_ngram_join_equals_brute_force(spark, empty):
+    rows = near_rows(1)
+    want, sizes = brute_components(rows)
+    got = ngram_join.joined(docs_of(spark, rows)).collect()
+    assert {r.doc_id: r.component_id for r in got} == want
+    assert {r.doc_id: r.n_shingles for r in got} == sizes
+    assert ngram_join.joined(empty).count() == 0
+
+
+def test_tree_and_forest_equal_brute_force():
+    rng = random.Random(4)
+    for turn in range(60):
+        sets, blocks = [], []
+        for block in range(rng.randrange(1, 4)):
+            base = [rng.getrandbits(64) for _ in range(rng.randrange(1, 50))]
+            for _ in range(rng.randrange(1, 10)):
+                own = set(base)
+                for _ in range(rng.randrange(1 + len(base) // 6)):
+                    own.discard(rng.choice(base))
+                    own.add(rng.getrandbits(64))
+                sets.append(np.array(sorted(own), dtype=np.uint64))
+                blocks.append(block)
+        n = len(sets)
+        sides = [0] * n if turn % 2 else [rng.choice([1, 2]) for _ in range(n)]
+        forests = ngram_join.Forest(n), ngram_join.Forest(n)
+        for a in range(n):
+            for b in range(a):
+                both = len(np.intersect1d(sets[a], sets[b]))
+                if blocks[a] == blocks[b] and (sides[a] == 0 or sides[a] != sides[b]) and 100 * both >= 80 * (len(sets[a]) + len(sets[b]) - both):
+                    forests[0].join(a, b)
+        for a, b in ngram_join.tree_links(np.array(blocks), sets, np.array(sides)):
+            forests[1].join(a, b)
+        assert [forests[0].root(k) for k in range(n)] == [forests[1].root(k) for k in range(n)]
+
+
+def test_keep_one(spark, hard):
+    text = " ".join(words(100))
+    docs = docs_of(spark, [(7, text), (3, text + " more"), (9, "other words here"), (None, text)])
+    assert sorted(r.doc_id or 0 for r in ngram_join.keep_one(spark, docs).collect()) == [0, 3, 9]
+    assert ngram_join.keep_one(spark, hard).columns == hard.columns
+
+
+def test_components(spark):
+    rng = random.Random(5)
+    edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(200)] + [(k, k + 1) for k in range(400, 440)] + [(500, 500 + k) for k in range(50)]
+    forest = ngram_join.Forest(600)
+    for a, b in edges:
+        forest.join(a, b)
+    got = {r.node: r.root for r in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {k: forest.root(k) for k in range(600) if forest.root(k) != k}
+
+
+# 5: substring dedup
+
+
+def test_substring_dedup_equals_brute_force(spark, empty):
+    rng = random.Random(6)
+    passage, rows = words(60, 1), []
+    for k in range(60):
+        own = words(rng.choice([5, 19, 20, 21, 90]), 10 + k)
+        if k % 3 == 0:
+            at = rng.randrange(len(own))
+            own[at:at] = passage[rng.randrange(20) :]
+        rows.append((rng.randrange(10**6), " ".join(own)))
+    rows += [(2_000_000, rows[0][1]), (2_000_001, rows[5][1]), (2_000_002, "x " * 70), (2_000_003, None), (2_000_004, "")]
+    seen, want = set(), {}
+    for doc_id, text in sorted(rows):
+        ws = (text or "").encode().split()
+        gone = [False] * len(ws)
+        for k in range(len(ws) - 19):
+            window = tuple(ws[k : k + 20])
+            if window in seen:
+                gone[k : k + 20] = [True] * 20
+            seen.add(window)
+        want[doc_id] = (len(ws), sum(gone), b" ".join(w for w, g in zip(ws, gone, strict=True) if not g))
+    got = {r.doc_id: (r.n_words, r.n_removed, bytes(r.kept)) for r in substring_dedup.without_repeats(docs_of(spark, rows)).collect()}
+    assert got == want
+    assert substring_dedup.without_repeats(empty).count() == 0
+
+
+def test_substring_dedup_of_hard_rows(spark, hard):
+    got = {r.doc_id: (r.n_words, r.n_removed) for r in substring_dedup.without_repeats(hard).collect()}
+    assert got[1] == got[2] == (0, 0) and got[5] == (20000, 19999)
+
+
+# 1: rule ensemble
+
+
+def test_rule_ensemble(spark, hard, empty):
+    rng = random.Random(7)
+    rows = []
+    for k in range(400):
+        bad = k % 4 == 0
+        rows.append((k, " ".join((w.upper() + "!!") if bad else w for w in words(20 + rng.randrange(80), k))))
+    docs = rule_ensemble.with_statistics(docs_of(spark, rows).select("doc_id", "text"))
+    train = docs.filter("doc_id % 5 <> 0").withColumn("label", (F.col("doc_id") % 4 != 0).cast("int"))
+    model = rule_ensemble.fit(train.select("doc_id", "label", *rule_ensemble.STATISTICS))
+    assert model.rules
+    held = docs.filter("doc_id % 5 = 0").select("doc_id", model.score().alias("score")).collect()
+    assert all((r.score >= 0.7) == (r.doc_id % 4 != 0) for r in held)
+    scores = rule_ensemble.with_statistics(hard.select("doc_id", "text")).select(model.score().alias("s")).collect()
+    assert all(0 <= r.s <= 1 for r in scores)
+    assert rule_ensemble.fit(train.filter("false").select("doc_id", "label", *rule_ensemble.STATISTICS)).rules == ()
+
+
+# shared parts
+
+
+def test_weighted_join_with_a_hot_key(spark):
+    left = spark.range(5000).withColumn("k", F.when(F.col("id") < 3000, 0).otherwise(F.col("id")))
+    right = left.groupBy("k").agg(F.count("*").alias("n")).filter("k % 2 = 0").withColumn("v", F.col("k") + 1)
+    got = joins.weighted_join(left, right, ["k"], "n")
+    assert got.count() == 5000 and got.filter("v is not null").count() == 3000 + 1000
+
+
+def test_shingle_sets():
+    assert len(shingles.shingle_set(None)) == 0
+    assert (shingles.shingle_set("A b") == shingles.shingle_set("a\tB")).all()
+    assert len(shingles.shingle_set("a b c d e f")) == 2
+    assert shingles.shingle_set("É b")[0] != shingles.shingle_set("é b")[0]  # only A-Z change case
