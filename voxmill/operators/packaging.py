@@ -63,7 +63,7 @@ class Dataset:
         """Metadata of committed batches; what a broken-off batch left has no manifest."""
         rows = self.spark.read.option("header", True).csv(self.part("metadata"))
         done = self.manifest().select("batch").distinct()
-        return rows.join(F.broadcast(done), "batch", "left_semi")
+        return rows.join(done, "batch", "left_semi")
 
     def append(self, rows: DataFrame, missing: DataFrame | None = None) -> dict[str, int]:
         """Package what is not packaged yet; rows in ``missing`` (id) wait for their media."""
