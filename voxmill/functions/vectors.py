@@ -43,3 +43,22 @@ def frame_energies(x: Column, frame: int, hop: int) -> Column:
 
 def rms(x: Column) -> Column:
     return F.sqrt(dot(x, x) / F.size(x))
+
+
+def level_ratio(part: Column, whole: Column) -> Column:
+    """The level of a stem against the level of all, as a gate before a costly separation."""
+    return rms(part) / (rms(whole) + F.lit(1e-9))
+
+
+def needs_separation(ratio: Column, mode: str = "auto", threshold: float = 0.10) -> Column:
+    """Always, never, or where the stem reaches the threshold; an unknown ratio counts as music."""
+    if mode != "auto":
+        return F.lit(mode == "true")
+    return F.coalesce(ratio >= threshold, F.lit(True))
+
+
+def windowed_mean(x: Column, size: int) -> Column:
+    """The mean of each whole window's mean; a shorter signal is padded with zeros to one window."""
+    n = F.greatest(F.floor(F.size(x) / size), F.lit(1)).cast("int")
+    sums = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.aggregate(F.slice(x, i * size + 1, size), F.lit(0.0), lambda s, v: s + v.cast("double")) / size)
+    return F.aggregate(sums, F.lit(0.0), lambda s, v: s + v, lambda s: s / n)
