@@ -11,25 +11,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from . import joins, scratch
+from . import scratch
 
 
 def _linked(df: DataFrame) -> DataFrame:
-    """Edges as (hi, lo), each once, without loops."""
-    return df.select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")).filter("hi <> lo").distinct()
+    """Edges as (hi, lo) without loops."""
+    return df.select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")).filter("hi <> lo")
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
-    both = edges.select(F.col("hi").alias("u"), F.col("lo").alias("v")).unionByName(edges.select(F.col("lo").alias("u"), F.col("hi").alias("v")))
-    least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"), F.count("*").alias("n"))
-    met = joins.weighted_join(both, least, ["u"], "n", "inner")
-    return met.filter("v > u").select(F.col("v").alias("a"), F.col("m").alias("b"))
+    both = edges.select(F.explode(F.array(F.struct(F.col("hi").alias("u"), F.col("lo").alias("v")), F.struct(F.col("lo").alias("u"), F.col("hi").alias("v")))).alias("e")).select("e.*")
+    least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+    # least has one row per node, so adaptive execution can split a node with very many edges
+    return both.join(least, "u").filter("v > u").select(F.col("v").alias("a"), F.col("m").alias("b"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
-    least = edges.groupBy("hi").agg(F.min("lo").alias("m"), F.count("*").alias("n"))
-    met = joins.weighted_join(edges, least, ["hi"], "n", "inner")
-    lower = met.select(F.col("lo").alias("a"), F.col("m").alias("b"))
+    least = edges.groupBy("hi").agg(F.min("lo").alias("m"))
+    lower = edges.join(least, "hi").select(F.col("lo").alias("a"), F.col("m").alias("b"))
     return lower.unionByName(least.select(F.col("hi").alias("a"), F.col("m").alias("b")))
 
 
@@ -38,7 +37,7 @@ def components(edges: DataFrame) -> DataFrame:
 
     ``edges`` has the columns a and b, of one orderable type.
     """
-    held = scratch.save(_linked(edges), "edges")
+    held = scratch.save(_linked(edges).distinct(), "edges")
 
     def state(df: DataFrame) -> tuple:
         return tuple(df.agg(F.count("*"), F.sum(F.xxhash64("hi", "lo").cast("decimal(38,0)"))).first())
@@ -46,7 +45,7 @@ def components(edges: DataFrame) -> DataFrame:
     before = state(held)
     while before[0]:
         large = scratch.save(_linked(_large_star(held)), "edges")
-        after_both = scratch.save(_linked(_small_star(large)), "edges")
+        after_both = scratch.save(_linked(_small_star(large)).distinct(), "edges")
         now = state(after_both)
         scratch.drop(large)
         scratch.drop(held)
