@@ -396,6 +396,7 @@ def links(docs: DataFrame, blocks: DataFrame) -> DataFrame:
 
 def joined(docs: DataFrame) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id."""
+    scratch.bound_batches(docs.sparkSession)
     sets, table = sets_of(docs)
     classes = scratch.save(classes_of(sets), "classes")
     copies = scratch.save(sets.join(classes.filter("rows > 1"), "digest").filter("doc_id <> rep").select("doc_id").distinct(), "copies")

@@ -21,6 +21,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from . import scratch
+
 #: The base kinds in their order, then those that the method adds.
 BASE_KINDS = ("email", "ip", "card", "phone")
 KINDS = (*BASE_KINDS, "url", "account")
@@ -143,6 +145,8 @@ def find(docs: DataFrame, text: str = "text") -> DataFrame:
     names = [n for n in docs.columns if n not in (text, "spans")]
     schema = T.StructType([*[docs.schema[n] for n in names], T.StructField("spans", SPAN)])
 
+    scratch.bound_batches(docs.sparkSession)
+
     def run(batches):
         for batch in batches:
             spans = [[dict(zip(("kind", "start", "end"), row, strict=True)) for row in Spans(t.as_py() or "").rows()] for t in batch.column(text)]

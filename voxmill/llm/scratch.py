@@ -27,6 +27,18 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+#: Bytes of a batch that Spark hands to Python. Spark's own 64 MB fill each executor with
+#: buffers that are never given back.
+BATCH_BYTES = 4 << 20
+BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Have the session hand texts to Python in batches of BATCH_BYTES or its own smaller size."""
+    if int(spark.conf.get(BATCH_CONF).rstrip("b")) > BATCH_BYTES:
+        spark.conf.set(BATCH_CONF, f"{BATCH_BYTES}b")
+
+
 #: Lets Spark delete a write's shuffle files once the table is there.
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 

@@ -147,12 +147,11 @@ def with_digests(docs: DataFrame, paths: DataFrame) -> DataFrame:
     def run(batches):
         schema = pa.schema([("src", pa.int64()), ("src_start", pa.int32()), ("n", pa.int32()), ("rows", pa.int64()), ("digest", pa.binary())])
         for batch in batches:
-            rows = []
-            for doc_id, text, wanted in zip(batch.column("doc_id").to_pylist(), batch.column("text"), batch.column("asked").to_pylist(), strict=True):
-                words = words_in(text.as_py())
-                rows += [(doc_id, w["src_start"], w["n"], w["rows"], digest(words, w["src_start"], w["n"])) for w in wanted]
-            columns = zip(*rows, strict=True) if rows else [[]] * 5
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
+            for doc_id, text, wanted in zip(batch.column("doc_id").to_pylist(), batch.column("text"), batch.column("asked"), strict=True):
+                words, places = words_in(text.as_py()), wanted.values
+                start, n = places.field("src_start").to_numpy(), places.field("n").to_numpy()
+                told = pa.array([digest(words, a, k) for a, k in zip(start.tolist(), n.tolist(), strict=True)], pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(n), doc_id)), pa.array(start), pa.array(n), places.field("rows"), told], schema=schema)
 
     met = docs.join(by_doc.hint("shuffle_merge"), "doc_id").select("doc_id", "text", "asked").mapInArrow(run, "src long, src_start int, n int, rows long, digest binary")
     told = scratch.save(met.filter("digest is not null").dropDuplicates(place), "source_digests")
@@ -178,10 +177,10 @@ def without_repeats(docs: DataFrame) -> DataFrame:
         schema = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept", pa.binary())])
         for batch in batches:
             ids, counts, removed, kept = batch.column("doc_id"), [], [], []
-            for text, spans in zip(batch.column("text"), batch.column("spans").to_pylist(), strict=True):
+            for text, spans in zip(batch.column("text"), batch.column("spans"), strict=True):
                 words = words_in(text.as_py())
                 gone = np.zeros(len(words), dtype=bool)
-                for span in spans or ():
+                for span in spans.as_py() or ():
                     if digest(words, span["start"], span["n"]) == span["digest"]:
                         gone[span["start"] : span["start"] + span["n"]] = True
                 counts.append(len(words))
@@ -189,6 +188,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
                 kept.append(b" ".join([w for w, g in zip(words, gone.tolist(), strict=True) if not g]) if removed[-1] else b" ".join(words))
             yield pa.RecordBatch.from_arrays([ids, pa.array(counts, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.binary())], schema=schema)
 
+    scratch.bound_batches(docs.sparkSession)
     docs = docs.select("doc_id", "text")
     spans = spans_of(docs).groupBy("doc_id").agg(F.collect_list(F.struct("start", "n", "digest")).alias("spans"))
     met = docs.join(spans.hint("shuffle_merge"), "doc_id", "left").select("doc_id", "text", "spans")

@@ -105,6 +105,7 @@ def write_archives(pages: DataFrame, folder: str, archive_bytes: int = ARCHIVE_B
         if out is not None:
             yield close()
 
+    scratch.bound_batches(pages.sparkSession)
     return scratch.save(pages.mapInArrow(run, "path string, records long"), "archives")
 
 
