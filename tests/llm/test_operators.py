@@ -196,6 +196,8 @@ def test_bpe_equals_tiktoken(spark, hard, empty):
     assert got[1].n_tokens == got[2].n_tokens == 0 and got[1].decoded_sha256 == hashlib.sha256(b"").hexdigest()
     assert got[5].decoded_sha256 == hashlib.sha256(b"x " * 20000).hexdigest()
     assert byte_bpe.digests(empty).count() == 0
+    both = byte_bpe.decode(byte_bpe.encode(hard.select("doc_id", "text"))).drop("text")
+    assert sorted(map(str, both.collect())) == sorted(map(str, byte_bpe.round_trip(hard.select("doc_id", "text")).collect()))
 
 
 # 6: personal data

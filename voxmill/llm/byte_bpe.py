@@ -26,6 +26,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from . import scratch
+
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
 #: Entries that a worker remembers of each kind before it starts afresh.
 MEMO_SIZE = 200_000
@@ -146,6 +148,8 @@ def _extended(df: DataFrame, name: str, kind: T.DataType) -> T.StructType:
 def encode(df: DataFrame, text: str = "text", ids: str = "ids", path: str = VOCABULARY) -> DataFrame:
     """``df`` with the ids of each whole text, as little-endian unsigned 32-bit integers."""
 
+    scratch.bound_batches(df.sparkSession)
+
     def run(batches):
         own = codec(path)
         for batch in batches:
@@ -165,9 +169,28 @@ def decode(df: DataFrame, ids: str = "ids", out: str = "decoded", path: str = VO
     return df.mapInArrow(run, _extended(df, out, T.BinaryType()))
 
 
+def round_trip(df: DataFrame, text: str = "text", path: str = VOCABULARY) -> DataFrame:
+    """``df`` without the text, with its ``ids`` and the bytes ``decoded`` from them.
+
+    What ``encode`` and ``decode`` give one after the other, in one pass of one worker.
+    """
+    scratch.bound_batches(df.sparkSession)
+    kept = [f for f in df.schema.fields if f.name not in (text, "ids", "decoded")]
+    names = [f.name for f in kept]
+
+    def run(batches):
+        own = codec(path)
+        for batch in batches:
+            ids = [own.encode(t.as_py() or "") for t in batch.column(text)]
+            back = [own.decode(i) for i in ids]
+            yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in names], pa.array(ids, pa.binary()), pa.array(back, pa.binary())], names=[*names, "ids", "decoded"])
+
+    return df.mapInArrow(run, T.StructType([*kept, T.StructField("ids", T.BinaryType()), T.StructField("decoded", T.BinaryType())]))
+
+
 def digests(docs: DataFrame) -> DataFrame:
     """doc_id, n_tokens, ids_sha256 and decoded_sha256 of every row."""
-    coded = decode(encode(docs.select("doc_id", "text")).drop("text"))
+    coded = round_trip(docs.select("doc_id", "text"))
     return coded.select("doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
