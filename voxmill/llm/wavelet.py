@@ -40,8 +40,10 @@ END_ID = 1
 SHARD_IDS = 4_000_000
 BLOCK_BYTES = 4096
 MAGIC = b"WVM1"
-#: Words whose ids a worker remembers before it starts afresh.
-MEMO_SIZE = 500_000
+#: Words whose ids a worker remembers before they become its older half and the one before goes.
+MEMO_SIZE = 600_000
+#: Punctuation that may end a word.
+TAIL = b".,!?;:#$%&*|"
 
 
 class WordIds:
@@ -62,6 +64,7 @@ class WordIds:
         self.tokenizer.encode_special_tokens = True
         self.mark = np.array(self.whole(self.MARK), dtype="<u4")
         self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
 
     def whole(self, text: str) -> list[int]:
         return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
@@ -82,19 +85,66 @@ class WordIds:
             for word, i, j in zip(part, starts, [*(4 * ends).tolist(), len(raw)], strict=True):
                 self.known[word] = raw[i:j]
 
-    def encode(self, text: str) -> bytes:
-        """Ids as little-endian unsigned 32-bit integers."""
+    def words_of(self, text: str) -> list[bytes] | None:
+        """The words of a text; none if the mark is in it. Only ASCII is safe to lower here."""
         if self.MARK in text:
-            return np.array(self.whole(text), dtype="<u4").tobytes()
+            return None
         raw = text.encode()
-        words = (raw.lower() if text.isascii() else raw).split()
-        new = list({w for w in words if w not in self.known})
-        if new:
-            if len(self.known) + len(new) > MEMO_SIZE:
-                self.known.clear()
-                new = list(set(words))
-            self.learn(new)
-        return b"".join(map(self.known.__getitem__, words))
+        return (raw.lower() if text.isascii() else raw).split()
+
+    def remember(self, words: set[bytes]) -> None:
+        """Have all ``words`` in memory: from the older half, from their parts, or learnt.
+
+        An ASCII word has the ids of its lower case. Punctuation behind an ASCII letter or digit
+        is a match of its own, so a word with such a tail has the ids of both parts.
+        """
+        if len(self.known) + len(words) > MEMO_SIZE:
+            self.older, self.known = self.known, {}
+        known, older = self.known, self.older
+        split, learn = [], set()
+        for word in words:
+            if word in known:
+                continue
+            found = older.get(word)
+            if found is not None:
+                known[word] = found
+                continue
+            base = word.lower() if word.isascii() else word
+            core = base.rstrip(TAIL)
+            if not (len(core) < len(base) and core[-1:].isalnum()):
+                core = base
+            if core == word:
+                learn.add(word)
+            else:
+                split.append((word, core, base[len(core) :]))
+                learn.update(p for p in (core, base[len(core) :]) if p and p not in known)
+        known.update((w, older[w]) for w in learn if w in older)
+        self.learn([w for w in learn if w not in known])
+        known.update((word, known[core] + (known[tail] if tail else b"")) for word, core, tail in split)
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text as little-endian unsigned 32-bit integers."""
+        rows, holes = [], []
+        get = self.known.get
+        for text in texts:
+            words = self.words_of(text)
+            ids = None if words is None else list(map(get, words))
+            rows.append(ids)
+            at = -1
+            while words is not None:
+                try:
+                    at = ids.index(None, at + 1)
+                except ValueError:
+                    break
+                holes.append((ids, at, words[at]))
+        self.remember({word for _, _, word in holes})
+        known = self.known
+        for ids, at, word in holes:
+            ids[at] = known[word]
+        return [np.array(self.whole(t), dtype="<u4").tobytes() if ids is None else b"".join(ids) for t, ids in zip(texts, rows, strict=True)]
+
+    def encode(self, text: str) -> bytes:
+        return self.encode_all([text])[0]
 
 
 @lru_cache(maxsize=2)
@@ -263,9 +313,10 @@ def write_shards(docs: DataFrame, folder: str, path: str = VOCABULARY, end_id: i
             return pa.RecordBatch.from_pydict(row, schema=pa.schema([("part", pa.int32()), ("number", pa.int32()), ("path", pa.string()), ("n_ids", pa.int64()), ("n_docs", pa.int64())]))
 
         for batch in batches:
-            for doc_id, text in zip(batch.column("doc_id"), batch.column("text"), strict=True):
-                coded = own.encode(text.as_py() or "") + end
-                held.append((doc_id.as_py(), len(coded) // 4))
+            coded_texts = own.encode_all([t.as_py() or "" for t in batch.column("text")])
+            for doc_id, coded in zip(batch.column("doc_id").to_pylist(), coded_texts, strict=True):
+                coded += end
+                held.append((doc_id, len(coded) // 4))
                 ids.append(coded)
                 total += len(coded) // 4
                 if total >= shard_ids:
@@ -274,6 +325,7 @@ def write_shards(docs: DataFrame, folder: str, path: str = VOCABULARY, end_id: i
         if held:
             yield close()
 
+    scratch.bound_batches(docs.sparkSession)
     in_order = docs.select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id")
     return scratch.save(in_order.mapInArrow(run, MANIFEST), "shards")
 
