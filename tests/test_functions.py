@@ -42,7 +42,7 @@ def test_extension(spark, url, ext):
 
 
 def test_names_and_paths(spark):
-    assert one(spark, tx.source_path(F.col("a")), "vi-podcast__feed__Tập_1.mp3") == "feed/Tập_1.mp3"
+    assert one(spark, tx.source_path(F.col("a")), "src__feed__Tập_1.mp3") == "feed/Tập_1.mp3"
     assert one(spark, tx.source_path(F.col("a")), "a/b__c") == "a/b__c"
     assert one(spark, tx.source_path(F.col("a")), None) is None
     assert one(spark, tx.relocated(F.col("a"), "/old", "/new/"), "/old/x.wav") == "/new/x.wav"
