@@ -44,7 +44,7 @@ STAGES = [
     ("mix", mix),
     ("tokens", tokens),
 ]
-#: SQL has no byte-level BPE; the tests hold run() against a brute-force version.
+#: SQL has no byte-level BPE; the tests hold every stage against brute force.
 ORACLE_SQL = None
 
 

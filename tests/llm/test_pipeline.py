@@ -1,0 +1,40 @@
+"""The pipeline's stages against brute force."""
+
+import hashlib
+from collections import Counter
+
+import corpus_pipeline as pipeline
+from test_operators import brute_components, brute_metrics, docs_of, words
+
+from voxmill.llm import byte_bpe
+
+
+def test_stages_equal_brute_force(spark):
+    rows = [(k, " ".join(words(60 + k % 7, k, 400)), f"s{k % 3}") for k in range(40)]
+    rows += [(100 + k, rows[k][1].replace(" ", "  ", 3), "s1") for k in range(10)]
+    rows += [(200 + k, rows[k][1] + " more", "s2") for k in range(5, 15)]
+    rows += [(300, "short", "s0"), (301, None, "s0"), (302, "again and " * 60, None)]
+    docs, columns = docs_of(spark, rows), docs_of(spark, rows).columns
+    left = []
+    for doc_id, text, _ in rows:
+        n, _, _, _, repeated = brute_metrics(text)
+        if n >= 50 and 100 * repeated <= 50 * n:
+            left.append((doc_id, text))
+    out = pipeline.STAGES[0][1](spark, docs, "")
+    assert out.columns == columns and sorted(r.doc_id for r in out.collect()) == sorted(d for d, _ in left)
+    first = {}
+    for doc_id, text in sorted(left):
+        first.setdefault(" ".join(text.split()), (doc_id, text))
+    out = pipeline.STAGES[1][1](spark, out, "")
+    assert out.columns == columns and sorted(r.doc_id for r in out.collect()) == sorted(d for d, _ in first.values())
+    component, _ = brute_components(list(first.values()))
+    out = pipeline.STAGES[2][1](spark, out, "")
+    kept = sorted(d for d, c in component.items() if d == c)
+    assert out.columns == columns and sorted(r.doc_id for r in out.collect()) == kept
+    out = pipeline.STAGES[3][1](spark, out, "")
+    copies = Counter(r.doc_id for r in out.collect())
+    assert out.columns == columns and set(copies) <= set(kept) and max(copies.values()) <= 2
+    texts, own = dict(left), byte_bpe.codec(byte_bpe.VOCABULARY)
+    got = pipeline.STAGES[4][1](spark, out, "").collect()
+    assert Counter(r.doc_id for r in got) == copies
+    assert all(r.ids_sha256 == hashlib.sha256(own.encode(texts[r.doc_id])).hexdigest() and r.decoded_sha256 == hashlib.sha256(texts[r.doc_id].encode()).hexdigest() for r in got)
