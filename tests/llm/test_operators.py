@@ -302,6 +302,22 @@ def test_ngram_join_equals_brute_force(spark, empty):
     assert ngram_join.joined(empty).count() == 0
 
 
+def test_ngram_join_of_a_group_in_pieces(spark, monkeypatch):
+    """A pair that is split over pieces of one group, and not near the group's first document."""
+    monkeypatch.setattr(ngram_join, "GROUP_PAIRS", 2)
+    shared, more = words(40, 1), words(60, 2)
+    pair = [(5, " ".join([*shared, "early"])), (10, " ".join([*shared, "late"]))]
+    rows = [(k, " ".join([*more, f"u{k}", *shared])) for k in range(1, 10) if k != 5] + pair
+    rows += [(100 + k, " ".join([*more, f"v{k}"])) for k in range(8)]
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")
+    try:
+        got = {r.doc_id: r.component_id for r in ngram_join.joined(docs_of(spark, rows)).collect()}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert got == brute_components(rows)[0] and got[10] == 5
+
+
 def test_tree_and_forest_equal_brute_force():
     rng = random.Random(4)
     for turn in range(60):

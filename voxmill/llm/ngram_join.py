@@ -148,27 +148,36 @@ def _runs(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
 
 
 def groups_of(firsts: DataFrame) -> DataFrame:
-    """key, doc_id of every distinct group of two or more documents that share a prefix shingle.
+    """key, doc_id, star of every distinct group of documents that share a prefix shingle.
 
     Groups with the same documents have the same key and are kept once. Documents of a very
-    large group are passed on in overlapping pieces, in the order of their size.
+    large group are passed on in pieces, in the order of their ids. All pieces have the group's
+    first document and are a ``star``: only if each of its documents is joined to the first do
+    documents of two pieces meet.
     """
 
     def run(batches):
-        schema = pa.schema([("key", pa.binary()), ("doc_id", pa.int64())])
+        schema = pa.schema([("key", pa.binary()), ("doc_id", pa.int64()), ("star", pa.bool_())])
         seen: set[bytes] = set()
-        keys, ids = [], []
+        keys, ids, stars = [], [], []
 
-        def piece(docs: np.ndarray):
-            key = hashlib.md5(docs.tobytes()).digest()
+        def piece(parts: list[np.ndarray], star: bool):
+            docs = np.unique(np.concatenate(parts))
+            if len(docs) < 2:
+                return
+            key = hashlib.md5(docs.tobytes() + (b"*" if star else b"")).digest()
             if key not in seen:
                 if len(seen) > 200_000:
                     seen.clear()
                 seen.add(key)
                 keys.append(pa.array([key] * len(docs), pa.binary()))
                 ids.append(pa.array(docs))
+                stars.append(pa.array(np.full(len(docs), star)))
 
-        token, held, size = None, [], 0
+        def record():
+            return pa.RecordBatch.from_arrays([pa.concat_arrays(keys), pa.concat_arrays(ids), pa.concat_arrays(stars)], schema=schema)
+
+        token, held, size, cut = None, [], 0, False
         for batch in batches:
             tokens, docs = batch.column("token").to_numpy(), batch.column("doc_id").to_numpy()
             cuts = np.concatenate([[0], np.flatnonzero(tokens[1:] != tokens[:-1]) + 1, [len(tokens)]])
@@ -177,27 +186,25 @@ def groups_of(firsts: DataFrame) -> DataFrame:
             for k in wide.tolist():
                 a, b = cuts[k], cuts[k + 1]
                 if token is not None and tokens[a] != token:
-                    if size > 1 and len(own := np.unique(np.concatenate(held))) > 1:
-                        piece(own)
-                    held, size = [], 0
+                    if size > 1:
+                        piece(held, cut)
+                    held, size, cut = [], 0, False
                 token = tokens[a]
                 held.append(docs[a:b])
                 size += b - a
                 if size > 4 * GROUP_PAIRS:  # pass on what is here; its first document links it with the rest
-                    own = np.unique(np.concatenate(held))
-                    if len(own) > 1:
-                        piece(own)
-                    held, size = [own[:1]], 1
+                    piece(held, True)
+                    held, size, cut = [held[0][:1]], 1, True
             if sum(map(len, ids)) > 50_000:
-                yield pa.RecordBatch.from_arrays([pa.concat_arrays(keys), pa.concat_arrays(ids)], schema=schema)
-                keys, ids = [], []
-        if size > 1 and len(own := np.unique(np.concatenate(held))) > 1:
-            piece(own)
+                yield record()
+                keys, ids, stars = [], [], []
+        if size > 1:
+            piece(held, cut)
         if ids:
-            yield pa.RecordBatch.from_arrays([pa.concat_arrays(keys), pa.concat_arrays(ids)], schema=schema)
+            yield record()
 
     rows = firsts.select("doc_id", F.explode("prefix").alias("token")).repartition("token").sortWithinPartitions("token", "doc_id")
-    return rows.mapInArrow(run, "key binary, doc_id long").distinct()
+    return rows.mapInArrow(run, "key binary, doc_id long, star boolean").distinct()
 
 
 class Forest:
@@ -255,7 +262,7 @@ def candidate_edges(groups: DataFrame, firsts: DataFrame) -> DataFrame:
         left, right = [], []
         for rows in _runs(batches, "key"):
             docs = rows.column("doc_id").to_numpy()
-            if len(docs) > GROUP_PAIRS:
+            if len(docs) > GROUP_PAIRS or rows.column("star")[0].as_py():
                 pairs = [(0, k) for k in range(1, len(docs))]
             else:
                 pairs = close_pairs(rows.column("n").to_numpy(), rows.column("sig").to_pylist())
@@ -268,7 +275,7 @@ def candidate_edges(groups: DataFrame, firsts: DataFrame) -> DataFrame:
 
     known = groups.groupBy("doc_id").agg(F.count("*").alias("rows")).join(firsts.select("doc_id", "n", "sig"), "doc_id")
     met = joins.weighted_join(groups, known, ["doc_id"], "rows", "inner")
-    return met.select("key", "doc_id", "n", "sig").repartition("key").sortWithinPartitions("key").mapInArrow(run, "a long, b long")
+    return met.select("key", "doc_id", "star", "n", "sig").repartition("key").sortWithinPartitions("key").mapInArrow(run, "a long, b long")
 
 
 def tree_links(blocks: np.ndarray, sets: list[np.ndarray], sides: np.ndarray) -> list[tuple[int, int]]:
