@@ -176,6 +176,18 @@ def test_wavelet_shards_round_trip(spark, hard, empty, tmp_path):
     assert wavelet.read_shards(wavelet.write_shards(empty, f"file://{tmp_path}/e")).count() == 0
 
 
+def test_wavelet_ids_of_texts_with_added_tokens():
+    from tokenizers import Tokenizer
+
+    own, fresh = wavelet.WordIds(wavelet.VOCABULARY), Tokenizer.from_file(wavelet.VOCABULARY)
+    tokens = ["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|EndOfText|>.", "<|endoftext|", "é"]
+    texts = [*tokens, "end <|endoftext|> next", *[f"A{t}b {t}, {u}{t}! {u}" for t in tokens for u in tokens], "plain End. next"]
+    for turn in (texts, texts[::-1]):  # also with a memory that has met them
+        for text, ids in zip(turn, own.encode_all(turn), strict=True):
+            assert np.frombuffer(ids, dtype="<u4").tolist() == fresh.encode(text, add_special_tokens=False).ids, text
+    assert np.frombuffer(own.encode("end <|endoftext|> next"), dtype="<u4").tolist() == [806, 49407, 1131]
+
+
 # 9: byte-level BPE
 
 

@@ -51,7 +51,9 @@ class WordIds:
 
     White space ends every token of this vocabulary, so the ids of a text are those of its
     white-space-separated words in a row. Each text hands its new words to the tokenizer
-    as one text, with a mark between them by which their ids are told apart.
+    as one text, with a mark between them by which their ids are told apart. A text in which
+    an added token stands, in whatever case, goes to the tokenizer as it is: such a token is
+    found before anything is lower-cased, so the ids of words in lower case can't stand for it.
     """
 
     #: A private-use character: always a match of its own, and so always the same ids.
@@ -61,7 +63,7 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.added = [t.content.encode().lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.mark = np.array(self.whole(self.MARK), dtype="<u4")
         self.known: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
@@ -86,11 +88,14 @@ class WordIds:
                 self.known[word] = raw[i:j]
 
     def words_of(self, text: str) -> list[bytes] | None:
-        """The words of a text; none if the mark is in it. Only ASCII is safe to lower here."""
+        """The words of a text; none if the mark or an added token is in it. Only ASCII is safe to lower here."""
         if self.MARK in text:
             return None
         raw = text.encode()
-        return (raw.lower() if text.isascii() else raw).split()
+        lower = raw.lower()
+        if any(token in lower for token in self.added):
+            return None
+        return (lower if text.isascii() else raw).split()
 
     def remember(self, words: set[bytes]) -> None:
         """Have all ``words`` in memory: from the older half, from their parts, or learnt.
