@@ -1,5 +1,6 @@
 """Tiers, folds, incremental work, packaging, repair and streams against literal expectations."""
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -85,6 +86,16 @@ def test_speakers(spark):
     assert {(r.segment, r.speaker, r.multi_speaker) for r in speakers.dominant(turns).collect()} == {("s", "b", True), ("t", "a", False)}
 
 
+def test_speakers_of_large_files(spark, monkeypatch):
+    monkeypatch.setattr(speakers, "TASK_ROWS", 12)
+    rng = np.random.default_rng(3)
+    files = {"a": rng.normal(size=(50, 8)), "b": rng.normal(size=(9, 8)), "c": rng.normal(size=(14, 8))}
+    rows = [(f, 100 - k, [float(v) for v in x]) for f, xs in files.items() for k, x in enumerate(xs)]
+    got = speakers.clusters(spark.createDataFrame(rows, "file_id string, id int, embedding array<float>"), 0.7).collect()
+    want = {(f, 100 - k): f"{f}_spk{label}" for f, xs in files.items() for k, label in zip(range(len(xs))[::-1], speakers.average_linkage(xs[::-1].astype(np.float32).astype(float), 0.7), strict=True)}
+    assert {(r.file_id, r.id): r.speaker_id for r in got} == want and len(got) == len(rows)
+
+
 def test_overlap(spark):
     ours = spark.createDataFrame([(1, "a b c d e f g h i j"), (2, "x y")], "k int, t string")
     theirs = spark.createDataFrame([(7, "A, b c d e f! g h z"), (8, "q w e r t y u i o")], "k int, t string")

@@ -6,20 +6,30 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
+from .. import workspace
 from ..functions import vectors
 
+#: Rows of a file that one task clusters with a matrix of distances; also those of a block.
+TASK_ROWS = 2000
 
-def average_linkage(x: np.ndarray, threshold: float) -> np.ndarray:
+
+def units(x: np.ndarray) -> np.ndarray:
+    return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
+
+
+def average_linkage(x: np.ndarray, threshold: float, sizes: np.ndarray | None = None) -> np.ndarray:
     """Labels of agglomerative clusters by cosine distance, merged up to the threshold.
 
-    Labels count up in the order of each cluster's first row.
+    Labels count up in the order of each cluster's first row. With ``sizes``, rows are clusters
+    already, each given by the mean of its unit vectors.
     """
     n = len(x)
-    unit = x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
+    unit = units(x) if sizes is None else x
     apart = 1 - unit @ unit.T
     np.fill_diagonal(apart, np.inf)
-    size, owner, alive = np.ones(n), np.arange(n), n
+    size, owner, alive = np.ones(n) if sizes is None else sizes.astype(np.float64), np.arange(n), n
     while alive > 1:
         i, j = np.unravel_index(np.argmin(apart), apart.shape)
         if apart[i, j] >= threshold:
@@ -37,8 +47,104 @@ def average_linkage(x: np.ndarray, threshold: float) -> np.ndarray:
     return np.array([rank[o] for o in owner.tolist()])
 
 
+def _saved(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder, so that rounds neither repeat nor grow."""
+    path = workspace.new_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _nearest(state: DataFrame, groups: DataFrame, threshold: float) -> DataFrame:
+    """key, lo, hi: each cluster's nearest one below the threshold; of equals the first."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("key")
+        keys, means = pdf["key"].to_numpy(), np.stack(pdf["total"].to_numpy()) / pdf["n"].to_numpy()[:, None]
+        left = (pdf["side"] < 2).to_numpy()
+        right = ~left if (~left).any() or pdf["low"].iloc[0] != pdf["high"].iloc[0] else left
+        out = []
+        if left.any() and right.any():
+            apart = 1 - means[left] @ means[right].T
+            if right is left:
+                apart = np.minimum(apart, apart.T)
+                np.fill_diagonal(apart, np.inf)
+            for own, other, d in ((keys[left], keys[right], apart), (keys[right], keys[left], apart.T))[: 1 if right is left else 2]:
+                at = d.argmin(axis=1)
+                out.append(pd.DataFrame({"key": own, "apart": d[np.arange(len(own)), at], "other": other[at]}))
+        found = pd.concat(out) if out else pd.DataFrame({"key": [], "apart": [], "other": []})
+        return found[found["apart"] < threshold]
+
+    tile, other = F.pmod(F.xxhash64("key"), F.col("tiles")), F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1))
+    rows = state.join(F.broadcast(groups), "g").withColumn("tile", tile).withColumn("other", other)
+    side = F.when(F.col("tile") <= F.col("other"), 1).otherwise(2)
+    rows = rows.select("g", "key", "n", "total", side.alias("side"), F.least("tile", "other").alias("low"), F.greatest("tile", "other").alias("high"))
+    met = rows.groupBy("g", "low", "high").applyInPandas(run, "key long, apart double, other long")
+    pair = F.struct("apart", F.least("key", "other").alias("lo"), F.greatest("key", "other").alias("hi"))
+    return met.groupBy("key").agg(F.min(pair).alias("p")).select("key", "p.lo", "p.hi")
+
+
+def _large_clusters(rows: DataFrame, threshold: float) -> DataFrame:
+    """As ``clusters``, for files of any size. ``rows``: also g, the file's number.
+
+    The mean distance of two clusters is one less the product of their mean unit vectors, so a
+    cluster is a sum and a size. Each round compares blocks of a file pairwise and joins all
+    clusters that are nearest to each other. A merged cluster is never nearer to a third than
+    the nearer of its parts was, so this makes the clusters that merging the nearest pair again
+    and again makes (but for equal distances), and a cluster without one below the threshold is
+    done. What is left of a file is clustered in one task when it has TASK_ROWS clusters or fewer.
+    """
+
+    @F.pandas_udf("array<double>")
+    def unit(x: pd.Series) -> pd.Series:
+        return pd.Series(list(units(np.stack(x.to_numpy()).astype(np.float64)))) if len(x) else x
+
+    def rest(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("key")
+        keys, n = pdf["key"].to_numpy(), pdf["n"].to_numpy()
+        labels = average_linkage(np.stack(pdf["total"].to_numpy()) / n[:, None], threshold, n)
+        firsts = keys[np.unique(labels, return_index=True)[1]]
+        return pd.DataFrame({"hi": keys, "lo": firsts[labels]}).query("hi != lo")
+
+    rows = _saved(rows.withColumn("key", F.monotonically_increasing_id()), "segments")
+    members = rows.select("file_id", "id", "g", "key", F.col("key").alias("cluster"))
+    state = _saved(rows.select("g", "key", F.lit(1).cast("long").alias("n"), unit("embedding").alias("total")), "clusters")
+
+    def moved(pairs: DataFrame) -> DataFrame:
+        met = members.join(pairs.select(F.col("hi").alias("cluster"), "lo"), "cluster", "left")
+        return _saved(met.select("file_id", "id", "g", "key", F.coalesce("lo", "cluster").alias("cluster")), "members")
+
+    while True:
+        groups = state.groupBy("g").agg(F.count("*").alias("rows")).filter(F.col("rows") > TASK_ROWS)
+        groups = _saved(groups.select("g", F.ceil(F.col("rows") / TASK_ROWS).cast("long").alias("tiles")), "groups")
+        if groups.isEmpty():
+            break
+        near = _saved(_nearest(state, groups, threshold), "nearest")
+        pairs = _saved(near.groupBy("lo", "hi").agg(F.count("*").alias("ends")).filter("ends = 2").select("lo", "hi"), "pairs")
+        members = moved(pairs)
+        going = state.join(near.select("key"), "key").join(pairs.withColumnRenamed("hi", "key"), "key", "left")
+        both = going.groupBy("g", F.coalesce("lo", "key").alias("key")).agg(F.sum("n").alias("n"), F.collect_list("total").alias("t"))
+        total = F.when(F.size("t") == 2, F.zip_with(F.col("t")[0], F.get("t", F.lit(1)), lambda a, b: a + b)).otherwise(F.col("t")[0])
+        waiting = state.join(F.broadcast(groups), "g", "left_anti").select("g", "key", "n", "total")
+        state = _saved(both.select("g", "key", "n", total.alias("total")).unionByName(waiting), "clusters")
+    members = moved(state.groupBy("g").applyInPandas(rest, "hi long, lo long"))
+
+    # ranks of a file's clusters by their first rows: in ranges, then the ranges' sums
+    firsts = members.groupBy("g", "cluster").agg(F.min(F.struct("id", "key")).alias("first"))
+    firsts = firsts.repartitionByRange("g", "first").withColumn("range", F.spark_partition_id())
+    firsts = _saved(firsts, "firsts")
+    before = Window.partitionBy("g").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = firsts.groupBy("g", "range").agg(F.count("*").alias("c")).select("g", "range", F.coalesce(F.sum("c").over(before), F.lit(0)).alias("base"))
+    ranked = firsts.withColumn("k", F.row_number().over(Window.partitionBy("g", "range").orderBy("first"))).join(ranges, ["g", "range"])
+    named = ranked.select("cluster", (F.col("base") + F.col("k") - 1).cast("string").alias("rank"))
+    file = F.coalesce(F.col("file_id").cast("string"), F.lit("None"))
+    return members.join(named, "cluster").select("file_id", "id", F.concat(file, F.lit("_spk"), "rank").alias("speaker_id"))
+
+
 def clusters(segments: DataFrame, threshold: float = 0.35) -> DataFrame:
-    """file_id, id, speaker_id. ``segments``: file_id, id, embedding; a file is one group."""
+    """file_id, id, speaker_id. ``segments``: file_id, id, embedding; a file is one group.
+
+    Files of more than TASK_ROWS rows are clustered in rounds over all executors.
+    """
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("id")
@@ -47,7 +153,14 @@ def clusters(segments: DataFrame, threshold: float = 0.35) -> DataFrame:
         return pd.DataFrame({"file_id": pdf["file_id"], "id": pdf["id"], "speaker_id": names})
 
     kinds = {f.name: f.dataType.simpleString() for f in segments.schema.fields}
-    return segments.groupBy("file_id").applyInPandas(run, f"file_id {kinds['file_id']}, id {kinds['id']}, speaker_id string")
+    schema = f"file_id {kinds['file_id']}, id {kinds['id']}, speaker_id string"
+    large = segments.groupBy(F.col("file_id").alias("f")).agg(F.count("*").alias("rows")).filter(F.col("rows") > TASK_ROWS)
+    large = _saved(large.select("f", F.monotonically_increasing_id().alias("g")), "large_files")
+    if large.isEmpty():
+        return segments.groupBy("file_id").applyInPandas(run, schema)
+    is_large = F.col("file_id").eqNullSafe(F.col("f"))
+    small = segments.join(F.broadcast(large), is_large, "left_anti").groupBy("file_id").applyInPandas(run, schema)
+    return small.unionByName(_large_clusters(segments.join(F.broadcast(large), is_large).drop("f"), threshold))
 
 
 def has_two_voices(first: Column, second: Column, seconds: Column, threshold: float = 0.45) -> Column:
