@@ -4,7 +4,7 @@ import hashlib
 from collections import Counter
 
 import corpus_pipeline as pipeline
-from test_operators import brute_components, brute_metrics, docs_of, words
+from test_llm_operators import brute_components, brute_metrics, docs_of, words
 
 from voxmill.llm import byte_bpe
 
