@@ -5,6 +5,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -163,10 +164,12 @@ def test_wavelet_file(n):
 
 
 def test_wavelet_shards_round_trip(spark, hard, empty, tmp_path):
+    from tokenizers import Tokenizer
+
     docs = hard.unionByName(docs_of(spark, [(100 + k, " ".join(words(30, k))) for k in range(50)]))
     manifest = wavelet.write_shards(docs, f"file://{tmp_path}/w", shard_ids=500)
     got = wavelet.read_shards(manifest).orderBy("start").collect()
-    tok, at = wavelet.word_ids(wavelet.VOCABULARY).tokenizer, 0
+    tok, at = Tokenizer.from_file(wavelet.VOCABULARY), 0
     assert [r.doc_id for r in got] == sorted((r.doc_id for r in docs.collect()), key=lambda d: (d is not None, d))
     texts = {r.doc_id: r.text for r in docs.collect()}
     for r in got:
@@ -183,11 +186,25 @@ def test_wavelet_ids_of_texts_with_added_tokens():
     tokens = ["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|EndOfText|>.", "<|endoftext|", "é"]
     texts = [*tokens, "end <|endoftext|> next", *[f"A{t}b {t}, {u}{t}! {u}" for t in tokens for u in tokens], "plain End. next"]
     for turn in (texts, texts[::-1]):  # also with a memory that has met them
-        for text, ids in zip(turn, own.encode_all(turn), strict=True):
+        for text, ids in zip(turn, own.encode_all(pa.array(turn)), strict=True):
             assert np.frombuffer(ids, dtype="<u4").tolist() == fresh.encode(text, add_special_tokens=False).ids, text
     assert np.frombuffer(own.encode("end <|endoftext|> next"), dtype="<u4").tolist() == [806, 49407, 1131]
 
 
+def test_wavelet_ids_of_any_words(monkeypatch):
+    """Words of all kinds, by a memory that is passed on many times."""
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(wavelet, "MEMO_SIZE", 300)
+    own, fresh, rng = wavelet.WordIds(wavelet.VOCABULARY), Tokenizer.from_file(wavelet.VOCABULARY), random.Random(8)
+    kinds = ["abcXYZ ", "aé ßÉÀñ.", "ab's'll 'd.,!?;:#$%&*|", "a1 2.3,b", "İıſKµªº ǅ.", "é àb", "日本 a。", " \u0085  a.b", "😀 a!", "\x00\x01 a\x1c\x1fb", "ÿŸĀā. b", "A\nB\tC\x0b\x0c\r ", "…—“”'a "]
+    texts = ["".join(rng.choice(kind) for _ in range(rng.randrange(24))) for _ in range(200) for kind in kinds] + ["a" * 3000, None]
+    for k in range(0, len(texts), 150):
+        part = texts[k : k + 150]
+        for text, ids in zip(part, own.encode_all(pa.array(part, pa.string())), strict=True):
+            assert np.frombuffer(ids, dtype="<u4").tolist() == fresh.encode(text or "", add_special_tokens=False).ids, text
+
+
 # 9: byte-level BPE
 
 

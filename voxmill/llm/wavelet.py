@@ -12,19 +12,21 @@ start. A task writes a new file under its own attempt's name, so a repeated task
 the manifest names those that count.
 
 Cases. Null and empty texts have the end id alone. Null ids come first. Rows with the same id
-stand side by side, in no fixed order if their texts differ. An empty table makes no files.
+stand side by side in the order of their texts. Ids of documents are whole numbers. An empty
+table makes no files.
 """
 
 from __future__ import annotations
 
 import json
 import struct
-import zlib
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyarrow import fs
 from pyspark import TaskContext
@@ -42,114 +44,129 @@ BLOCK_BYTES = 4096
 MAGIC = b"WVM1"
 #: Words whose ids a worker remembers before they become its older half and the one before goes.
 MEMO_SIZE = 600_000
-#: Punctuation that may end a word.
-TAIL = b".,!?;:#$%&*|"
+#: Bytes of texts that are encoded together; words that they share are looked up once.
+GROUP_BYTES = 16 << 20
+#: Punctuation that may end a word, and words that are one match of the vocabulary's pattern.
+TAIL = ".,!?;:#$%&*|"
+LETTERS = "^[a-zªµºÀ-ÖØ-öø-ÿ]+$"
+
+
+def runs_of(row: np.ndarray, start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The runs of ``row`` from ``start`` in a row, and where each begins there (and the last ends)."""
+    until = np.concatenate([[0], np.cumsum(size)])
+    return row[np.repeat(start - until[:-1], size) + np.arange(until[-1])], until
+
+
+class Memory:
+    """The ids of words: each word has a number, and its ids are a run of ``row``."""
+
+    def __init__(self) -> None:
+        self.words = pa.array([""])
+        self.start, self.size = np.zeros(1, dtype=np.int64), np.zeros(1, dtype=np.int64)
+        self.row = np.zeros(0, dtype="<u4")
+
+    def find(self, words: pa.Array) -> np.ndarray:
+        """The words' numbers, -1 for those that aren't here."""
+        return pc.fill_null(pc.index_in(words, value_set=self.words), -1).to_numpy().astype(np.int64)
+
+    def add(self, words: pa.Array, row: np.ndarray, size: np.ndarray) -> None:
+        self.words = pa.concat_arrays([self.words, words])
+        self.start = np.concatenate([self.start, len(self.row) + np.cumsum(size) - size])
+        self.size = np.concatenate([self.size, size])
+        self.row = np.concatenate([self.row, row])
 
 
 class WordIds:
     """The tokenizer with a memory of words.
 
-    White space ends every token of this vocabulary, so the ids of a text are those of its
-    white-space-separated words in a row. Each text hands its new words to the tokenizer
-    as one text, with a mark between them by which their ids are told apart. A text in which
-    an added token stands, in whatever case, goes to the tokenizer as it is: such a token is
-    found before anything is lower-cased, so the ids of words in lower case can't stand for it.
+    White space ends every token of this vocabulary and its texts are lower-cased, so the ids of
+    a text are those of its white-space-separated words in lower case, and the ids of a group of
+    texts are gathered from those of its distinct words. Punctuation behind an ASCII letter or
+    digit is a match of its own, so such a tail is looked up apart. A word of Latin-1 letters is
+    one match, and its last token one that ends a word: many such words go to the tokenizer as one
+    text and are told apart by that; other words go alone. A text in which an added token stands,
+    in whatever case, goes as a whole: such a token is found before anything is lower-cased.
     """
 
-    #: A private-use character: always a match of its own, and so always the same ids.
-    MARK = "\ue000"
-
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.added = [t.content.encode().lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.mark = np.array(self.whole(self.MARK), dtype="<u4")
-        self.known: dict[bytes, bytes] = {}
-        self.older: dict[bytes, bytes] = {}
-
-    def whole(self, text: str) -> list[int]:
-        return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
-
-    def learn(self, words: list[bytes]) -> None:
-        """Remember the ids of ``words``, in which the mark does not occur."""
-        for k in range(0, len(words), 1000):
-            part = words[k : k + 1000]
-            ids = np.array(self.whole(f" {self.MARK} ".join(w.decode() for w in part)), dtype="<u4")
-            at = np.ones(max(0, len(ids) - len(self.mark) + 1), dtype=bool)
-            for j, value in enumerate(self.mark):
-                at &= ids[j : len(at) + j] == value
-            ends = np.flatnonzero(at)
-            if len(ends) != len(part) - 1:
+        self.added = [t.content.lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+        self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.ends[[number for token, number in vocabulary.items() if token.endswith("</w>")]] = True
+        self.known, self.older = Memory(), Memory()
+
+    def whole(self, text: str) -> np.ndarray:
+        """The ids of a text as the tokenizer gives them."""
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
+
+    def learn(self, words: pa.Array) -> None:
+        """Remember the ids of ``words``, all in lower case."""
+        plain = pc.match_substring_regex(words, LETTERS)
+        letters, others = words.filter(plain), words.filter(pc.invert(plain))
+        rows, ends, at = [np.zeros(0, dtype="<u4")], [np.zeros(1, dtype=np.int64)], 0
+        for k in range(0, len(letters), 200):
+            part = letters.slice(k, 200).to_pylist()
+            ids = self.whole(" ".join(part))
+            last = np.flatnonzero(self.ends[ids]) + 1
+            if len(last) != len(part):
                 raise ValueError("words can't be told apart")
-            raw, size = ids.tobytes(), 4 * len(self.mark)
-            starts = [0, *(4 * ends + size).tolist()]
-            for word, i, j in zip(part, starts, [*(4 * ends).tolist(), len(raw)], strict=True):
-                self.known[word] = raw[i:j]
-
-    def words_of(self, text: str) -> list[bytes] | None:
-        """The words of a text; none if the mark or an added token is in it. Only ASCII is safe to lower here."""
-        if self.MARK in text:
-            return None
-        raw = text.encode()
-        lower = raw.lower()
-        if any(token in lower for token in self.added):
-            return None
-        return (lower if text.isascii() else raw).split()
-
-    def remember(self, words: set[bytes]) -> None:
-        """Have all ``words`` in memory: from the older half, from their parts, or learnt.
-
-        An ASCII word has the ids of its lower case. Punctuation behind an ASCII letter or digit
-        is a match of its own, so a word with such a tail has the ids of both parts.
-        """
-        if len(self.known) + len(words) > MEMO_SIZE:
-            self.older, self.known = self.known, {}
-        known, older = self.known, self.older
-        split, learn = [], set()
-        for word in words:
-            if word in known:
-                continue
-            found = older.get(word)
-            if found is not None:
-                known[word] = found
-                continue
-            base = word.lower() if word.isascii() else word
-            core = base.rstrip(TAIL)
-            if not (len(core) < len(base) and core[-1:].isalnum()):
-                core = base
-            if core == word:
-                learn.add(word)
-            else:
-                split.append((word, core, base[len(core) :]))
-                learn.update(p for p in (core, base[len(core) :]) if p and p not in known)
-        known.update((w, older[w]) for w in learn if w in older)
-        self.learn([w for w in learn if w not in known])
-        known.update((word, known[core] + (known[tail] if tail else b"")) for word, core, tail in split)
-
-    def encode_all(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text as little-endian unsigned 32-bit integers."""
-        rows, holes = [], []
-        get = self.known.get
-        for text in texts:
-            words = self.words_of(text)
-            ids = None if words is None else list(map(get, words))
             rows.append(ids)
-            at = -1
-            while words is not None:
-                try:
-                    at = ids.index(None, at + 1)
-                except ValueError:
-                    break
-                holes.append((ids, at, words[at]))
-        self.remember({word for _, _, word in holes})
-        known = self.known
-        for ids, at, word in holes:
-            ids[at] = known[word]
-        return [np.array(self.whole(t), dtype="<u4").tobytes() if ids is None else b"".join(ids) for t, ids in zip(texts, rows, strict=True)]
+            ends.append(last + at)
+            at += len(ids)
+        self.known.add(letters, np.concatenate(rows), np.diff(np.concatenate(ends)))
+        alone = [self.whole(word) for word in others.to_pylist()]
+        self.known.add(others, np.concatenate([rows[0], *alone]), np.array([len(ids) for ids in alone], dtype=np.int64))
+
+    def remember(self, words: pa.Array) -> np.ndarray:
+        """The numbers of distinct ``words`` in memory, after what is new was learnt."""
+        numbers = self.known.find(words)
+        if (numbers < 0).sum() + len(self.known.words) > MEMO_SIZE:
+            self.older, self.known = self.known, Memory()
+            numbers = self.known.find(words)
+        new = words.filter(pa.array(numbers < 0))
+        if len(new):
+            place = self.older.find(new)
+            held = place >= 0
+            size = self.older.size[place[held]]
+            self.known.add(new.filter(pa.array(held)), runs_of(self.older.row, self.older.start[place[held]], size)[0], size)
+            self.learn(new.filter(pa.array(~held)))
+            numbers = self.known.find(words)
+        return numbers
+
+    def encode_all(self, texts: pa.Array) -> list[bytes]:
+        """Ids of each text as little-endian unsigned 32-bit integers; null has none."""
+        lower = pc.ascii_lower(pc.fill_null(texts, ""))
+        apart = pa.array(np.zeros(len(texts), dtype=bool))
+        for token in self.added:
+            apart = pc.or_(apart, pc.match_substring(lower, token))
+        lists = pc.ascii_split_whitespace(pc.if_else(apart, "", lower))
+        found = lists.flatten().dictionary_encode()
+        words = found.dictionary
+        core = pc.ascii_rtrim(words, characters=TAIL)
+        core = pc.if_else(pc.match_substring_regex(core, "[a-z0-9]$"), core, words)
+        tails = pc.replace_substring_regex(words.filter(pc.not_equal(core, words)), "^.*[a-z0-9]", "")
+        parts = pa.concat_arrays([core, tails]).dictionary_encode()
+        numbers = self.remember(parts.dictionary)[parts.indices.to_numpy()]
+        # the parts of a word stand side by side; the empty word has number 0
+        pairs = np.zeros((len(words), 2), dtype=np.int64)
+        pairs[:, 0] = numbers[: len(words)]
+        pairs[pc.not_equal(core, words).to_numpy(zero_copy_only=False), 1] = numbers[len(words) :]
+        memory = self.known
+        row, ends = runs_of(memory.row, memory.start[pairs.ravel()], memory.size[pairs.ravel()])
+        start = ends[:-1:2]
+        index = found.indices.to_numpy()
+        ids, until = runs_of(row, start[index], np.diff(np.append(start, len(row)))[index])
+        cuts, raw = (4 * until[lists.offsets.to_numpy()]).tolist(), ids.tobytes()
+        coded = [raw[i:j] for i, j in zip(cuts[:-1], cuts[1:], strict=True)]
+        for k in np.flatnonzero(apart.to_numpy(zero_copy_only=False)).tolist():
+            coded[k] = self.whole(texts[k].as_py()).tobytes()
+        return coded
 
     def encode(self, text: str) -> bytes:
-        return self.encode_all([text])[0]
+        return self.encode_all(pa.array([text]))[0]
 
 
 @lru_cache(maxsize=2)
@@ -296,6 +313,19 @@ def open_shard(path: str) -> WaveletFile:
     return WaveletFile(where.open_input_file(name))
 
 
+def grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The rows of ``batches`` in groups of GROUP_BYTES; a batch is never cut."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.nbytes
+        if size >= GROUP_BYTES:
+            yield pa.Table.from_batches(held)
+            held, size = [], 0
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 MANIFEST = "part int, number int, path string, n_ids long, n_docs long"
 
 
@@ -317,9 +347,8 @@ def write_shards(docs: DataFrame, folder: str, path: str = VOCABULARY, end_id: i
             row = {"part": [task.partitionId()], "number": [number], "path": [f"{folder}/{file}"], "n_ids": [total], "n_docs": [len(held)]}
             return pa.RecordBatch.from_pydict(row, schema=pa.schema([("part", pa.int32()), ("number", pa.int32()), ("path", pa.string()), ("n_ids", pa.int64()), ("n_docs", pa.int64())]))
 
-        for batch in batches:
-            coded_texts = own.encode_all([t.as_py() or "" for t in batch.column("text")])
-            for doc_id, coded in zip(batch.column("doc_id").to_pylist(), coded_texts, strict=True):
+        for group in grouped(batches):
+            for doc_id, coded in zip(group.column("doc_id").to_pylist(), own.encode_all(group.column("text").combine_chunks()), strict=True):
                 coded += end
                 held.append((doc_id, len(coded) // 4))
                 ids.append(coded)
@@ -331,7 +360,7 @@ def write_shards(docs: DataFrame, folder: str, path: str = VOCABULARY, end_id: i
             yield close()
 
     scratch.bound_batches(docs.sparkSession)
-    in_order = docs.select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id")
+    in_order = docs.select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
     return scratch.save(in_order.mapInArrow(run, MANIFEST), "shards")
 
 
