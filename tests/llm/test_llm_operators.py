@@ -109,7 +109,7 @@ def test_hash_collisions_are_told_apart(spark):
 def test_targets_by_filling_up(spark):
     sizes = {"a": 100, "b": 1000, "c": 1000, "d": 50, None: 500}
     docs = docs_of(spark, [(k, "w " * n, s) for k, (s, n) in enumerate(sizes.items())])
-    plan = {(None if r.s.none else r.s.name): r.target for r in pareto_mix.targets(pareto_mix.sized(docs)).collect()}
+    plan = {(None if r.s.none else r.s.name): r.target for r in pareto_mix.targets(pareto_mix.measured_sources(pareto_mix.sized(docs))).collect()}
     names = ["a", "b", "c", "d", None]
     weight = dict(zip(names, [5, 2, 1, 5, 2], strict=True))
     left, active, want = 1.5 * sum(sizes.values()), set(names), {}
@@ -126,21 +126,87 @@ def test_targets_by_filling_up(spark):
     assert plan == pytest.approx(want)
 
 
-def test_mix_meets_targets(spark, hard, empty):
-    rows = [(k, " ".join(words(10 + k % 50, k)), f"s{k % 4}") for k in range(2000)]
+def brute_mix(rows):
+    """Copies of each row (doc_id, text, source), and its source's size and target, one by one."""
+    sizes = [len((r[1] or "").encode().split()) for r in rows]
+    names = sorted({r[2] for r in rows}, key=lambda s: (s is None, s))
+    weight = {s: (5, 2, 1)[k % 3] for k, s in enumerate(names)}
+    own = {s: sum(n for n, r in zip(sizes, rows, strict=True) if r[2] == s) for s in names}
+
+    def filled(amount, weights, caps):
+        """What each gets when ``amount`` is shared by weight up to the caps."""
+        got, open_ = {}, set(weights)
+        while open_:
+            level = amount / sum(weights[x] for x in open_)
+            full = {x for x in open_ if caps[x] < level * weights[x]}
+            if not full:
+                return got | {x: level * weights[x] for x in open_}
+            got |= {x: caps[x] for x in full}
+            amount -= sum(caps[x] for x in full)
+            open_ -= full
+        return got
+
+    target = filled(1.5 * sum(sizes), weight, {s: 2.0 * own[s] for s in names})
+    copies = [0] * len(rows)
+    for name in names:
+        at = [k for k, r in enumerate(rows) if r[2] == name]
+        classes = {k: min(11, len(f"{sizes[k]:b}")) for k in at}
+        words = {c: sum(sizes[k] for k in at if classes[k] == c) for c in set(classes.values())}
+        words = {c: n for c, n in words.items() if n}
+        got = filled(target[name], {c: c * n for c, n in words.items()}, {c: 2.0 * n for c, n in words.items()})
+        expected = {c: got[c] / words[c] for c in words}
+        rest, order = target[name], []
+        for k in at:
+            e = expected.get(classes[k], 2.0)
+            copies[k] = int(e)
+            rest -= sizes[k] * int(e)
+            u = (int(hashlib.md5(f"mix:{'' if rows[k][0] is None else rows[k][0]}".encode()).hexdigest()[:12], 16) + 0.5) / 2**48
+            if e > int(e):
+                order.append(((u / (1 - u)) / ((e - int(e)) / (1 - (e - int(e)))), (rows[k][0] is not None, rows[k][0]), sizes[k], k))
+        gone = 0
+        for _, _, size, k in sorted(order):
+            copies[k] += gone + size / 2 <= rest
+            gone += size
+    return copies, sizes, own, target
+
+
+@pytest.mark.parametrize("slices", [4096, 16])
+def test_mix_equals_brute_force(spark, hard, empty, monkeypatch, slices):
+    monkeypatch.setattr(pareto_mix, "SLICES", slices)
+    rng = random.Random(9)
+    rows = [(k, " ".join(words(max(1, int(rng.lognormvariate(3 + k % 3, 1))), k)), rng.choice(["s0", "s0", "s1", "s2", "s3", "s4", None])) for k in range(1500)]
+    rows += [(7, "one two three", "s1"), (7, "one two three", "s1"), (None, "no id at all", "s2"), (8, None, "s3"), (9, "", "only empty")]
     docs = docs_of(spark, rows)
-    sizes = pareto_mix.sized(docs)
-    got = pareto_mix.allocate(sizes, pareto_mix.targets(sizes)).toPandas()
-    by = got.assign(name=got.s.map(lambda s: s["name"])).groupby("name").agg(taken=("taken", "sum"), target=("target", "first"))
-    assert (abs(by.taken - by.target) <= 30).all()
-    assert (got.taken <= 2 * got["size"]).all()
+    copies, sizes, own, target = brute_mix(rows)
+    narrow = pareto_mix.scratch.save(pareto_mix.sized(docs).drop("text", "lang", "n_chars"), "sizes")
+    got = sorted((r.doc_id or -1, r.size, r.source_size, round(r.target, 6), r.taken) for r in pareto_mix.allocate(narrow, pareto_mix.plan_of(narrow)).collect())
+    assert got == sorted((r[0] or -1, n, own[r[2]], round(target[r[2]], 6), n * c) for r, n, c in zip(rows, sizes, copies, strict=True))
+    for name in own:
+        taken = sum(n * c for r, n, c in zip(rows, sizes, copies, strict=True) if r[2] == name)
+        assert abs(taken - target[name]) <= max([n for r, n in zip(rows, sizes, strict=True) if r[2] == name]) / 2 + 1e-6
+    by_id = {}  # rows that repeat id, source and size share a decision, the largest
+    for r, n, c in zip(rows, sizes, copies, strict=True):
+        by_id[r[0], r[2], n] = max(by_id.get((r[0], r[2], n), 0), c if n else 1)
     twice = pareto_mix.repeat_rows(spark, docs)
-    assert twice.count() == int(got.copies.sum()) and twice.columns == docs.columns
-    assert pareto_mix.repeat_rows(spark, hard).columns == hard.columns
-    assert pareto_mix.repeat_rows(spark, hard).filter("doc_id in (1, 2, 3)").count() == 3
+    assert twice.columns == docs.columns
+    assert sorted((r.doc_id or -1, r.text or "") for r in twice.collect()) == sorted((r[0] or -1, r[1] or "") for r, n in zip(rows, sizes, strict=True) for _ in range(by_id[r[0], r[2], n]))
+
+
+def test_mix_of_hard_rows(spark, hard, empty):
+    clash = hard.withColumns({c: F.lit("mine") for c in ("s", "size", "u", "k", "rank", "row", "copies", "id", "none", "_id")})
+    got = pareto_mix.repeat_rows(spark, clash)
+    assert got.columns == clash.columns and got.filter("doc_id in (1, 2, 3)").count() == 3
+    assert got.filter("s <> 'mine' or row <> 'mine' or id <> 'mine'").count() == 0
     assert pareto_mix.repeat_rows(spark, empty).count() == 0
 
 
+def test_mix_prefers_long_texts():
+    """Inclusion differs inside a source: the Pareto order is not the order of the draws."""
+    rows = [(k, "w " * (1000 if k % 2 else 30), "c") for k in range(400)] + [(1000, "w", "a"), (1001, "w", "b")]
+    copies, *_ = brute_mix(rows)
+    assert np.mean(copies[1:400:2]) > np.mean(copies[:400:2])
+
+
 # 4: wavelet files
 
 
@@ -446,7 +512,9 @@ def test_rule_ensemble(spark, hard, empty):
 # shared parts
 
 
-def test_weighted_join_with_a_hot_key(spark):
+@pytest.mark.parametrize("few", [0, 10_000])
+def test_weighted_join_with_a_hot_key(spark, monkeypatch, few):
+    monkeypatch.setattr(joins, "FEW_ROWS", few)
     left = spark.range(5000).withColumn("k", F.when(F.col("id") < 3000, 0).otherwise(F.col("id")))
     right = left.groupBy("k").agg(F.count("*").alias("n")).filter("k % 2 = 0").withColumn("v", F.col("k") + 1)
     got = joins.weighted_join(left, right, ["k"], "n")

@@ -4,7 +4,7 @@ import hashlib
 from collections import Counter
 
 import corpus_pipeline as pipeline
-from test_llm_operators import brute_components, brute_metrics, docs_of, words
+from test_llm_operators import brute_components, brute_metrics, brute_mix, docs_of, words
 
 from voxmill.llm import byte_bpe
 
@@ -33,7 +33,8 @@ def test_stages_equal_brute_force(spark):
     assert out.columns == columns and sorted(r.doc_id for r in out.collect()) == kept
     out = pipeline.STAGES[3][1](spark, out, "")
     copies = Counter(r.doc_id for r in out.collect())
-    assert out.columns == columns and set(copies) <= set(kept) and max(copies.values()) <= 2
+    mixed = [r for r in rows if r[0] in set(kept)]
+    assert out.columns == columns and copies == Counter({r[0]: c for r, c in zip(mixed, brute_mix(mixed)[0], strict=True) if c})
     texts, own = dict(left), byte_bpe.codec(byte_bpe.VOCABULARY)
     got = pipeline.STAGES[4][1](spark, out, "").collect()
     assert Counter(r.doc_id for r in got) == copies

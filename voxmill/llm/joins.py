@@ -10,16 +10,20 @@ from pyspark.sql import functions as F
 HOT_SHARE = 1000
 #: Rows that a narrow side may have to be broadcast whole; above this both sides are shuffled.
 BROADCAST_ROWS = 200_000
+#: Rows up to which ``weighted_join`` broadcasts its right side whole.
+FEW_ROWS = 10_000
 
 
 def weighted_join(left: DataFrame, right: DataFrame, keys: list[str], weight: str, how: str = "left") -> DataFrame:
     """Join ``left`` to ``right``, which has one row per key and in ``weight`` its rows in ``left``.
 
-    The hot keys' rows of ``right`` are broadcast (fewer than HOT_SHARE by arithmetic), all
-    others meet in a shuffle in which no key has more than 1/HOT_SHARE of the rows. Keys must
-    not be null.
+    ``right`` is counted: up to FEW_ROWS rows it is broadcast. Beyond that the hot keys' rows are
+    (fewer than HOT_SHARE by arithmetic), and all others meet in a shuffle in which no key has
+    more than 1/HOT_SHARE of the rows. Keys must not be null.
     """
-    total = right.agg(F.sum(weight)).first()[0] or 0
+    total, rows = right.agg(F.coalesce(F.sum(weight), F.lit(0)), F.count("*")).first()
+    if rows <= FEW_ROWS:
+        return left.join(F.broadcast(right), keys, how)
     is_hot = F.col(weight) * HOT_SHARE > F.lit(total)
     hot, cold = right.filter(is_hot), right.filter(~is_hot)
     met = left.join(F.broadcast(hot), keys, "inner")
