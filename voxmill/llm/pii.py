@@ -36,7 +36,8 @@ DOTTED = re.compile(r"[0-9]+(?:\.[0-9]+)*")
 CHAIN = re.compile(r"[0-9](?:[\x20-]?[0-9])*")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 URL = re.compile(r"[^\x00-\x20<>\"'`{}|\\^]+")
-HOST = re.compile(r"(?:[^/?#@]*@)?[^/?#:.]+(?:\.[^/?#:.]+)+")
+HOST_SIGN = r"[^\x00-\x20<>\"'`{}|\\^/?#@"  # ends at the next slash, so no two hosts share a sign
+HOST = re.compile(rf"(?:{HOST_SIGN}]*@)?{HOST_SIGN}:.]+(?:\.{HOST_SIGN}:.]+)+")
 IDENTIFIER = re.compile(r"[\x20]{0,3}(?:number|no\.?|nr\.?)?[\x20]{0,3}[=:#]?[\x20]{0,3}[\"']?([A-Za-z0-9][A-Za-z0-9-]{5,})")
 
 
@@ -117,9 +118,8 @@ class Spans:
 
     def url(self, at: int, after: int) -> None:
         """From the scheme to the last character that is not closing punctuation."""
-        rest = URL.match(self.text, after) if at >= self.free["url"] else None
-        if rest and HOST.match(self.text, after, rest.end()):
-            end = after + len(rest[0].rstrip(".,;:!?)]"))
+        if at >= self.free["url"] and HOST.match(self.text, after):
+            end = after + len(URL.match(self.text, after)[0].rstrip(".,;:!?)]"))
             self.free["url"] = end
             self.add("url", at, end)
 
