@@ -1,15 +1,18 @@
 """Operator 2: quality rules judged by text and by host.
 
 Each document gets counts over its whole text and two base rules. The failures are summed by
-host (``source``), each host's failure rate is shrunk by a beta prior fitted to all hosts, and
-a host whose shrunk rate is above ``max_rate`` loses all its documents.
+host (``source``) and each host's failure rate is shrunk by a beta prior fitted to all hosts. A
+host loses all its documents if its shrunk rate stands out from the prior: more than DEVIATIONS
+of the prior's standard deviations above its mean. The limit is never below MIN_RATE, so that a
+host of mostly good documents stays however alike the others are, and never above MAX_RATE.
 
 Cases. Null text counts as empty: no words, so the base rules reject it. A null host is no
 host: such documents are judged by the base rules alone and have no part in the prior.
 Repeated rows and repeated ids are judged row by row. An empty table gives an empty result.
 With one host, or if no or every document fails, the prior has no spread: every rate is then
 shrunk towards the common rate with the largest strength. Columns that the input has beside
-``text`` and the host are passed on; those named like an output column are replaced.
+``text`` and the host are passed on, whatever their names; only METRICS and ``base_failed`` are
+replaced, and nothing is by ``keep_good``.
 """
 
 from __future__ import annotations
@@ -26,6 +29,8 @@ PLACE_BITS = 24
 METRICS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 #: Limits of the intra-class correlation that the moments give; 1/r - 1 is the prior's strength.
 MIN_CORRELATION, MAX_CORRELATION = 1e-4, 0.99
+#: When a host's shrunk failure rate stands out.
+DEVIATIONS, MIN_RATE, MAX_RATE = 3.0, 0.25, 0.5
 
 
 def repeated_line_count(text: Column) -> Column:
@@ -70,8 +75,9 @@ def with_repeated_words(df: DataFrame, words: str, out: str) -> DataFrame:
 
 def measure(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with METRICS and ``base_failed``; all native expressions over the whole text."""
-    held = docs.drop(*METRICS, "base_failed", "_t", "_w", "_fence")
-    held = held.withColumn("_t", F.coalesce(F.col(text), F.lit(""))).withColumn("_w", words_of(F.col("_t")))
+    others = [c for c in docs.columns if c.lower() not in (*METRICS, "base_failed")]
+    held = docs.select(F.struct(*others).alias("_row"), F.coalesce(F.col(text), F.lit("")).alias("_t"))
+    held = held.withColumn("_w", words_of(F.col("_t")))
     held = held.withColumns({
         "n_words": F.size("_w").cast("long"),
         "word_chars": F.length(F.array_join("_w", "")).cast("long"),
@@ -82,14 +88,14 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     # the fence is not deterministic, so no later filter is moved below it and computed there anew
     held = held.withColumns({"base_failed": failed, "_fence": F.monotonically_increasing_id()})
-    return held.filter("_fence >= 0").drop("_t", "_w", "_fence")
+    return held.filter("_fence >= 0").select("_row.*", *METRICS, "base_failed")
 
 
-def judge_hosts(measured: DataFrame, host: str = "source", max_rate: float = 0.5) -> DataFrame:
+def judge_hosts(measured: DataFrame, host: str = "source", deviations: float = DEVIATIONS, min_rate: float = MIN_RATE, max_rate: float = MAX_RATE) -> DataFrame:
     """One row per host: ``host_docs``, ``host_failed``, ``host_rate`` (shrunk), ``host_kept``.
 
     The prior comes from the moments of the hosts' rates, weighted by their documents; only its
-    two numbers come to the driver.
+    numbers come to the driver.
     """
     hosts = measured.filter(F.col(host).isNotNull()).groupBy(F.col(host)).agg(F.count("*").alias("host_docs"), F.sum(F.col("base_failed").cast("long")).alias("host_failed"))
     d, f = F.col("host_docs"), F.col("host_failed")
@@ -100,10 +106,12 @@ def judge_hosts(measured: DataFrame, host: str = "source", max_rate: float = 0.5
     free = F.col("n") - F.try_divide(F.col("nn"), F.col("n")) - (F.col("k") - 1)
     raw = F.when((noise > 0) & (free > 0), (spread / noise - (F.col("k") - 1)) / free).otherwise(F.lit(0.0))
     kept = F.greatest(F.lit(MIN_CORRELATION), F.least(F.lit(MAX_CORRELATION), raw))
-    prior = sums.select(F.coalesce(mean, F.lit(0.0)).alias("mean"), (1 / kept - 1).alias("size")).first()  # two numbers
+    outlier = F.coalesce(mean + deviations * F.sqrt(noise * kept), F.lit(0.0))  # a beta prior of size 1/r - 1
+    limit = F.greatest(F.lit(min_rate), F.least(F.lit(max_rate), outlier))
+    prior = sums.select(F.coalesce(mean, F.lit(0.0)).alias("mean"), (1 / kept - 1).alias("size"), limit.alias("limit")).first()  # three numbers
     rate = F.round((f + F.lit(prior["mean"]) * F.lit(prior["size"])) / (d + F.lit(prior["size"])), 6)
     judged = hosts.withColumn("host_rate", rate)
-    return judged.select(host, "host_docs", "host_failed", "host_rate", (F.col("host_rate") <= max_rate).alias("host_kept"))
+    return judged.select(host, "host_docs", "host_failed", "host_rate", (F.col("host_rate") <= F.lit(prior["limit"])).alias("host_kept"))
 
 
 def apply_verdicts(measured: DataFrame, hosts: DataFrame, host: str = "source") -> DataFrame:
@@ -128,9 +136,9 @@ def keep_good(spark: SparkSession, docs: DataFrame, host: str = "source") -> Dat
     Only rejected hosts meet the texts, in a join that broadcasts them if they are few.
     """
     hosts = scratch.save(judge_hosts(measure(docs.select("text", host)), host), "hosts")
-    bad = hosts.filter("not host_kept").select(host)
-    good = measure(docs.withColumn("_all", F.struct(*docs.columns)).select("_all", "text", host)).filter("not base_failed")
-    return joins.keyed_filter(good, bad, [host], "left_anti").select("_all.*")
+    bad = hosts.filter("not host_kept").select(F.col(host).alias("host"))
+    good = measure(docs.select(F.struct(*docs.columns).alias("row"), F.col("text").alias("text"), F.col(host).alias("host"))).filter("not base_failed")
+    return joins.keyed_filter(good, bad, ["host"], "left_anti").select("row.*")
 
 
 SQL = r"""
@@ -147,10 +155,10 @@ m AS (SELECT doc_id, source, len(w)::BIGINT AS n_words, coalesce(list_sum(list_t
 b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m),
 h AS (SELECT source, count(*)::DOUBLE AS d, sum(base_failed::INT)::DOUBLE AS f FROM b WHERE source IS NOT NULL GROUP BY source),
 s AS (SELECT count(*) AS k, sum(d) AS n, sum(f) AS f, sum(f * f / d) AS ff, sum(d * d) AS nn FROM h),
-c AS (SELECT f / n AS mean, greatest(0.0001, least(0.99, CASE WHEN f / n * (1 - f / n) > 0 AND n - nn / n - (k - 1) > 0
-             THEN ((ff - f * (f / n)) / (f / n * (1 - f / n)) - (k - 1)) / (n - nn / n - (k - 1)) ELSE 0 END)) AS r FROM s),
-v AS (SELECT source, round((h.f + mean * (1 / r - 1)) / (d + (1 / r - 1)), 6) AS host_rate FROM h, c)
+c AS (SELECT *, greatest(0.25::DOUBLE, least(0.5::DOUBLE, mean + 3 * sqrt(mean * (1 - mean) * r))) AS lim FROM (SELECT f / n AS mean, greatest(0.0001, least(0.99, CASE WHEN f / n * (1 - f / n) > 0 AND n - nn / n - (k - 1) > 0
+             THEN ((ff - f * (f / n)) / (f / n * (1 - f / n)) - (k - 1)) / (n - nn / n - (k - 1)) ELSE 0 END)) AS r FROM s)),
+v AS (SELECT source, lim, round((h.f + mean * (1 / r - 1)) / (d + (1 / r - 1)), 6) AS host_rate FROM h, c)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       NOT base_failed AND coalesce(host_rate <= 0.5, true) AS kept, host_rate
+       NOT base_failed AND coalesce(host_rate <= lim, true) AS kept, host_rate
 FROM b LEFT JOIN v USING (source)
 """
