@@ -1,7 +1,10 @@
 """Each operator on small cases: nulls, empty and long texts, ties, repeated rows, empty tables."""
 
 import hashlib
+import math
 import random
+import re
+import time
 import zlib
 
 import numpy as np
@@ -18,6 +21,7 @@ from voxmill.llm import (
     ngram_join,
     pareto_mix,
     pii,
+    registry,
     rule_ensemble,
     shingles,
     substring_dedup,
@@ -84,6 +88,31 @@ def test_bad_host_loses_its_good_documents(spark, empty):
     assert host_rules.keep_good(spark, empty).count() == 0
 
 
+def test_host_that_stands_out(spark):
+    """A host far above the others goes although most of its documents pass; mostly good hosts stay."""
+    good, bad = " ".join(words(80)), "too short"
+    rates = {f"h{k}": 0.02 for k in range(20)} | {"odd": 0.4, "some": 0.2}
+    rows = [(1000 * i + k, bad if k < 100 * rate else good, host) for i, (host, rate) in enumerate(rates.items()) for k in range(100)]
+    hosts = {r.source: r.host_kept for r in host_rules.judge_hosts(host_rules.measure(docs_of(spark, rows))).collect()}
+    assert {h for h, kept in hosts.items() if not kept} == {"odd"}
+    measured = host_rules.scratch.save(host_rules.measure(docs_of(spark, rows)), "measured")
+    verdicts = host_rules.apply_verdicts(measured, host_rules.judge_hosts(measured)).collect()
+    assert all(r.kept == (not r.base_failed and r.source != "odd") for r in verdicts) and len(verdicts) == len(rows)
+
+
+CLASH = ("_t", "_w", "_row", "_h", "_g", "_k", "_e", "_fence", "_id", "h", "sha", "more", "row", "none", "id", "n", "tag", "host", "base_failed", "n_words", "host_rate")
+
+
+def test_columns_of_any_name(spark, hard):
+    clash = hard.withColumns({c: F.lit("mine") for c in CLASH})
+    for out in (host_rules.keep_good(spark, clash.withColumn("text", F.lit(" ".join(words(80))))), exact_dedup.keep_first(spark, clash), ngram_join.keep_one(spark, clash)):
+        assert out.columns == clash.columns and out.count() > 0
+        assert out.filter(" or ".join(f"{c} <> 'mine' or {c} is null" for c in CLASH)).count() == 0
+    kept = [c for c in CLASH if c not in (*host_rules.METRICS, "base_failed")]
+    for out in (host_rules.measure(clash), rule_ensemble.with_statistics(clash)):
+        assert out.filter(" or ".join(f"{c} <> 'mine'" for c in kept)).count() == 0 and out.count() == len(HARD)
+
+
 # 3: exact dedup
 
 
@@ -92,6 +121,9 @@ def test_exact_dedup(spark, hard, empty):
     assert (1, 1, 2, True) in got and (2, 1, 2, False) in got and (3, 3, 1, True) in got
     assert sorted(k for d, _, _, k in [(r.doc_id, 0, 0, r.kept) for r in exact_dedup.verdicts(hard).collect()] if d == 4) == [False, True]
     assert exact_dedup.verdicts(empty).count() == 0
+    odd = docs_of(spark, [(None, "a"), (None, "a"), (3, "a b"), (3, "a  b"), (3, "a c")]).withColumn("doc_id", F.col("doc_id").cast("string"))
+    odd = odd.unionByName(odd.filter("text = 'a b'").withColumns({"doc_id": F.lit("null"), "text": F.lit("a")}))
+    assert sorted((str(r.doc_id), r.text[:3].split()[-1]) for r in exact_dedup.keep_first(spark, odd).collect()) == [("3", "b"), ("3", "c"), ("null", "a")]
     left = exact_dedup.keep_first(spark, hard)
     assert left.columns == hard.columns
     assert sorted(r.doc_id or 0 for r in left.collect()) == [0, 1, 3, 4, 5, 6]
@@ -99,8 +131,13 @@ def test_exact_dedup(spark, hard, empty):
 
 def test_hash_collisions_are_told_apart(spark):
     docs = docs_of(spark, [(k, f"text {k % 5}") for k in range(40)])
-    weak = exact_dedup.verdicts(docs, lambda t: F.unhex(F.substring(F.md5(F.length(t).cast("string")), 1, 2)))
-    assert {(r.doc_id, r.keep_id) for r in weak.collect()} == {(k, k % 5) for k in range(40)}
+
+    def weak(t):
+        return F.unhex(F.substring(F.md5(F.length(t).cast("string")), 1, 2))
+
+    for hashes in ((weak, exact_dedup.sha_of), (weak, weak)):  # by the second hash, by the bytes
+        assert {(r.doc_id, r.keep_id) for r in exact_dedup.verdicts(docs, hashes).collect()} == {(k, k % 5) for k in range(40)}
+        assert sorted(r.doc_id for r in exact_dedup.keep_first(spark, docs, hashes).collect()) == [0, 1, 2, 3, 4]
 
 
 # 8: mixing
@@ -328,6 +365,51 @@ def test_pii_base_equals_patterns(hard, empty):
     assert pii.find(empty).count() == 0
 
 
+def test_pii_is_linear():
+    for part in ("http://", "http://a@", "a@", "+1 ", "1.", "1 ", "token=abcde-", "ftp://x.y:"):
+        start = time.process_time()
+        pii.Spans(part * (1_000_000 // len(part)))
+        assert time.process_time() - start < 20, part
+
+
+@pytest.fixture(scope="module")
+def tables(spark, tmp_path_factory):
+    """A folder with documents, labels and pages, as the queries read them."""
+    folder, rng = str(tmp_path_factory.mktemp("tables")), random.Random(11)
+    found = ["a.b@c.org", "10.2.3.4", "1.2.3.400", "4111 1111 1111 1111", "4111111111111112", "+1 (415) 555-0100", "+1 23", 'token = "04db99bab91"', "see https://x.org/a.", "IBAN DE89370400440532013000"]
+    rows = list(HARD)
+    for k in range(300):
+        own = words(rng.choice([5, 60, 120]), k)
+        for _ in range(rng.randrange(3)):
+            own.insert(rng.randrange(len(own)), rng.choice(found))
+        rows.append((100 + k, " ".join(w.upper() + "!!" if k % 3 == 0 else w for w in own), f"s{k % 4}"))
+    docs_of(spark, rows).write.parquet(f"{folder}/documents.parquet")
+    labels = [(100 + k, int(k % 3 != 0), 0) for k in range(300)] + [(100, None, 0), (5_000_000, 1, 0), (None, 1, 0)]
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    pages = [(k, f"http://h/{k}", rng.choice(["x" * 1200, "y" * 900, None, f"{k}" * 600])) for k in range(60)]
+    spark.createDataFrame(pages, "page_id long, url string, html string").write.parquet(f"{folder}/pages.parquet")
+    return folder
+
+
+def test_pii_query_equals_brute_force(spark, tables):
+    rows = spark.read.parquet(f"{tables}/documents.parquet").collect()
+    want, planted, caught = [], 0, 0
+    for r in rows:
+        base = brute_spans(r.text or "")
+        spans = [(kind, *span) for kind in pii.BASE_KINDS for span in base[kind]]
+        joined = ",".join(":".join(map(str, s)) for s in spans)
+        want.append((r.doc_id or -1, *[len(base[k]) for k in pii.BASE_KINDS], hashlib.sha256(joined.encode()).hexdigest(), joined))
+    got = registry.QUERIES["op6_pii_anchors"](spark, tables).collect()
+    assert sorted((r.doc_id or -1, r.n_email, r.n_ip, r.n_card, r.n_phone, r.base_sha256, ",".join(s for s in r.spans.split(",") if s.split(":")[0] in pii.BASE_KINDS)) for r in got) == sorted(want)
+    texts = {r.doc_id: (r.text or "") for r in rows}
+    for r in got:  # the recall of the kinds that the method adds
+        for kind, sign in (("account", "04DB99BAB91|04db99bab91|DE89370400440532013000"), ("url", "(?i)https://x.org/a")):
+            places = {m.span() for m in re.finditer(sign, texts[r.doc_id])}
+            planted += len(places)
+            caught += len(places & {tuple(map(int, s.split(":")[1:])) for s in r.spans.split(",") if s.startswith(kind)})
+    assert planted > 50 and caught == planted
+
+
 # 7: WARC
 
 
@@ -509,6 +591,48 @@ def test_rule_ensemble(spark, hard, empty):
     assert rule_ensemble.fit(train.filter("false").select("doc_id", "label", *rule_ensemble.STATISTICS)).rules == ()
 
 
+def brute_score(model, statistics):
+    """The score of one row of statistics, rule by rule."""
+    total = model.intercept
+    for rule, weight in model.rules:
+        total += weight * all((statistics[n] <= v) if upper else (statistics[n] > v) for n, upper, v in rule.bounds)
+    return 1 / (1 + math.exp(-total))
+
+
+def test_rule_ensemble_query(spark, tables, monkeypatch):
+    """The split, what is learnt from, and every score against the rules one by one."""
+    fitted = {}
+    fit = rule_ensemble.fit
+
+    def keep(labelled, *args):
+        fitted["ids"] = sorted(r.doc_id for r in labelled.select("doc_id").collect())
+        fitted["model"] = fit(labelled, *args)
+        return fitted["model"]
+
+    monkeypatch.setattr(rule_ensemble, "fit", keep)
+    got = registry.QUERIES["op1_quality_rule_ensemble"](spark, tables).collect()
+    apart = {d: zlib.crc32(str(d).encode()) % 4 == 2 for d in range(100, 400)}
+    assert fitted["ids"] == [d for d, out in apart.items() if not out and d in apart]
+    assert len(got) == 300 + len(HARD) and all(r.held_out == apart.get(r.doc_id, r.held_out) for r in got)
+    rows = rule_ensemble.with_statistics(spark.read.parquet(f"{tables}/documents.parquet")).collect()
+    want = sorted((r.doc_id or -1, round(brute_score(fitted["model"], r), 9)) for r in rows)
+    assert sorted((r.doc_id or -1, round(r.score, 9)) for r in got) == want
+    assert all(r.predicted == (r.score >= 0.7) and 0 <= r.score <= 1 for r in got)
+    right = [r.predicted == ((r.doc_id - 100) % 3 != 0) for r in got if r.held_out and r.doc_id and 100 <= r.doc_id < 400]
+    assert np.mean(right) > 0.9
+
+
+def test_known_labels(spark):
+    rows = [(1, 1), (1, 1), (1, 0), (2, 1), (2, 0), (3, None), (None, 1), (4, 0)]
+    got = rule_ensemble.known_labels(spark.createDataFrame(rows, "doc_id long, quality int")).collect()
+    assert {(r.doc_id, r.label) for r in got} == {(1, 1), (4, 0)}
+
+
+def test_registry():
+    assert [int(n.split("_")[0][2:]) for n in registry.QUERIES] == list(range(1, 11))
+    assert set(registry.ORACLE_SQL) <= set(registry.QUERIES)
+
+
 # shared parts
 
 

@@ -8,7 +8,8 @@ a weight compiled to one column expression. Trees and weights are fitted by Spar
 Cases. Null and empty texts have statistics of 0 and get a score. Rows are scored one by one,
 so ties and repeats need no rule. Labels of unknown documents, null labels and labels that
 disagree evenly are left out. Without labels of both kinds the score is the smoothed share of
-label 1 (0.5 with no labels at all). Other columns are not used.
+label 1 (0.5 with no labels at all). Other columns are passed on by ``with_statistics``; those
+named like a statistic are replaced.
 """
 
 from __future__ import annotations
@@ -34,7 +35,8 @@ STATISTICS = ("n_words", "word_length", "symbols", "upper", "digits", "exclaims"
 
 def with_statistics(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with STATISTICS of the whole text: counts of words, else shares."""
-    held = docs.withColumn("_t", F.coalesce(F.col(text), F.lit("")))
+    others = [c for c in docs.columns if c.lower() not in STATISTICS]
+    held = docs.select(F.struct(*others).alias("_row"), F.coalesce(F.col(text), F.lit("")).alias("_t"))
     held = held.withColumn("_w", words_of(F.col("_t"))).withColumns({"_n": F.size("_w").cast("double"), "_c": F.length(F.array_join("_w", "")).cast("double")})
 
     def share(part: Column, of: str = "_c") -> Column:
@@ -57,7 +59,7 @@ def with_statistics(docs: DataFrame, text: str = "text") -> DataFrame:
         "repeated_lines": repeated_line_count(F.col("_t")).cast("double") / lines,
         "line_words": F.col("_n") / lines,
     })
-    return held.drop("_t", "_w", "_n", "_c")
+    return held.select("_row.*", *STATISTICS)
 
 
 @dataclass(frozen=True)
