@@ -495,17 +495,22 @@ def test_ngram_join_of_a_group_in_pieces(spark, monkeypatch):
     assert got == brute_components(rows)[0] and got[10] == 5
 
 
-def test_tree_and_forest_equal_brute_force():
+@pytest.mark.parametrize(("pilots", "walkers", "states"), [(16, 4096, 1_000_000), (1, 3, 5)])
+def test_tree_and_forest_equal_brute_force(monkeypatch, pilots, walkers, states):
+    for name, value in (("PILOTS", pilots), ("WALKERS", walkers), ("STATES", states)):
+        monkeypatch.setattr(ngram_join, name, value)
     rng = random.Random(4)
     for turn in range(60):
         sets, blocks = [], []
         for block in range(rng.randrange(1, 4)):
             base = [rng.getrandbits(64) for _ in range(rng.randrange(1, 50))]
-            for _ in range(rng.randrange(1, 10)):
+            pool = [rng.getrandbits(64) for _ in range(6)]
+            for _ in range(rng.choice([1, 5, 10, 90 if turn % 10 == 0 else 20])):
                 own = set(base)
                 for _ in range(rng.randrange(1 + len(base) // 6)):
                     own.discard(rng.choice(base))
-                    own.add(rng.getrandbits(64))
+                    own.add(rng.choice(pool) if turn % 3 else rng.getrandbits(64))
+                own |= {rng.getrandbits(64) for _ in range(rng.choice([0, 0, len(base) // 5]))}
                 sets.append(np.array(sorted(own), dtype=np.uint64))
                 blocks.append(block)
         n = len(sets)
@@ -513,7 +518,7 @@ def test_tree_and_forest_equal_brute_force():
         forests = ngram_join.Forest(n), ngram_join.Forest(n)
         for a in range(n):
             for b in range(a):
-                both = len(np.intersect1d(sets[a], sets[b]))
+                both = len(np.intersect1d(sets[a], sets[b], assume_unique=True)) if blocks[a] == blocks[b] else 0
                 if blocks[a] == blocks[b] and (sides[a] == 0 or sides[a] != sides[b]) and 100 * both >= 80 * (len(sets[a]) + len(sets[b]) - both):
                     forests[0].join(a, b)
         for a, b in ngram_join.tree_links(np.array(blocks), sets, np.array(sides)):
@@ -521,6 +526,25 @@ def test_tree_and_forest_equal_brute_force():
         assert [forests[0].root(k) for k in range(n)] == [forests[1].root(k) for k in range(n)]
 
 
+def test_tree_of_near_misses_and_of_one_large_cluster():
+    """A common part of four fifths with own fifths, and near copies of one text: not quadratic."""
+    rng = np.random.default_rng(5)
+    common = rng.integers(0, 1 << 63, 100, dtype=np.uint64)
+    near_misses = [np.unique(np.concatenate([common, rng.integers(0, 1 << 63, 25, dtype=np.uint64)])) for _ in range(3000)]
+    copies = [np.unique(np.concatenate([np.delete(common, k % 90), rng.integers(0, 1 << 63, 3, dtype=np.uint64)])) for k in range(3000)]
+    for sets, trees in ((near_misses, 3000), ([*near_misses, common], 1), (copies, 1)):
+        start = time.process_time()
+        found = ngram_join.tree_links(np.zeros(len(sets), dtype=np.int64), sets, np.zeros(len(sets), dtype=np.int64))
+        assert len(sets) - len(found) == trees and time.process_time() - start < 30
+
+
+def test_ngram_join_of_repeated_ids(spark):
+    one, two, three = words(60, 1), words(60, 2), words(60, 3)
+    rows = [(1, one), (5, one), (5, two), (8, [*two, "more"]), (9, three), (9, three), (12, [*three, "x"]), (12, one), (20, words(60, 4))]
+    got = {(r.doc_id, r.component_id) for r in ngram_join.joined(docs_of(spark, [(k, " ".join(ws)) for k, ws in rows])).collect()}
+    assert got == {(1, 1), (5, 1), (8, 1), (9, 1), (12, 1), (20, 20)}
+
+
 def test_keep_one(spark, hard):
     text = " ".join(words(100))
     docs = docs_of(spark, [(7, text), (3, text + " more"), (9, "other words here"), (None, text)])

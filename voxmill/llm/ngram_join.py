@@ -9,14 +9,15 @@
    blocks, by a spanning forest of each group and never by all its pairs.
 3. Each block's sets meet in a prefix tree, ordered by how many of them have a shingle. All
    sets walk it together, level by level: a branch holds the overlap with all documents below
-   it, and ends when even the remaining lengths can't reach the bound. Blocks above TILE_SHINGLES
+   it, and ends when even the remaining lengths can't reach the bound, or when all that is below
+   it was joined before. Blocks above TILE_SHINGLES
    are cut into tiles, and every two tiles meet, so no block is one task's.
 4. The links' components, again without collecting them, give each document its answer.
 
 Cases. Null and empty texts have no set and are linked with nothing. Fewer than five words are
-one shingle. Rows that share a ``doc_id`` are one node; rows without an id are linked with
-nothing and have no component. An empty table gives an empty result. Other columns are passed
-on by ``keep_one``.
+one shingle. Rows that share a ``doc_id`` are one node, also if their texts differ; rows without
+an id are linked with nothing and have no component. Ids are whole numbers. An empty table gives
+an empty result. Other columns, whatever their names, are passed on by ``keep_one``.
 """
 
 from __future__ import annotations
@@ -43,6 +44,8 @@ TILE_SHINGLES = 400_000
 GROUP_PAIRS = 4096
 #: Shingles that are put in one tree, from as many blocks as it takes.
 TREE_SHINGLES = 200_000
+#: Sets of a large block that walk its tree first, sets that walk together, and states of theirs.
+PILOTS, WALKERS, STATES = 16, 4096, 1_000_000
 SIGNATURE_WORDS = (8, 64)
 
 
@@ -278,82 +281,147 @@ def candidate_edges(groups: DataFrame, firsts: DataFrame) -> DataFrame:
     return met.select("key", "doc_id", "star", "n", "sig").repartition("key").sortWithinPartitions("key").mapInArrow(run, "a long, b long")
 
 
+class Runs:
+    """Rows that are known to be joined in a row, and the forest they are joined in."""
+
+    def __init__(self, n: int) -> None:
+        self.forest, self.last = Forest(n), list(range(n))
+        self.joined: list[tuple[int, int]] = []
+
+    def join(self, row: int, low: int, high: int) -> None:
+        """Join ``row`` with all rows from ``low`` to ``high``; rows joined before cost nothing."""
+        last = self.last
+        while low < high:
+            if self.forest.join(row, low):
+                self.joined.append((row, low))
+            while last[low] != low:
+                last[low] = last[last[low]]
+                low = last[low]
+            if low + 1 < high:
+                last[low] = low + 1
+            low += 1
+
+    def labels(self) -> np.ndarray:
+        return np.array([self.forest.root(k) for k in range(len(self.last))], dtype=np.int64)
+
+
+def shareable(block: np.ndarray, side: np.ndarray, owner: np.ndarray, token: np.ndarray) -> np.ndarray:
+    """Which shingles of the sets another set of their block, or of the other side of it, has."""
+    width = int(token.max(initial=0)) + 1
+
+    def often(group: np.ndarray) -> np.ndarray:
+        return (lambda found: found[2][found[1]])(np.unique(group[owner] * width + token, return_inverse=True, return_counts=True))
+
+    everywhere = often(block)
+    return np.where(side[owner] == 0, everywhere > 1, everywhere > often(block * 3 + side))
+
+
 def tree_links(blocks: np.ndarray, sets: list[np.ndarray], sides: np.ndarray) -> list[tuple[int, int]]:
-    """Links (a forest of them) between sets of the same block, found by one prefix tree.
+    """A forest that joins the sets of a block as their links do, found by one prefix tree.
 
     ``sides`` is 0 for all sets that meet each other, or 1 and 2 for sets that meet only those
-    of the other side. Sets become rows of ranks and are sorted; a node of the tree is then a
-    run of rows that agree so far. A state is a node, a set that walks the tree, and their
-    overlap so far.
+    of the other side. Shingles that no partner has are left out, and with them all sets that
+    keep less than four of five. The others become rows of ranks and are sorted; a node of the
+    tree is then a run of rows that agree so far. A state is a node, a set that walks the tree,
+    and their overlap so far; at most STATES are held at once. A few pilots of each large block
+    walk first: where they have joined all rows of a node with a set, that set needn't go.
     """
-    sizes = np.array([len(s) for s in sets])
-    owner = np.repeat(np.arange(len(sets)), sizes)
-    values, token, often = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    _, block = np.unique(np.asarray(blocks), return_inverse=True)
+    side, full = np.asarray(sides), np.array([len(s) for s in sets])
+    owner = np.repeat(np.arange(len(sets)), full)
+    values, token = np.unique(np.concatenate(sets), return_inverse=True)
+    shared = shareable(block, side, owner, token)
+    alive = 5 * np.bincount(owner[shared], minlength=len(sets)) >= 4 * full
+    used = shared & alive[owner]
+    owner, token = owner[used], token[used]
     rank = np.empty(len(values), dtype=np.int64)
-    rank[np.argsort(-often, kind="stable")] = np.arange(len(values))
+    rank[np.argsort(-np.bincount(token, minlength=len(values)), kind="stable")] = np.arange(len(values))
     ranks = rank[token]
     ranks = ranks[np.lexsort((ranks, owner))]
-    starts = np.concatenate([[0], np.cumsum(sizes)])
+    size = np.bincount(owner, minlength=len(sets))
+    start = np.concatenate([[0], np.cumsum(size)])[:-1]
     # big-endian bytes compare as the rows of ranks do, and a row comes before its extensions
-    rows = np.array(sorted(range(len(sets)), key=lambda k: (blocks[k], ranks[starts[k] : starts[k + 1]].astype(">u4").tobytes())))
-    size, start, block, side = sizes[rows], starts[:-1][rows], np.asarray(blocks)[rows], np.asarray(sides)[rows]
-    width = len(values) + 1
-    keys = np.concatenate([ranks[starts[k] : starts[k + 1]] + width * place for place, k in enumerate(rows.tolist())])
+    named = sorted((int(block[k]), ranks[start[k] : start[k] + size[k]].astype(">u4").tobytes(), int(side[k]), int(full[k]), k) for k in np.flatnonzero(alive).tolist())
+    if not named:
+        return []
+    rows = np.array([n[4] for n in named])
+    # equal rows stand together, by side and then by full size
+    equal_to = np.cumsum([True, *(x[:2] != y[:2] for x, y in zip(named[1:], named[:-1], strict=True))])
+    size, start, block, side, full = size[rows], start[rows], block[rows], side[rows], full[rows]
+    width, count = len(values) + 1, len(rows)
+    keys = np.concatenate([ranks[start[place] : start[place] + size[place]] + width * place for place in range(count)])
     key_start = np.concatenate([[0], np.cumsum(size)])
-    count, forest, out = len(rows), Forest(len(rows)), []
-
-    def bounds(lows: np.ndarray, highs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        edges = np.stack([lows, highs], axis=1).ravel()
-        padded = np.append(size, 0)
-        return np.minimum.reduceat(padded, edges)[::2], np.maximum.reduceat(padded, edges)[::2]
-
-    low = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1]]))
-    high = np.append(low[1:], count)
-    walker = np.arange(count)
-    node = np.searchsorted(low, walker, side="right") - 1
-    overlap = np.zeros(count, dtype=np.int64)
-    depth = 0
-    while len(walker):
-        # rows that have a shingle at this depth, cut into the children of the nodes
-        width_of = high - low
-        place = np.repeat(low - np.concatenate([[0], np.cumsum(width_of)[:-1]]), width_of) + np.arange(width_of.sum())
-        parent = np.repeat(np.arange(len(low)), width_of)
-        live = size[place] > depth
-        place, parent = place[live], parent[live]
-        if not len(place):
-            break
-        here = ranks[start[place] + depth]
-        first = np.flatnonzero(np.concatenate([[True], (here[1:] != here[:-1]) | (parent[1:] != parent[:-1])]))
-        low_next, high_next = place[first], place[np.append(first[1:], len(place)) - 1] + 1
-        shingle, parent = here[first], parent[first]
-        least, most = bounds(low_next, high_next)
-        child_from = np.searchsorted(parent, np.arange(len(low)), side="left")
-        child_to = np.searchsorted(parent, np.arange(len(low)), side="right")
-        fan = (child_to - child_from)[node]
-        again = np.repeat(np.arange(len(node)), fan)
-        child = np.repeat(child_from[node] - np.concatenate([[0], np.cumsum(fan)[:-1]]), fan) + np.arange(len(again))
-        walker, overlap = walker[again], overlap[again]
-        useful = high_next[child] - 1 > walker  # each pair once: the row that walks comes first
-        child, walker, overlap = child[useful], walker[useful], overlap[useful]
-        wanted = walker * width + shingle[child]
-        found = np.searchsorted(keys, wanted, side="right")
-        overlap = overlap + (keys[np.maximum(found, 1) - 1] == wanted)
-        left = size[walker] - (found - key_start[walker])
-        best = overlap + np.minimum(most[child] - depth - 1, left)
-        going = 9 * best >= 4 * (size[walker] + least[child])
-        child, walker, overlap = child[going], walker[going], overlap[going]
-        # rows that end at this node come first in it
-        ends = np.flatnonzero(least[child] == depth + 1)
-        for k in ends.tolist():
-            at, p = int(low_next[child[k]]), int(walker[k])
-            while at < high_next[child[k]] and size[at] == depth + 1:
-                if at > p and 9 * overlap[k] >= 4 * (size[p] + size[at]) and (side[p] == 0 or side[p] != side[at]) and forest.join(p, at):
-                    out.append((int(rows[p]), int(rows[at])))
-                at += 1
-        kept, node = np.unique(child, return_inverse=True)
-        low, high = low_next[kept], high_next[kept]
-        depth += 1
-    return out
+    runs = Runs(count)
+
+    def bounds(kind, of: np.ndarray, lows: np.ndarray, highs: np.ndarray) -> np.ndarray:
+        return kind.reduceat(np.append(of, 0), np.stack([lows, highs], axis=1).ravel())[::2]
+
+    def end(row: int, at: int, overlap: int) -> None:
+        """Join ``row`` with the rows that equal row ``at`` and are of the other side and small enough."""
+        low, high = at, int(np.searchsorted(equal_to, equal_to[at], side="right"))
+        if side[row]:
+            middle = low + int(np.searchsorted(side[low:high], 2))
+            low, high = (middle, high) if side[row] == 1 else (low, middle)
+        most = 9 * overlap // 4 - int(full[row])
+        runs.join(row, low, low + int(np.searchsorted(full[low:high], most, side="right")))
+
+    def walk(walkers: np.ndarray, pilots: bool) -> None:
+        """Have ``walkers`` go down the tree, past all rows (pilots) or those that come later."""
+        label = runs.labels()
+        last = np.flatnonzero(np.concatenate([label[1:] != label[:-1], [True]]))
+        until = last[np.searchsorted(last, np.arange(count))] + 1  # the end of each row's run of one label
+        low = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1]]))
+        stack = [(walkers, np.searchsorted(low, walkers, side="right") - 1, np.zeros(len(walkers), dtype=np.int64), low, np.append(low[1:], count), 0)]
+        while stack:
+            walker, node, overlap, low, high, depth = stack.pop()
+            # rows that have a shingle at this depth, cut into the children of the nodes
+            place = np.repeat(low - np.concatenate([[0], np.cumsum(high - low)[:-1]]), high - low) + np.arange((high - low).sum())
+            parent = np.repeat(np.arange(len(low)), high - low)
+            live = size[place] > depth
+            place, parent = place[live], parent[live]
+            if not len(place):
+                continue
+            here = ranks[start[place] + depth]
+            first = np.flatnonzero(np.concatenate([[True], (here[1:] != here[:-1]) | (parent[1:] != parent[:-1])]))
+            low_next, high_next = place[first], place[np.append(first[1:], len(place)) - 1] + 1
+            shingle, parent = here[first], parent[first]
+            child_from = np.searchsorted(parent, np.arange(len(low)), side="left")
+            fan = (np.searchsorted(parent, np.arange(len(low)), side="right") - child_from)[node]
+            if fan.sum() > STATES and len(walker) > 1:
+                half = len(walker) // 2
+                for part in (slice(half, None), slice(half)):
+                    kept, again = np.unique(node[part], return_inverse=True)
+                    stack.append((walker[part], again, overlap[part], low[kept], high[kept], depth))
+                continue
+            least, most, shortest = bounds(np.minimum, full, low_next, high_next), bounds(np.maximum, size, low_next, high_next), bounds(np.minimum, size, low_next, high_next)
+            again = np.repeat(np.arange(len(node)), fan)
+            child = np.repeat(child_from[node] - np.concatenate([[0], np.cumsum(fan)[:-1]]), fan) + np.arange(len(again))
+            walker, overlap = walker[again], overlap[again]
+            useful = (label[low_next[child]] != label[walker]) | (until[low_next[child]] < high_next[child])
+            if not pilots:  # each pair once: the row that walks comes first
+                useful &= high_next[child] - 1 > walker
+            child, walker, overlap = child[useful], walker[useful], overlap[useful]
+            wanted = walker * width + shingle[child]
+            found = np.searchsorted(keys, wanted, side="right")
+            overlap = overlap + (keys[np.maximum(found, 1) - 1] == wanted)
+            left = size[walker] - (found - key_start[walker])
+            best = overlap + np.minimum(most[child] - depth - 1, left)
+            going = 9 * best >= 4 * (full[walker] + least[child])
+            child, walker, overlap = child[going], walker[going], overlap[going]
+            # rows that end at this node come first in it
+            for k in np.flatnonzero(shortest[child] == depth + 1).tolist():
+                end(int(walker[k]), int(low_next[child[k]]), int(overlap[k]))
+            kept, node = np.unique(child, return_inverse=True)
+            if len(kept):
+                stack.append((walker, node, overlap, low_next[kept], high_next[kept], depth + 1))
+
+    first = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1]]))
+    large = [np.linspace(a, b - 1, PILOTS, dtype=np.int64) for a, b in zip(first, np.append(first[1:], count), strict=True) if b - a > 4 * PILOTS]
+    if large:
+        walk(np.concatenate(large), True)
+    for k in range(0, count, WALKERS):
+        walk(np.arange(k, min(count, k + WALKERS)), False)
+    return [(int(rows[a]), int(rows[b])) for a, b in runs.joined]
 
 
 def links(docs: DataFrame, blocks: DataFrame) -> DataFrame:
@@ -406,7 +474,12 @@ def joined(docs: DataFrame) -> DataFrame:
     scratch.bound_batches(docs.sparkSession)
     sets, table = sets_of(docs)
     classes = scratch.save(classes_of(sets), "classes")
-    copies = scratch.save(sets.join(classes.filter("rows > 1"), "digest").filter("doc_id <> rep").select("doc_id").distinct(), "copies")
+    some = sets.filter("digest is not null and doc_id is not null")
+    named = joins.weighted_join(some, classes.filter("rows > 1"), ["digest"], "rows")
+    copy = F.coalesce(F.col("doc_id") != F.col("rep"), F.lit(False))
+    ids = named.groupBy("doc_id").agg(F.min(copy).alias("copy"), (F.min("digest") != F.max("digest")).alias("several"))
+    ids = scratch.save(ids.filter("copy or several"), "copies")
+    copies, several = ids.filter("copy").select("doc_id"), ids.filter("several").select("doc_id")
     known = docs.select("doc_id", "text").filter("doc_id is not null")
     single = joins.keyed_filter(known, copies, ["doc_id"], "left_anti")
     firsts = prefixes(single, table)
@@ -417,10 +490,14 @@ def joined(docs: DataFrame) -> DataFrame:
     sizes = firsts.groupBy("doc_id").agg(F.sum("n").alias("n"))
     weights = whole.join(sizes, "doc_id").groupBy("block").agg(F.count("*").alias("size"), F.sum("n").alias("weight"))
     sized = joins.weighted_join(whole, weights, ["block"], "size", "inner")
-    found = components(links(single, scratch.save(sized, "block_sizes")))
+    edges = links(single, scratch.save(sized, "block_sizes"))
+    if several.limit(1).count():  # the sets of one id are one node
+        own = joins.keyed_filter(some, several, ["doc_id"], "left_semi").join(classes, "digest")
+        edges = edges.unionByName(own.select(F.col("doc_id").alias("a"), F.col("rep").alias("b")))
+    found = components(edges)
     linked = classes.join(found.select(F.col("node").alias("rep"), F.col("root").alias("component")), "rep", "left")
     named = scratch.save(linked.filter("rows > 1 or component is not null").select("digest", "rows", F.coalesce("component", "rep").alias("component")), "named")
-    some = joins.weighted_join(sets.filter("digest is not null and doc_id is not null"), named, ["digest"], "rows")
+    some = joins.weighted_join(some, named, ["digest"], "rows")
     rest = sets.filter("digest is null or doc_id is null").withColumn("component", F.lit(None).cast("long"))
     both = some.drop("rows").unionByName(rest)
     return both.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
