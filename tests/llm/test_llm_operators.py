@@ -574,6 +574,8 @@ def test_substring_dedup_equals_brute_force(spark, empty):
             at = rng.randrange(len(own))
             own[at:at] = passage[rng.randrange(20) :]
         rows.append((rng.randrange(10**6), " ".join(own)))
+    rows += [(3_000_000 + k, " ".join([*words(k % 4, 70 + k), *passage[k % 5 : 60 - k % 7], *words(k % 3, 90 + k)])) for k in range(30)]  # branches
+    rows += [(4_000_000, "a b " * 40), (4_000_001, "a b " * 30 + "c " + "a b " * 15), (4_000_002, " ".join(words(45, 77) * 2))]
     rows += [(2_000_000, rows[0][1]), (2_000_001, rows[5][1]), (2_000_002, "x " * 70), (2_000_003, None), (2_000_004, "")]
     seen, want = set(), {}
     for doc_id, text in sorted(rows):

@@ -7,16 +7,19 @@ those that can repeat are ever shuffled:
 1. Of documents with the same words, all but the first are removed whole and left out.
 2. Every window is covered by a minimizer, the k-mer with the least hash in it. Equal windows
    have equal minimizers, so only windows whose minimizer occurs twice become edges.
-3. Edges are grouped to find repeated ones and their sources, and joined with those.
-4. An edge that follows another, in its document as at the source, continues its path: each
-   nonbranching run of repeated edges becomes one span with the coordinates of its source.
-5. The words at both coordinates are compared by a digest; a span that does not agree stays.
+3. Edges are grouped to find repeated ones with their sources and degrees: whether the same edge
+   follows, and the same comes before, wherever an edge stands.
+4. Repeated edges are joined with those that come before them at the source. Two edges of which
+   each is the only neighbour of the other are on one nonbranching path; wherever its first edge
+   stands, all of it does. So paths are compacted to their first edges, with their lengths.
+5. First edges meet all places where they stand: every place but the source is a repeated span.
+6. The words at both coordinates are compared by a digest; a span that does not agree stays.
 
 Cases. Null and empty texts have no words. Texts of fewer than 20 words lose none. Rows that
 repeat id and text are one document and lose the same words; rows that share an id and differ
 are compared as that document each, and lose only what the digest confirms. Rows without an id
-have no place in the order: they lose nothing and are no source. An empty table gives an empty
-result. Other columns are not used.
+have no place in the order: they lose nothing and are no source. Ids are whole numbers. An empty
+table gives an empty result. Other columns are not used.
 """
 
 from __future__ import annotations
@@ -26,8 +29,9 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 from numpy.lib.stride_tricks import sliding_window_view
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from . import joins, scratch
 from .shingles import mixed, window_hashes, word_hashes
@@ -83,10 +87,13 @@ def repeated_minimizers(docs: DataFrame) -> DataFrame:
 
 
 def edges_of(docs: DataFrame, anchors: DataFrame) -> DataFrame:
-    """h, g (96 hash bits), doc_id, pos of every window whose minimizer is repeated; written."""
+    """h, g (96 hash bits), doc_id, pos, before, after of windows whose minimizer is repeated; written.
+
+    ``before`` and ``after`` are the ``h`` of the windows next to it, 0 at an end of the text.
+    """
 
     def run(batches):
-        schema = pa.schema([("h", pa.int64()), ("g", pa.int32()), ("doc_id", pa.int64()), ("pos", pa.int32())])
+        schema = pa.schema([("h", pa.int64()), ("g", pa.int32()), ("doc_id", pa.int64()), ("pos", pa.int32()), ("before", pa.int64()), ("after", pa.int64())])
         for batch in batches:
             rows = zip(batch.column("doc_id").to_pylist(), batch.column("text"), batch.column("anchors"), strict=True)
             parts = []
@@ -96,41 +103,44 @@ def edges_of(docs: DataFrame, anchors: DataFrame) -> DataFrame:
                     continue
                 kmers, at = minimizers(hashes)
                 pos = np.flatnonzero(np.isin(kmers[at], known.values.to_numpy().view(np.uint64)))
-                h = window_hashes(hashes, WINDOW)[pos].view(np.int64)
+                h = np.concatenate([[0], window_hashes(hashes, WINDOW).view(np.int64), [0]])
                 g = (window_hashes(mixed(~hashes), WINDOW)[pos] >> np.uint64(32)).astype(np.uint32).view(np.int32)
-                parts.append((h, g, np.full(len(pos), doc_id), pos.astype(np.int32)))
+                parts.append((h[pos + 1], g, np.full(len(pos), doc_id), pos.astype(np.int32), h[pos], h[pos + 2]))
             if parts:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*parts, strict=True)], schema=schema)
 
     met = docs.join(anchors.hint("shuffle_merge"), "doc_id").select("doc_id", "text", "anchors")
-    return scratch.save(met.mapInArrow(run, "h long, g int, doc_id long, pos int"), "edges")
+    return scratch.save(met.mapInArrow(run, "h long, g int, doc_id long, pos int, before long, after long"), "edges")
 
 
-def repeated_paths(edges: DataFrame) -> DataFrame:
-    """doc_id, start, n, src, src_start: runs of ``n`` words whose windows occurred before.
+def only(column: str) -> Column:
+    """The value that all rows of a group have; 0 if they differ."""
+    return F.when(F.min(column) == F.max(column), F.min(column)).otherwise(F.lit(0))
+
+
+def first_edges(edges: DataFrame) -> DataFrame:
+    """h, g, rows, src, src_start, n: the first edge of each nonbranching path of ``n`` edges; written.
 
-    Repeated edges meet their first occurrence; then each document's edges, in order, are cut
-    where the path at the source does not go on.
+    A path's places are those of any of its edges, in the same order, so the source of an edge
+    stands next to that of its neighbour and one join by source coordinates links them all.
     """
-    key = ["h", "g"]
-    first = edges.groupBy(*key).agg(F.min(F.struct("doc_id", "pos")).alias("first"), F.count("*").alias("rows")).filter("rows > 1")
-    first = scratch.save(first.select(*key, F.col("first.doc_id").alias("src"), F.col("first.pos").alias("src_pos"), "rows"), "repeated_edges")
-    met = joins.weighted_join(edges, first, key, "rows", "inner").filter("doc_id <> src or pos <> src_pos")
-    # in one document several edges may stand at one place only if rows share their id
-    ordered = met.select("doc_id", "pos", "src", "src_pos").repartition("doc_id").sortWithinPartitions("doc_id", "pos", "src", "src_pos")
+    first = F.min(F.struct("doc_id", "pos")).alias("first")
+    repeated = edges.groupBy("h", "g").agg(first, F.count("*").alias("rows"), only("before").alias("before"), only("after").alias("after")).filter("rows > 1")
+    repeated = scratch.save(repeated.select("h", "g", "rows", F.col("first.doc_id").alias("src"), F.col("first.pos").alias("src_start"), "before", "after"), "repeated_edges")
+    previous = repeated.select("src", (F.col("src_start") + 1).alias("src_start"), F.col("after").alias("h"), F.col("h").alias("before"), F.lit(False).alias("starts"))
+    linked = repeated.join(previous, ["src", "src_start", "h", "before"], "left").withColumn("starts", F.coalesce("starts", F.lit(True)))
+    # the edges of one text up to each: at most as many as it has words
+    so_far = Window.partitionBy("src").orderBy("src_start", "h", "g").rowsBetween(Window.unboundedPreceding, 0)
+    path = linked.withColumn("path", F.sum(F.col("starts").cast("int")).over(so_far))
+    head = F.min(F.when(F.col("starts"), F.struct("src_start", "h", "g", "rows"))).alias("head")
+    return scratch.save(path.groupBy("src", "path").agg(head, F.count("*").cast("int").alias("n")).select("head.*", "src", "n"), "first_edges")
 
-    def run(batches):
-        schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int32()), ("n", pa.int32()), ("src", pa.int64()), ("src_start", pa.int32())])
-        for batch in batches:
-            doc, pos, src, at = (batch.column(c).to_numpy() for c in ("doc_id", "pos", "src", "src_pos"))
-            if not len(doc):
-                continue
-            goes_on = (doc[1:] == doc[:-1]) & (pos[1:] == pos[:-1] + 1) & (src[1:] == src[:-1]) & (at[1:] == at[:-1] + 1)
-            a = np.flatnonzero(np.concatenate([[True], ~goes_on]))
-            n = np.diff(np.append(a, len(doc))) + WINDOW - 1
-            yield pa.RecordBatch.from_arrays([pa.array(doc[a]), pa.array(pos[a]), pa.array(n.astype(np.int32)), pa.array(src[a]), pa.array(at[a])], schema=schema)
-
-    return scratch.save(ordered.mapInArrow(run, "doc_id long, start int, n int, src long, src_start int"), "paths")
+
+def repeated_paths(edges: DataFrame) -> DataFrame:
+    """doc_id, start, n, src, src_start: runs of ``n`` words whose windows occurred before."""
+    met = joins.weighted_join(edges.select("h", "g", "doc_id", "pos"), first_edges(edges), ["h", "g"], "rows", "inner")
+    met = met.filter("doc_id <> src or pos <> src_start")
+    return met.select("doc_id", F.col("pos").alias("start"), (F.col("n") + (WINDOW - 1)).alias("n"), "src", "src_start")
 
 
 def digest(words: list[bytes], start: int, n: int) -> bytes | None:
