@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 import numpy as np
 from pandas.util import hash_array
 
@@ -26,13 +28,21 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+@lru_cache(maxsize=1)
+def _powers(count: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first ``count`` powers of _STEP and of its inverse, modulo 2 ** 64."""
+    inverse = pow(_STEP, -1, 2**64)
+    return tuple(np.concatenate([[np.uint64(1)], np.full(count - 1, base, dtype=np.uint64)]).cumprod() for base in (_STEP, inverse))
+
+
 def window_hashes(hashes: np.ndarray, size: int) -> np.ndarray:
-    """A hash of each run of ``size`` hashes, one after the other mixed in."""
+    """A hash of each run of ``size`` hashes: a polynomial of them, from the differences of one running sum."""
     count = max(0, len(hashes) - size + 1)
-    out = mixed(hashes[:count] + np.uint64(_STEP * size % 2**64))
-    for k in range(1, size):
-        out = mixed(out * np.uint64(_STEP) + hashes[k : count + k])
-    return out
+    if not count:
+        return hashes[:0]
+    up, down = _powers(max(1 << 14, 1 << (len(hashes) - 1).bit_length()))
+    sums = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum(hashes * down[: len(hashes)])])
+    return mixed((sums[size:] - sums[:-size]) * up[:count] + np.uint64(size))
 
 
 def lowered_words(text: str | None) -> list[bytes]:

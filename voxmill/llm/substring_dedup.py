@@ -35,7 +35,6 @@ from pyspark.sql.window import Window
 
 from . import joins, scratch
 from .shingles import mixed, window_hashes, word_hashes
-from .words import SPACE_CHARS, SPACES, count_words
 
 #: Words of a window, and of the k-mers that its minimizer is chosen from.
 WINDOW, KMER = 20, 8
@@ -52,38 +51,39 @@ def words_in(text: str | None) -> list[bytes]:
     return (text or "").encode().split()
 
 
-def same_sequences(docs: DataFrame) -> DataFrame:
-    """doc_id, src, n of documents whose whole word sequence an earlier document has; written."""
-    t = F.regexp_replace(F.btrim(F.coalesce("text", F.lit("")), F.lit(SPACE_CHARS)), SPACES, " ")
-    named = docs.select("doc_id", F.unhex(F.sha2(t, 256)).alias("words"), count_words(F.col("text")).alias("n")).filter(f"n >= {WINDOW}")
-    named = scratch.save(named, "sequences")
-    first = named.groupBy("words").agg(F.min("doc_id").alias("src"), F.count("*").alias("rows")).filter("rows > 1")
-    met = joins.weighted_join(named, scratch.save(first, "first_sequences"), ["words"], "rows", "inner")
-    return scratch.save(met.filter("doc_id <> src").select("doc_id", "src", "n").distinct(), "same_sequences")
-
-
-def repeated_minimizers(docs: DataFrame) -> DataFrame:
-    """doc_id and anchors: of each document, the minimizers that occur twice or more anywhere."""
+def measured(docs: DataFrame) -> DataFrame:
+    """doc_id, n, words (their digest) and anchors (minimizers) of texts with a window; written."""
 
     def run(batches):
-        schema = pa.schema([("doc_id", pa.int64()), ("anchors", pa.list_(pa.int64()))])
+        schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int32()), ("words", pa.binary()), ("anchors", pa.list_(pa.int64()))])
         for batch in batches:
-            ids, found = [], []
+            ids, counts, digests, found = [], [], [], []
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
                 words = words_in(text.as_py())
                 if len(words) >= WINDOW:
                     kmers, at = minimizers(word_hashes(words))
                     ids.append(doc_id)
+                    counts.append(len(words))
+                    digests.append(hashlib.sha256(b" ".join(words)).digest())
                     found.append(kmers[np.unique(at)].view(np.int64))
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(found, pa.list_(pa.int64()))], schema=schema)
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(counts, pa.int32()), pa.array(digests, pa.binary()), pa.array(found, pa.list_(pa.int64()))], schema=schema)
+
+    return scratch.save(docs.mapInArrow(run, "doc_id long, n int, words binary, anchors array<long>"), "measured")
+
 
-    own = scratch.save(docs.mapInArrow(run, "doc_id long, anchors array<long>"), "minimizers")
+def same_sequences(own: DataFrame) -> DataFrame:
+    """doc_id, words, src, n of documents whose whole word sequence an earlier document has; written."""
+    first = own.groupBy("words").agg(F.min("doc_id").alias("src"), F.count("*").alias("rows")).filter("rows > 1")
+    met = joins.weighted_join(own.select("doc_id", "n", "words"), scratch.save(first, "first_sequences"), ["words"], "rows", "inner")
+    return scratch.save(met.filter("doc_id <> src").select("doc_id", "words", "src", "n").distinct(), "same_sequences")
+
+
+def repeated_minimizers(own: DataFrame) -> DataFrame:
+    """doc_id and anchors: of each document, the minimizers that occur twice or more anywhere."""
     rows = own.select("doc_id", F.explode("anchors").alias("anchor"))
     twice = scratch.save(rows.groupBy("anchor").agg(F.count("*").alias("rows")).filter("rows > 1"), "repeated_minimizers")
     met = joins.weighted_join(rows, twice, ["anchor"], "rows", "inner")
-    kept = scratch.save(met.groupBy("doc_id").agg(F.collect_set("anchor").alias("anchors")), "anchors")
-    scratch.drop(own)
-    return kept
+    return scratch.save(met.groupBy("doc_id").agg(F.collect_set("anchor").alias("anchors")), "anchors")
 
 
 def edges_of(docs: DataFrame, anchors: DataFrame) -> DataFrame:
@@ -171,12 +171,14 @@ def with_digests(docs: DataFrame, paths: DataFrame) -> DataFrame:
 def spans_of(docs: DataFrame) -> DataFrame:
     """doc_id, start, n, digest: all spans to remove from ``docs`` (doc_id, text), unverified."""
     known = docs.filter("doc_id is not null")
-    same = same_sequences(known)
-    single = joins.keyed_filter(known, same.select("doc_id").distinct(), ["doc_id"], "left_anti")
-    edges = edges_of(single, repeated_minimizers(single))
-    whole = same.select("doc_id", F.lit(0).alias("start"), F.col("n").cast("int").alias("n"), "src", F.lit(0).alias("src_start"))
+    own = measured(known)
+    same = same_sequences(own)
+    single = joins.keyed_filter(own, same.select("doc_id", "words"), ["doc_id", "words"], "left_anti")
+    edges = edges_of(known, repeated_minimizers(single))
+    whole = same.select("doc_id", F.lit(0).alias("start"), "n", "src", F.lit(0).alias("src_start"))
     paths = scratch.save(repeated_paths(edges).unionByName(whole), "spans")
     scratch.drop(edges)
+    scratch.drop(own)
     return scratch.save(with_digests(known, paths).select("doc_id", "start", "n", "digest"), "verified")
 
 
