@@ -497,6 +497,8 @@ def joined(docs: DataFrame) -> DataFrame:
     found = components(edges)
     linked = classes.join(found.select(F.col("node").alias("rep"), F.col("root").alias("component")), "rep", "left")
     named = scratch.save(linked.filter("rows > 1 or component is not null").select("digest", "rows", F.coalesce("component", "rep").alias("component")), "named")
+    for passed in (found, blocks, groups, firsts):
+        scratch.drop(passed)
     some = joins.weighted_join(some, named, ["digest"], "rows")
     rest = sets.filter("digest is null or doc_id is null").withColumn("component", F.lit(None).cast("long"))
     both = some.drop("rows").unionByName(rest)
