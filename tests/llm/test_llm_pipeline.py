@@ -4,6 +4,7 @@ import hashlib
 from collections import Counter
 
 import corpus_pipeline as pipeline
+from pyspark.sql import functions as F
 from test_llm_operators import brute_components, brute_metrics, brute_mix, docs_of, words
 
 from voxmill.llm import byte_bpe
@@ -39,3 +40,18 @@ def test_stages_equal_brute_force(spark):
     got = pipeline.STAGES[4][1](spark, out, "").collect()
     assert Counter(r.doc_id for r in got) == copies
     assert all(r.ids_sha256 == hashlib.sha256(own.encode(texts[r.doc_id])).hexdigest() and r.decoded_sha256 == hashlib.sha256(texts[r.doc_id].encode()).hexdigest() for r in got)
+
+
+def test_run_of_hard_and_of_empty_tables(spark, tmp_path):
+    """All stages with nulls, repeated rows, ids of no row, and columns with the operators' own names."""
+    long = " ".join(words(400, 3, 300))
+    rows = [(1, None), (2, ""), (3, long), (3, long), (None, long + " x"), (4, " ".join(words(90, 4))), (5, long + " more", None), (6, "short")]
+    docs = docs_of(spark, rows).withColumns({c: F.lit("mine") for c in ("row", "s", "size", "h", "n_words", "copies", "_id", "id")})
+    for turn, part in enumerate((docs, docs.filter("doc_id > 100"))):
+        part.write.parquet(f"{tmp_path}/{turn}/documents.parquet")
+        left = part
+        for _, stage in pipeline.STAGES[:-1]:
+            left = stage(spark, left, "")
+            assert left.columns == docs.columns and left.filter("row <> 'mine' or s <> 'mine' or h <> 'mine' or copies <> 'mine'").count() == 0
+        got = Counter(r.doc_id for r in pipeline.run(spark, f"{tmp_path}/{turn}").collect())
+        assert got == Counter(r.doc_id for r in left.collect()) and set(got) <= {None, 3, 4}
