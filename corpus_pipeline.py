@@ -2,7 +2,15 @@
 
 ``run`` applies STAGES to the documents; each stage's rows are written to the shared folder
 and read again by the next one, so no stage is computed twice and a lost executor costs one
-stage's tasks at most. All but the last return the columns of ``documents``.
+stage's tasks at most. All but the last return the columns of ``documents``, whatever columns
+come beside those. What a stage writes for itself, and its input, are deleted once its rows are
+there.
+
+Cases. Null and empty texts have no words, so the quality rules reject them. Of equal texts with
+the same id one stays, of texts with different ids the one with the smallest. Rows without an id
+come last where ids decide, and are near copies of nothing. A null source is no host, and in the
+mix a source of its own. An empty table goes through all stages. The stages on their own handle
+what their operators say.
 """
 
 from __future__ import annotations
@@ -51,6 +59,11 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents of ``sf_dir``."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    before = None
     for name, stage in STAGES[:-1]:
-        docs = scratch.save(stage(spark, docs, sf_dir), name)
+        with scratch.temporary(spark):
+            docs = scratch.save(stage(spark, docs, sf_dir), name, passing=False)
+        if before is not None:
+            scratch.drop(before)
+        before = docs
     return STAGES[-1][1](spark, docs, sf_dir)
