@@ -133,12 +133,15 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 def keep_good(spark: SparkSession, docs: DataFrame, host: str = "source") -> DataFrame:
     """The documents that pass, with their own columns.
 
-    Only rejected hosts meet the texts, in a join that broadcasts them if they are few.
+    Each text is measured once: the rows that pass are written beside the verdict on all, the
+    hosts are judged from the narrow columns of that table, and rejected hosts meet its rows in
+    a join that broadcasts them if they are few.
     """
-    hosts = scratch.save(judge_hosts(measure(docs.select("text", host)), host), "hosts")
-    bad = hosts.filter("not host_kept").select(F.col(host).alias("host"))
-    good = measure(docs.select(F.struct(*docs.columns).alias("row"), F.col("text").alias("text"), F.col(host).alias("host"))).filter("not base_failed")
-    return joins.keyed_filter(good, bad, ["host"], "left_anti").select("row.*")
+    rows = measure(docs.select(F.struct(*docs.columns).alias("row"), F.col("text").alias("text"), F.col(host).alias("host")))
+    rows = rows.select("host", "base_failed", F.when(~F.col("base_failed"), F.col("row")).alias("row"))
+    held = scratch.save(rows, "measured")
+    hosts = scratch.save(judge_hosts(held.select("host", "base_failed"), "host"), "hosts")
+    return joins.keyed_filter(held.filter("not base_failed"), hosts.filter("not host_kept").select("host"), ["host"], "left_anti").select("row.*")
 
 
 SQL = r"""
