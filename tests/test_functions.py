@@ -21,7 +21,7 @@ def test_numbers_in_words(spark, n, said):
     assert one(spark, tx.number_in_words(F.col("a").cast("bigint")), str(n)) == said
 
 
-@pytest.mark.parametrize(("text", "said"), [("có  5 người", "có năm người"), (None, ""), ("1234567890123456", "một trăm hai mươi ba nghìn tỷ bốn trăm năm mươi sáu tỷ bảy trăm tám mươi chín triệu không trăm mười hai nghìn ba trăm bốn mươi lămsáu")])
+@pytest.mark.parametrize(("text", "said"), [("có  5 người", "có năm người"), ("\u0665\u0661", "năm mươi mốt"), ("\uff12", "hai"), (None, ""), ("1234567890123456", "một trăm hai mươi ba nghìn tỷ bốn trăm năm mươi sáu tỷ bảy trăm tám mươi chín triệu không trăm mười hai nghìn ba trăm bốn mươi lămsáu")])
 def test_spoken_form(spark, text, said):
     assert one(spark, tx.spoken_form(F.col("a")), text) == said
 

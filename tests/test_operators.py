@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from voxmill import config
-from voxmill.operators import incremental, overlap, packaging, repair, segments, shards, speakers, tiering
+from voxmill.operators import cleanup, incremental, overlap, packaging, repair, segments, shards, speakers, tiering
 from voxmill.sources import jsonl, media
 from voxmill.streaming import stages
 
@@ -106,6 +106,16 @@ def test_overlap(spark):
     assert overlap.best_matches(overlap.fractions(grams, index).filter("frac > 0.5"), grams, index).first().ours == 1
 
 
+@pytest.mark.parametrize("few", [0, 200_000])
+def test_overlap_index_of_wanted_grams(spark, monkeypatch, few):
+    monkeypatch.setattr(overlap, "FEW_GRAMS", few)
+    ours = overlap.tokenised(spark.createDataFrame([(1, "a b c d a b c"), (2, "x y"), (3, None), (4, "c d e"), (5, "b c")], "k int, t string"), F.col("k"), F.col("t"))
+    wanted = spark.createDataFrame([("a b c",), ("c d e",), ("d a x",), ("a b c",)], "gram string")
+    assert {(r.key, r.gram) for r in overlap.index(ours, 3, wanted).collect()} == {(1, "a b c"), (4, "c d e")}
+    assert overlap.index(ours, 3).count() == 5
+    assert overlap.index(ours, 3, wanted.filter("false")).count() == 0
+
+
 def packaged_rows(spark, n, first=0):
     rows = [(f"s{k:03d}", "f", f"spk{k % 5}", 0.01, 5.0, 0.0, False, 30.0, None, "chữ") for k in range(first, first + n)]
     return spark.createDataFrame(rows, "id string, file_id string, speaker_id string, " + SEGMENT)
@@ -134,6 +144,64 @@ def test_crash_before_the_manifest(spark, tmp_path):
     assert data.metadata().count() == spark.read.parquet(data.part("data")).count() == 3
 
 
+def test_rebuild_and_shards(spark, tmp_path):
+    data = packaging.Dataset(spark, f"file://{tmp_path}/d", TIERS, shard_bytes=6)
+    data.append(packaged_rows(spark, 5))
+    files = spark.read.parquet(data.part("data")).withColumn("file", F.input_file_name()).groupBy("shard", "file").agg(F.sum(F.octet_length("text")).alias("n")).collect()
+    assert sorted((r.shard, r.n) for r in files) == [(0, 10), (1, 10), (2, 5)]  # texts of five bytes
+    strict = packaging.Dataset(spark, f"file://{tmp_path}/d", TIERS, keep=["B"], shard_bytes=6)
+    assert strict.rebuild(packaged_rows(spark, 7)) == {"new": 7, "kept": 0, "skipped_missing": 0}
+    assert strict.manifest().count() == 7 and strict.append(packaged_rows(spark, 7))["new"] == 0
+    assert [p.name for p in tmp_path.iterdir()] == ["d"]
+
+
+def test_rewritten_manifest(spark, tmp_path):
+    path = tmp_path / "m.jsonl"
+    path.write_text('{"id": "a", "audio_path": "/old/a.wav"}\n{bad\n\n{"id": "c", "audio_path": "rel.wav", "more": 1}\n')
+    where = f"file://{path}"
+    assert repair.rewrite(spark, f"file://{tmp_path}/none", MANIFEST) == (0, 0, 0)
+    assert repair.rewrite(spark, where, MANIFEST, ("/old", "/new")) == (2, 1, 1)
+    assert {r.value for r in spark.read.text(where).collect()} == {'{"id":"a","audio_path":"/new/a.wav"}', '{"id": "c", "audio_path": "rel.wav", "more": 1}'}
+    assert repair.rewrite(spark, where, MANIFEST, ("/old", "/new")) == (2, 0, 0)
+
+
+def test_ledgers_of_a_folder_and_its_subfolders(spark, tmp_path):
+    for k, name in enumerate(("ledger.jsonl", "a/ledger.jsonl", "a/b/ledger.jsonl", "a/ledger2.jsonl")):
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_text(f'{{"key": "k{k}", "path": "x{k}"}}\n{{bad\n{{"key": "m{k}", "path": "/y{k}"}}\n')
+    got = {(r.key, r.path) for r in jsonl.ledgers(spark, f"file://{tmp_path}/", "key string, path string").collect()}
+    assert got == {("k0", f"file://{tmp_path}/x0"), ("m0", "/y0"), ("k1", f"file://{tmp_path}/x1"), ("m1", "/y1")}
+    assert jsonl.ledgers(spark, f"file://{tmp_path}/none", "key string, path string").count() == 0
+
+
+def test_barrier_without_a_number(spark, tmp_path):
+    schema = "file_id long, id long, n_segments long"
+    spark.createDataFrame([(1, 1, 2), (1, 2, 2), (2, 3, 2), (3, 4, None)], schema).write.parquet(f"{tmp_path}/in")
+    stream = stages.barrier(spark.readStream.schema(schema).parquet(f"{tmp_path}/in"))
+    query = stream.writeStream.format("parquet").option("path", f"{tmp_path}/out").option("checkpointLocation", f"{tmp_path}/c").trigger(availableNow=True).start()
+    query.awaitTermination()
+    assert {(r.file_id, r.id) for r in spark.read.parquet(f"{tmp_path}/out").collect()} == {(1, 1), (1, 2), (3, 4)}
+
+
+def test_cleanup(spark, tmp_path):
+    for name in ("a.wav", "b.wav"):
+        (tmp_path / name).write_text("x")
+    packaged = spark.createDataFrame([("C", f"file://{tmp_path}/a.wav"), ("A", f"file://{tmp_path}/b.wav"), ("C", "file:///elsewhere/c.wav"), ("C", f"file://{tmp_path}/gone.wav")], "tier string, audio_path string")
+    files = cleanup.rejected_files(packaged, f"file://{tmp_path}")
+    assert [(r.category, r.n) for r in cleanup.remove(files).collect()] == [("tier_c", 1)]
+    assert [p.name for p in tmp_path.iterdir()] == ["b.wav"]
+
+
+def test_finalised_and_verified(spark):
+    ids = lambda *xs: spark.createDataFrame([(x,) for x in xs], "id string")
+    assert {r.id for r in incremental.finalised(ids("a", "b", "c"), ids("a", "b", "b"), ids("b")).collect()} == {"a"}
+    first = spark.createDataFrame([("a", "xin chào"), ("b", "x")], "id string, text string")
+    second = spark.createDataFrame([("a", "xin chề")], "id string, text string")
+    rate = lambda x, y: F.levenshtein(x, y) / F.char_length(x)
+    assert {r.id: (r.text_verify, r.cer) for r in incremental.verified(first, second, rate).collect()} == {"a": ("xin chề", 0.25), "b": (None, None)}
+    assert [r.cer for r in incremental.verified(first, None, rate).collect()] == [None, None]
+
+
 def test_config():
     assert config.merged({"a": {"x": 1, "y": 2}, "b": [1]}, {"a": {"y": 3}, "b": [2]}) == {"a": {"x": 1, "y": 3}, "b": [2]}
     assert config.config_hash({"A": 1, "B": 2}) != config.config_hash({"B": 2, "A": 1})

@@ -46,9 +46,8 @@ def comparable(text: Column) -> Column:
 
 
 def words(text: Column) -> Column:
-    """Words for n-grams: lower case first, then NFC; no empty ones."""
-    clean = without_punctuation(nfc(F.lower(F.coalesce(text, F.lit("")))))
-    return F.filter(F.split(clean, " "), lambda w: w != "")
+    """Words for n-grams, between punctuation and white space: lower case first, then NFC; no empty ones."""
+    return F.filter(F.split(nfc(F.lower(F.coalesce(text, F.lit("")))), r"[^\p{L}\p{N}_]+"), lambda w: w != "")
 
 
 def shingles(tokens: Column, n: int) -> Column:
@@ -90,15 +89,19 @@ def number_in_words(n: Column) -> Column:
     return F.when(n == 0, F.lit(DIGIT_WORDS[0])).when(n < 0, F.concat(F.lit("âm "), spoken)).otherwise(spoken)
 
 
+#: The decimal digits of all scripts, ten in a row each, and the ASCII digits they stand for.
+DIGITS = tuple("".join(c) for c in zip(*[(chr(c), str(unicodedata.digit(chr(c)))) for c in range(128, 0x1FFFF) if unicodedata.category(chr(c)) == "Nd"], strict=True))
+
+
 def _div(n: Column, by: int) -> Column:
     """Whole division."""
     return F.call_function("div", n, F.lit(by))
 
 
 def spoken_form(text: Column) -> Column:
-    """NFC, numbers (cut every 15 digits) in words, white space collapsed; null is empty."""
-    parts = F.regexp_extract_all(nfc(F.coalesce(text, F.lit(""))), F.lit("[0-9]{1,15}|[^0-9]+"), F.lit(0))
-    said = F.transform(parts, lambda p: F.when(p.rlike("^[0-9]"), number_in_words(p.try_cast("bigint"))).otherwise(p))
+    """NFC, numbers (cut every 15 digits of any script) in words, white space collapsed; null is empty."""
+    parts = F.regexp_extract_all(nfc(F.coalesce(text, F.lit(""))), F.lit(r"\p{Nd}{1,15}|\P{Nd}+"), F.lit(0))
+    said = F.transform(parts, lambda p: F.when(p.rlike(r"^\p{Nd}"), number_in_words(F.translate(p, *DIGITS).try_cast("bigint"))).otherwise(p))
     return F.trim(F.regexp_replace(F.array_join(said, ""), WHITE_SPACE, " "))
 
 
@@ -121,9 +124,10 @@ def extension_of(url: Column, default: str = ".mp3") -> Column:
 
 
 def extension_of_container(names: Column) -> Column:
-    """The extension of the first known name in a comma-separated list; null if none is known."""
+    """The extension of the first known name in a comma-separated list, or that of MP3."""
     table = F.create_map(*[F.lit(x) for pair in CONTAINERS.items() for x in pair])
-    return F.get(F.filter(F.transform(F.split(names, ","), lambda n: table[F.trim(n)]), lambda e: e.isNotNull()), F.lit(0))
+    known = F.filter(F.transform(F.split(names, ","), lambda n: table[F.trim(n)]), lambda e: e.isNotNull())
+    return F.coalesce(F.get(known, F.lit(0)), F.lit(".mp3"))
 
 
 def source_path(path: Column) -> Column:

@@ -52,3 +52,20 @@ def first_n(rows: DataFrame, group: str, order: list, n: int) -> DataFrame:
     """The first ``n`` rows of each group."""
     place = F.row_number().over(Window.partitionBy(group).orderBy(*order))
     return rows.withColumn("_place", place).filter(F.col("_place") <= n).drop("_place")
+
+
+def finalised(infos: DataFrame, media: DataFrame, ledger: DataFrame, key: str = "id") -> DataFrame:
+    """Downloads to take into the ledger: those whose media is there and that it doesn't have."""
+    there = infos.join(media.select(key).distinct(), key, "left_semi")
+    return there.join(ledger.select(key).distinct(), key, "left_anti")
+
+
+def verified(primary: DataFrame, other: DataFrame | None, rate, key: str = "id") -> DataFrame:
+    """``primary`` (key, text) with ``text_verify`` and ``cer`` to four places, null without one.
+
+    ``rate`` gives the error rate of two columns. ``other`` (key, text) has one row per key.
+    """
+    if other is None:
+        return primary.withColumns({"text_verify": F.lit(None).cast("string"), "cer": F.lit(None).cast("double")})
+    met = primary.join(other.select(key, F.col("text").alias("text_verify")), key, "left")
+    return met.withColumn("cer", F.when(F.col("text_verify").isNotNull(), F.round(rate(F.col("text"), F.col("text_verify")), 4)))

@@ -2,21 +2,65 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from .. import workspace
 from ..functions import text as tx
+from ..functions.windows import run_hashes
+
+#: Distinct n-grams that every task may know; more are met in a shuffle.
+FEW_GRAMS = 200_000
 
 
 def tokenised(rows: DataFrame, key: Column, text: Column) -> DataFrame:
-    """key, text and its words."""
-    return rows.select(key.alias("key"), text.alias("text"), tx.words(text).alias("words"))
+    """key, text and its words.
+
+    The fence is not deterministic, so no later filter is moved below it to make words anew.
+    """
+    held = rows.select(key.alias("key"), text.alias("text"), tx.words(text).alias("words"), F.monotonically_increasing_id().alias("fence"))
+    return held.filter("fence >= 0").drop("fence")
+
+
+def index(ours: DataFrame, n: int, wanted: DataFrame | None = None) -> DataFrame:
+    """gram, key: each n-gram of each text once, or of ``wanted`` (gram) only; written in that case.
+
+    Texts of fewer words have none. The n-grams that are asked for are few beside all of a
+    corpus: they are counted and, up to FEW_GRAMS, known to every task, so that only those found
+    in a text are ever made or leave its task.
+    """
+    if wanted is None:
+        return ours.select("key", F.explode(tx.shingles(F.col("words"), n)).alias("gram")).distinct()
+    wanted = workspace.saved(wanted.select("gram").distinct(), "wanted_grams")
+    if wanted.limit(FEW_GRAMS + 1).count() <= FEW_GRAMS:
+        grams = _found(ours, n, [r.gram for r in wanted.collect()]).join(F.broadcast(wanted), "gram", "left_semi")
+    else:
+        grams = ours.select("key", F.explode(tx.shingles(F.col("words"), n)).alias("gram")).join(wanted, "gram", "left_semi")
+    return workspace.saved(grams.select("key", "gram").distinct(), "gram_index")
+
+
+def _found(ours: DataFrame, n: int, wanted: list[str]) -> DataFrame:
+    """key, gram of the n-grams whose hash is that of a wanted one."""
+    words = pa.array([w for gram in wanted for w in gram.split(" ")], pa.string())
+    known = np.unique(run_hashes(words, n)[::n])
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words = batch.column("words").flatten()
+            ends = np.cumsum(batch.column("words").value_lengths().to_numpy())
+            hashes = run_hashes(words, n)
+            text = np.searchsorted(ends, np.arange(len(hashes)), side="right")
+            at = np.flatnonzero(np.isin(hashes, known))
+            at = at[at + n <= ends[text[at]]]  # inside one text
+            grams = [" ".join(words.slice(k, n).to_pylist()) for k in at.tolist()]
+            yield pa.RecordBatch.from_arrays([batch.column("key").take(pa.array(text[at])), pa.array(grams, pa.string())], names=["key", "gram"])
 
-def index(ours: DataFrame, n: int) -> DataFrame:
-    """gram, key: each n-gram of each text once; texts of fewer words have none."""
-    return ours.select("key", F.explode(F.array_distinct(tx.shingles(F.col("words"), n))).alias("gram"))
+    return ours.select("key", "words").mapInArrow(run, f"key {ours.schema['key'].dataType.simpleString()}, gram string")
 
 
 def probe_grams(theirs: DataFrame, n: int, min_words: int) -> DataFrame:

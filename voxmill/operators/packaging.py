@@ -8,6 +8,7 @@ batch that broke off is written to the same places again.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,11 +16,15 @@ from pyspark.sql import functions as F
 
 from .. import workspace
 from ..config import config_hash
-from . import tiering
+from . import shards, tiering
 
 METADATA = ("file_name", "id", "text", "speaker_id", "duration", "snr_db", "cer", "tier", "split")
 
 
+#: Bytes of media after which a parquet shard is full.
+SHARD_BYTES = 500 << 20
+
+
 class ConfigChanged(ValueError):
     """The dataset was built with another configuration."""
 
@@ -40,9 +45,10 @@ def batch_key(rows: DataFrame) -> str:
 class Dataset:
     """A packaged dataset at ``path``."""
 
-    def __init__(self, spark: SparkSession, path: str, tiers: Sequence[tiering.Tier] = tiering.DEFAULT_TIERS, keep: Sequence[str] | None = None, val: float = 0.0, test: float = 0.0, seed: int = 42) -> None:
+    def __init__(self, spark: SparkSession, path: str, tiers: Sequence[tiering.Tier] = tiering.DEFAULT_TIERS, keep: Sequence[str] | None = None, val: float = 0.0, test: float = 0.0, seed: int = 42, media: str = "audio", shard_bytes: int = SHARD_BYTES) -> None:
         self.spark, self.path = spark, path.rstrip("/")
         self.tiers, self.keep, self.val, self.test, self.seed = tuple(tiers), keep, val, test, seed
+        self.media, self.shard_bytes = media, shard_bytes
         self.hash = config_hash([[t.__dict__ for t in self.tiers], list(keep or ()), val, test, seed])
 
     def part(self, name: str) -> str:
@@ -78,13 +84,31 @@ class Dataset:
         batch = batch_key(new)
         if batch.startswith("0-"):
             return {"new": 0, "kept": 0, "skipped_missing": waiting}
-        kept = new.filter(tiering.is_kept(F.col("tier"), self.keep)).withColumn("batch", F.lit(batch))
-        kept.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("split", "batch").parquet(self.part("data"))
+        kept = self.sharded(new.filter(tiering.is_kept(F.col("tier"), self.keep)).withColumn("batch", F.lit(batch)))
+        place = ["split", "batch", "shard"]
+        kept.repartition(*place).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*place).parquet(self.part("data"))
         kept.select(*METADATA).write.mode("overwrite").option("header", True).csv(f"{self.part('metadata')}/batch={batch}")
         new.select("id", "tier", "split").write.mode("overwrite").parquet(f"{self.part('manifest')}/batch={batch}")
         n, n_kept = self.spark.read.parquet(f"{self.part('manifest')}/batch={batch}").agg(F.count("*"), F.coalesce(F.sum(tiering.is_kept(F.col("tier"), self.keep).cast("int")), F.lit(0))).first()
         return {"new": n, "kept": n_kept, "skipped_missing": waiting}
 
+    def sharded(self, kept: DataFrame) -> DataFrame:
+        """``kept`` with its shard: rows in the order of ids, cut when they have SHARD_BYTES."""
+        size = F.octet_length(self.media) if self.media in kept.columns else F.octet_length(F.coalesce("text", F.lit("")))
+        narrow = kept.select("split", "batch", "id", size.alias("bytes"))
+        cut = shards.assign(narrow, ["split", "batch"], "id", "bytes", self.shard_bytes)
+        return kept.join(cut.select("id", "shard"), "id")
+
+    def rebuild(self, rows: DataFrame, missing: DataFrame | None = None) -> dict[str, int]:
+        """Package everything anew by the rules that hold now, whatever was there before.
+
+        The new dataset is built beside the old one and takes its place when it is whole.
+        """
+        fresh = Dataset(self.spark, f"{self.path}.rebuild-{uuid.uuid4().hex}", self.tiers, self.keep, self.val, self.test, self.seed, self.media, self.shard_bytes)
+        done = fresh.append(rows, missing)
+        workspace.replace(self.spark, fresh.path, self.path)
+        return done
+
     def report(self, rows: DataFrame) -> str:
         """An HTML page with the tables by tier and by split."""
         held = decided(rows, self.tiers, self.val, self.test, self.seed)

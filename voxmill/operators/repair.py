@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .. import workspace
 from ..functions import text as tx
 
 
@@ -34,3 +35,26 @@ def counts(lines: DataFrame, relocate: tuple[str, str] | None = None) -> tuple[i
     """Kept, bad and moved."""
     kept, bad = lines.agg(F.count("record"), F.count_if(F.col("record").isNull())).first()
     return kept, bad, repaired(lines, relocate).filter("moved").count()
+
+
+def rewrite(spark: SparkSession, path: str, schema: T.StructType, relocate: tuple[str, str] | None = None) -> tuple[int, int, int]:
+    """Put a manifest without corrupt lines, and with moved paths, in the place of the old one.
+
+    Kept, bad and moved, as ``counts``. Lines that don't change are kept as they are; those that do
+    have the fields of ``schema``. No file is nothing to do, and nor is a manifest without faults.
+    """
+    if not workspace.exists(spark, path):
+        return 0, 0, 0
+    lines = parsed(spark, path, schema)
+    kept, bad, moved = counts(lines, relocate)
+    if bad or moved:
+        good = lines.filter("record is not null").select("value", "record.*")
+        paths = [n for n in ("audio_path", "source_path", "path") if n in good.columns] if relocate else []
+        new = {n: tx.relocated(F.col(n), *relocate) for n in paths}
+        differs = F.lit(False)
+        for n in paths:
+            differs = differs | F.coalesce(new[n] != F.col(n), F.lit(False))
+        record = F.to_json(F.struct(*[(new[n] if n in new else F.col(n)).alias(n) for n in schema.names]))
+        good.select(F.when(differs, record).otherwise(F.col("value")).alias("value")).write.text(f"{path}.repair")
+        workspace.replace(spark, f"{path}.repair", path)
+    return kept, bad, moved

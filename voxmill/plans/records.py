@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import ids
+from ..functions import text as tx
+from ..operators import cleanup
 from ..operators import incremental as inc
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
@@ -109,8 +111,41 @@ def bytes_by_category(spark, sf_dir):
     return raw.unionByName(toxic).unionByName(copies).groupBy("category").agg(F.sum("bytes").cast("long").alias("bytes"), F.count("*").alias("files"))
 
 
-QUERIES = {f.__name__: f for f in (content_dedup, dedup_rejects, pending_anti, file_semi, ledger_anti, sidecar_left, file_completeness, done_by_file, seen_union, stale_difference, distinct_targets, first_per_source, upload_order, stage_counts, bytes_by_category)}
+def finalise_ledger(spark, sf_dir):
+    """Documents with a label that no toxic label took before: media there, not in the ledger."""
+    docs, labels = _read(spark, sf_dir, "documents").select("doc_id", "source"), _read(spark, sf_dir, "labels")
+    return inc.finalised(docs, labels, labels.filter("toxic = 1"), "doc_id").select("doc_id", "source")
+
+
+def rejected_media(spark, sf_dir):
+    """Media of documents of low quality, inside the folder of one language."""
+    docs, labels = _read(spark, sf_dir, "documents").select("doc_id", "lang"), _read(spark, sf_dir, "labels")
+    rows = docs.join(labels, "doc_id").withColumn("tier", F.when(F.col("quality") == 0, "C").otherwise("A"))
+    return cleanup.rejected_files(rows.withColumn("audio_path", F.concat(F.lit("/data/"), "lang", F.lit("/"), F.col("doc_id").cast("string"), F.lit(".wav"))), "/data/en")
+
+
+def batch_cleanup(spark, sf_dir):
+    """What a batch of documents leaves behind: its page downloads, its wavs and its segments."""
+    docs, lines = _read(spark, sf_dir, "documents"), _read(spark, sf_dir, "lineitem")
+    ingested = docs.select(F.col("doc_id").alias("id"), F.concat(F.lit("/in/"), "source", F.lit("-"), F.col("doc_id").cast("string")).alias("source_path"))
+    staged = docs.filter("lang = 'en'").select(F.concat("source", F.lit("-"), F.col("doc_id").cast("string")).alias("name"))
+    segments = lines.select(F.col("l_orderkey").alias("file_id"), F.concat_ws("_", F.lit("/w/s2_segment/audio/"), F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("path"))
+    raw = _read(spark, sf_dir, "pages").select(F.col("url").alias("path"))
+    return cleanup.batch_files(ingested, staged, raw, segments, "/w").groupBy("category").agg(F.count("*").alias("n"), F.countDistinct("path").alias("paths"))
+
+
+def verified_texts(spark, sf_dir):
+    """Turns with the next turn as their second transcript: which have one, and which agree."""
+    talk = _read(spark, sf_dir, "conversations").select("conv_id", "turn", "text")
+    first = talk.select(F.concat_ws("/", "conv_id", "turn").alias("id"), "text")
+    second = talk.select(F.concat_ws("/", "conv_id", F.col("turn") - 1).alias("id"), "text")
+    met = inc.verified(first, second, lambda a, b: tx.character_error_rate(tx.comparable(a), tx.comparable(b)))
+    return met.select("id", F.col("text_verify").isNotNull().alias("has_verify"), (F.coalesce("cer", F.lit(1.0)) == 0).alias("agrees"))
+
+
+QUERIES = {f.__name__: f for f in (content_dedup, dedup_rejects, pending_anti, file_semi, ledger_anti, sidecar_left, file_completeness, done_by_file, seen_union, stale_difference, distinct_targets, first_per_source, upload_order, stage_counts, bytes_by_category, finalise_ledger, rejected_media, batch_cleanup, verified_texts)}
 _RANKED = "r AS (SELECT *, sha1(coalesce(text, '')) AS key, row_number() OVER (PARTITION BY sha1(coalesce(text, '')) ORDER BY doc_id) AS k FROM documents)"
+_COMPARABLE = r"trim(regexp_replace(regexp_replace(lower(nfc_normalize(coalesce(text, ''))), '[^\p{L}\p{N}_\s]', ' ', 'g'), '\s+', ' ', 'g'))"
 SQL = {
     "content_dedup": f"WITH {_RANKED} SELECT doc_id, substr(key, 1, 12) AS id, key FROM r WHERE k = 1",
     "dedup_rejects": f"WITH {_RANKED} SELECT doc_id, 'dup' AS reason FROM r WHERE k > 1",
@@ -126,5 +161,9 @@ SQL = {
     "first_per_source": "SELECT source, doc_id FROM documents QUALIFY row_number() OVER (PARTITION BY source ORDER BY doc_id) <= 3",
     "upload_order": "WITH u AS (SELECT doc_id, source, l.up IS NOT NULL AS uploaded FROM documents LEFT JOIN (SELECT DISTINCT doc_id, true AS up FROM labels WHERE quality = 1) l USING (doc_id)) SELECT doc_id, source, uploaded FROM u ORDER BY NOT uploaded, source, doc_id LIMIT 100",
     "stage_counts": " UNION ALL ".join(f"SELECT '{t}' AS stage, count(*) AS n FROM {t}" for t in TABLES),
+    "finalise_ledger": "SELECT doc_id, source FROM documents WHERE doc_id IN (SELECT doc_id FROM labels) AND doc_id NOT IN (SELECT doc_id FROM labels WHERE toxic = 1)",
+    "rejected_media": "SELECT 'tier_c' AS category, '/data/en/' || doc_id || '.wav' AS path FROM documents JOIN labels USING (doc_id) WHERE lang = 'en' AND quality = 0",
+    "batch_cleanup": "WITH e AS (SELECT doc_id FROM documents WHERE lang = 'en'), a AS (SELECT 'raw' AS category, url AS path FROM pages UNION ALL SELECT 'work', s || doc_id FROM e, (SELECT unnest(['s0/', 's1/']) AS s) UNION ALL SELECT 'work', l_orderkey || '_' || l_linenumber FROM lineitem WHERE l_orderkey IN (FROM e)) SELECT category, count(*) AS n, count(DISTINCT path) AS paths FROM a GROUP BY category",
+    "verified_texts": rf"WITH t AS (SELECT conv_id, turn, text, {_COMPARABLE} AS c FROM conversations) SELECT a.conv_id || '/' || a.turn AS id, b.text IS NOT NULL AS has_verify, coalesce(b.text IS NOT NULL AND a.c = b.c, false) AS agrees FROM t a LEFT JOIN t b ON a.conv_id = b.conv_id AND b.turn = a.turn + 1",
     "bytes_by_category": f"WITH {_RANKED}, l AS (SELECT DISTINCT doc_id FROM labels), x AS (SELECT DISTINCT doc_id FROM labels WHERE toxic = 1), a AS (SELECT 'raw' AS category, text FROM documents WHERE doc_id IN (FROM l) UNION ALL SELECT 'tier_c', text FROM documents WHERE doc_id IN (FROM x) UNION ALL SELECT 's2', text FROM r WHERE k > 1) SELECT category, sum(strlen(coalesce(text, '')))::BIGINT AS bytes, count(*) AS files FROM a GROUP BY category",
 }

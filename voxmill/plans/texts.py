@@ -78,8 +78,8 @@ def _overlap(spark, sf_dir):
     docs, probes = _read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark")
     ours = overlap.tokenised(docs.filter("text is not null"), F.col("doc_id"), F.col("text"))
     theirs = overlap.tokenised(probes, F.col("item_id"), F.col("text"))
-    index = overlap.index(ours.filter(F.size("words") >= GRAM), GRAM)
-    return theirs, index, overlap.probe_grams(theirs, GRAM, MIN_WORDS)
+    grams = overlap.probe_grams(theirs, GRAM, MIN_WORDS)
+    return theirs, overlap.index(ours, GRAM, grams), grams
 
 
 def ngram_overlap(spark, sf_dir):
@@ -111,7 +111,16 @@ def overlap_examples(spark, sf_dir):
     return top.join(best, "key").join(ours, "ours").join(theirs.select("key", F.left("text", F.lit(120)).alias("their_text")), "key").select(F.col("key").alias("item_id"), "frac", "their_text", "our_text")
 
 
-QUERIES = {f.__name__: f for f in (safe_names, url_parts, page_expand, href_extract, page_links, source_paths, durations, numbers_in_words, spoken_texts, cer_pairs, ngram_overlap, overlap_hits, overlap_summary, overlap_examples)}
+def overlap_files(spark, sf_dir):
+    """The fifteen sources of ours that are the best match of most hits."""
+    _, index, grams = _overlap(spark, sf_dir)
+    hits = overlap.fractions(grams, index).filter(F.col("frac") >= MIN_FRACTION)
+    best = overlap.best_matches(hits, grams, index, 1).select(F.col("ours").alias("doc_id"))
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "source")
+    return best.join(docs, "doc_id").groupBy("source").agg(F.count("*").alias("hits")).orderBy(F.desc("hits"), "source").limit(15)
+
+
+QUERIES = {f.__name__: f for f in (safe_names, url_parts, page_expand, href_extract, page_links, source_paths, durations, numbers_in_words, spoken_texts, cer_pairs, ngram_overlap, overlap_hits, overlap_summary, overlap_examples, overlap_files)}
 
 
 def _said_sql(n: str) -> str:
@@ -155,10 +164,11 @@ CASE WHEN starts_with('/' || replace(p, '__', '/'), '/en/') THEN '/data' || '/'
 string_split(p, '/')[-1] || '.tar' AS stem FROM d""",
     "durations": "SELECT event_id, CASE event_id % 4 WHEN 0 THEN event_id % 7 * 3600e0 + event_id % 60 * 60 + event_id % 60 WHEN 1 THEN event_id % 60 * 60e0 + event_id % 60 WHEN 2 THEN trunc(value) END::DOUBLE AS seconds FROM events",
     "numbers_in_words": f"WITH n AS (SELECT DISTINCT unnest(regexp_extract_all(text, '[0-9]{{1,15}}')) AS n FROM documents UNION SELECT DISTINCT (l_orderkey * l_partkey)::VARCHAR FROM lineitem) SELECT n, {_said_sql('n::BIGINT')} AS words FROM n",
-    "spoken_texts": f"""WITH s AS (SELECT doc_id, trim(regexp_replace(array_to_string(list_transform(regexp_extract_all(nfc_normalize(coalesce(text, '')), '[0-9]{{1,15}}|[^0-9]+'),
+    "spoken_texts": f"""WITH s AS (SELECT doc_id, trim(regexp_replace(array_to_string(list_transform(regexp_extract_all(nfc_normalize(coalesce(text, '')), '\\p{{Nd}}{{1,15}}|\\P{{Nd}}+'),
 lambda p: CASE WHEN regexp_matches(p, '^[0-9]') THEN {_said_sql("try_cast(p AS BIGINT)")} ELSE p END), ''), '\\s+', ' ', 'g')) AS s FROM documents) SELECT doc_id, sha1(s) AS sha1, length(s)::INT AS n_chars FROM s""",
     "ngram_overlap": f"WITH {_OVERLAP} SELECT item_id, n_grams, n_found, round(frac, 2) AS frac FROM f",
     "overlap_hits": f"WITH {_OVERLAP} SELECT item_id, doc_id, common, place::INT AS place FROM b WHERE place <= 3",
     "overlap_summary": f"WITH {_OVERLAP} SELECT text[1] AS letter, count(*) AS utterances, count(h.item_id) AS hits, round(count(h.item_id) / count(*)::DOUBLE, 5) AS hit_ratio FROM t LEFT JOIN (SELECT item_id FROM f WHERE frac >= 0.6e0) h USING (item_id) GROUP BY 1 ORDER BY hits DESC, letter LIMIT 15",
+    "overlap_files": f"WITH {_OVERLAP} SELECT source, count(*) AS hits FROM b JOIN documents USING (doc_id) WHERE place = 1 GROUP BY source ORDER BY hits DESC, source LIMIT 15",
     "overlap_examples": f"WITH {_OVERLAP}, top AS (SELECT item_id, round(frac, 2) AS frac FROM f WHERE frac >= 0.6e0 ORDER BY round(frac, 2) DESC, item_id LIMIT 10) SELECT item_id, frac, left(t.text, 120) AS their_text, left(d.text, 120) AS our_text FROM top JOIN b USING (item_id) JOIN documents d USING (doc_id) JOIN t USING (item_id) WHERE place = 1",
 }

@@ -9,6 +9,10 @@ from pyspark.sql import types as T
 from .. import workspace
 
 
+#: The ledger's name in a folder of downloads.
+LEDGER = "ledger.jsonl"
+
+
 def read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """The records of a manifest; blank and corrupt lines are left out, no file is no rows."""
     if not workspace.exists(spark, path):
@@ -24,5 +28,9 @@ def tail(spark: SparkSession, path: str, schema: T.StructType, files_per_trigger
 
 def ledgers(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
     """The ledger of a folder and of its direct subfolders; relative paths become absolute."""
-    rows = spark.read.schema(schema).option("mode", "DROPMALFORMED").option("recursiveFileLookup", True).option("pathGlobFilter", "ledger*.jsonl").json(root)
-    return rows.withColumn("path", F.when(F.startswith("path", F.lit("/")), F.col("path")).otherwise(F.concat(F.lit(root.rstrip("/") + "/"), F.col("path"))))
+    root = root.rstrip("/")
+    places = [p for p in (f"{root}/{LEDGER}", f"{root}/*/{LEDGER}") if workspace.matches(spark, p)]
+    if not places:
+        return spark.createDataFrame([], schema)
+    rows = spark.read.schema(schema).option("mode", "DROPMALFORMED").json(places)
+    return rows.withColumn("path", F.when(F.startswith("path", F.lit("/")), F.col("path")).otherwise(F.concat(F.lit(root + "/"), F.col("path"))))

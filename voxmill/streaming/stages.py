@@ -78,7 +78,7 @@ def barrier(stream: DataFrame) -> DataFrame:
     """file_id, id of complete files, as a stream; the state holds the ids that wait.
 
     ``stream``: file_id, id, n_segments (all long). A file is passed on when its last row is
-    there; rows that come later follow at once.
+    there, or at once if it doesn't say how many it has; rows that come later follow at once.
     """
 
     def run(key, parts, state: GroupState):
@@ -87,7 +87,7 @@ def barrier(stream: DataFrame) -> DataFrame:
         for part in parts:
             ids += part["id"].tolist()
             expected = part["n_segments"].iloc[0] if len(part) else expected
-        if released or expected is None or len(set(ids)) >= expected:
+        if released or pd.isna(expected) or len(set(ids)) >= expected:
             state.update(([], True))
             yield pd.DataFrame({"file_id": [key[0]] * len(set(ids)), "id": sorted(set(ids))})
         else:

@@ -5,13 +5,15 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder that ``spark.checkpoint.dir`` names; a temporary one where it is unset."""
+    """The folder that ``spark.checkpoint.dir`` names; a temporary one where a local session has none."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         root = "file://" + tempfile.mkdtemp(prefix="spark-")
         spark.conf.set("spark.checkpoint.dir", root)
     return root.rstrip("/")
@@ -22,7 +24,29 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def saved(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read again, for tables that several jobs use."""
+    path = new_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     """Whether there is something at ``path``, in any store that Spark reads."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
+def matches(spark: SparkSession, pattern: str) -> bool:
+    """Whether anything matches a path with wildcards."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    return bool(target.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(target))
+
+
+def replace(spark: SparkSession, new: str, old: str) -> None:
+    """Put what is at ``new`` in the place of ``old``, by renaming."""
+    source, target = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (new, old))
+    store = source.getFileSystem(spark._jsc.hadoopConfiguration())
+    store.delete(target, True)
+    if not store.rename(source, target):
+        raise OSError(f"can't rename {new} to {old}")
