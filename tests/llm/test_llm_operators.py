@@ -565,7 +565,10 @@ def test_components(spark):
 # 5: substring dedup
 
 
-def test_substring_dedup_equals_brute_force(spark, empty):
+@pytest.mark.parametrize("packed", [True, False])
+def test_substring_dedup_equals_brute_force(spark, empty, monkeypatch, packed):
+    if not packed:
+        monkeypatch.setattr(substring_dedup, "place_bits", lambda own: 0)
     rng = random.Random(6)
     passage, rows = words(60, 1), []
     for k in range(60):

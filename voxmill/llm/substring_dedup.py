@@ -118,15 +118,30 @@ def only(column: str) -> Column:
     return F.when(F.min(column) == F.max(column), F.min(column)).otherwise(F.lit(0))
 
 
-def first_edges(edges: DataFrame) -> DataFrame:
+def place_bits(own: DataFrame) -> int:
+    """Bits that a place in a text needs if it fits into one whole number with the id; else 0."""
+    low, high, longest = own.agg(F.coalesce(F.min("doc_id"), F.lit(0)), F.coalesce(F.max("doc_id"), F.lit(0)), F.coalesce(F.max("n"), F.lit(0))).first()
+    bits = max(1, longest.bit_length())
+    return bits if low >= 0 and high.bit_length() + bits <= 63 else 0
+
+
+def first_edges(edges: DataFrame, bits: int) -> DataFrame:
     """h, g, rows, src, src_start, n: the first edge of each nonbranching path of ``n`` edges; written.
 
+    Id and place in one number of ``bits`` for the place are compared without a sort; with 0 bits
+    both are compared one after the other, which gives the same.
+
     A path's places are those of any of its edges, in the same order, so the source of an edge
     stands next to that of its neighbour and one join by source coordinates links them all.
     """
-    first = F.min(F.struct("doc_id", "pos")).alias("first")
+    if bits:
+        first = F.min(F.shiftleft("doc_id", bits).bitwiseOR(F.col("pos").cast("long"))).alias("first")
+        src, at = F.shiftright("first", bits), F.col("first").bitwiseAND(F.lit((1 << bits) - 1)).cast("int")
+    else:
+        first = F.min(F.struct("doc_id", "pos")).alias("first")
+        src, at = F.col("first.doc_id"), F.col("first.pos")
     repeated = edges.groupBy("h", "g").agg(first, F.count("*").alias("rows"), only("before").alias("before"), only("after").alias("after")).filter("rows > 1")
-    repeated = scratch.save(repeated.select("h", "g", "rows", F.col("first.doc_id").alias("src"), F.col("first.pos").alias("src_start"), "before", "after"), "repeated_edges")
+    repeated = scratch.save(repeated.select("h", "g", "rows", src.alias("src"), at.alias("src_start"), "before", "after"), "repeated_edges")
     previous = repeated.select("src", (F.col("src_start") + 1).alias("src_start"), F.col("after").alias("h"), F.col("h").alias("before"), F.lit(False).alias("starts"))
     linked = repeated.join(previous, ["src", "src_start", "h", "before"], "left").withColumn("starts", F.coalesce("starts", F.lit(True)))
     # the edges of one text up to each: at most as many as it has words
@@ -136,9 +151,9 @@ def first_edges(edges: DataFrame) -> DataFrame:
     return scratch.save(path.groupBy("src", "path").agg(head, F.count("*").cast("int").alias("n")).select("head.*", "src", "n"), "first_edges")
 
 
-def repeated_paths(edges: DataFrame) -> DataFrame:
+def repeated_paths(edges: DataFrame, bits: int) -> DataFrame:
     """doc_id, start, n, src, src_start: runs of ``n`` words whose windows occurred before."""
-    met = joins.weighted_join(edges.select("h", "g", "doc_id", "pos"), first_edges(edges), ["h", "g"], "rows", "inner")
+    met = joins.weighted_join(edges.select("h", "g", "doc_id", "pos"), first_edges(edges, bits), ["h", "g"], "rows", "inner")
     met = met.filter("doc_id <> src or pos <> src_start")
     return met.select("doc_id", F.col("pos").alias("start"), (F.col("n") + (WINDOW - 1)).alias("n"), "src", "src_start")
 
@@ -176,7 +191,7 @@ def spans_of(docs: DataFrame) -> DataFrame:
     single = joins.keyed_filter(own, same.select("doc_id", "words"), ["doc_id", "words"], "left_anti")
     edges = edges_of(known, repeated_minimizers(single))
     whole = same.select("doc_id", F.lit(0).alias("start"), "n", "src", F.lit(0).alias("src_start"))
-    paths = scratch.save(repeated_paths(edges).unionByName(whole), "spans")
+    paths = scratch.save(repeated_paths(edges, place_bits(own)).unionByName(whole), "spans")
     scratch.drop(edges)
     scratch.drop(own)
     return scratch.save(with_digests(known, paths).select("doc_id", "start", "n", "digest"), "verified")
