@@ -318,12 +318,13 @@ def test_bpe_equals_tiktoken(spark, hard, empty):
     own = byte_bpe.codec(byte_bpe.VOCABULARY)
     other = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=own.ranks, special_tokens={})
     rng = random.Random(2)
-    alphabets = ["ab", "abcdefgh ", "aé日本 \n", "  \n\t", "0123456789", "😀á ", "\x00\x01"]
+    alphabets = ["ab", "abcdefgh ", "aé日本 \n", "  \n\t", "0123456789", "😀á ", "\x00\x01", "a 's\n. 1", " \u0085\u00a0\x1cab\u2028\u3000\u200b", "ab' \r\n"]
     texts = ["".join(rng.choice(a) for _ in range(rng.randrange(80))) for a in alphabets for _ in range(60)] + ["a" * 5000, "ab" * 3000]
     for text in texts:
         ids = own.encode(text)
         assert np.frombuffer(ids, dtype="<u4").tolist() == other.encode_ordinary(text)
-        assert own.decode(ids) == text.encode()
+        assert own.decode_all([ids, b"", ids]).to_pylist() == [text.encode(), b"", text.encode()]
+    assert own.decode_all([]).to_pylist() == [] and own.decode_all([b"", b""]).to_pylist() == [b"", b""]
     got = {r.doc_id: r for r in byte_bpe.digests(hard).collect()}
     assert got[1].n_tokens == got[2].n_tokens == 0 and got[1].decoded_sha256 == hashlib.sha256(b"").hexdigest()
     assert got[5].decoded_sha256 == hashlib.sha256(b"x " * 20000).hexdigest()

@@ -15,6 +15,7 @@ encoded row by row. Other columns are passed on; a column named like an output i
 from __future__ import annotations
 
 import base64
+import struct
 from functools import lru_cache
 
 import ahocorasick
@@ -30,7 +31,7 @@ from . import scratch
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
 #: Entries that a worker remembers of each kind before it starts afresh.
-MEMO_SIZE = 200_000
+MEMO_SIZE = 400_000
 #: Matches longer than this are not remembered, as they hardly come again.
 MEMO_LENGTH = 64
 
@@ -42,13 +43,17 @@ class Codec:
         with open(path, "rb") as lines:
             self.ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
         self.bytes_of = {rank: token for token, rank in self.ranks.items()}
+        self.tokens = pa.array([self.bytes_of.get(rank) for rank in range(max(self.bytes_of) + 1)], pa.large_binary())
         self.pattern = regex.compile(pattern)
         self.starts = ahocorasick.Automaton()
         for token, rank in self.ranks.items():
-            self.starts.add_word(token.decode("latin-1"), (rank, len(token)))
+            if len(token) > 1:
+                self.starts.add_word(token.decode("latin-1"), (rank, len(token) - 1))
+        self.one_byte = [self.ranks[bytes([b])] for b in range(256)]
         self.starts.make_automaton()
+        self.size_of = {rank: len(token) for token, rank in self.ranks.items()}
         self.sound: dict[int, bool] = {}
-        self.fits: dict[tuple[int, int], bool] = {}
+        self.fits: dict[int, bool] = {}
         self.shorter: dict[int, int] = {}
         self.known: dict[str, bytes] = {}
 
@@ -64,18 +69,15 @@ class Codec:
 
     def is_sound(self, token: int) -> bool:
         """Whether the merges of a token's own bytes give that token."""
-        if token not in self.sound:
-            self.sound[token] = self.merged(self.bytes_of[token]) == [token]
-        return self.sound[token]
+        self.sound[token] = told = self.merged(self.bytes_of[token]) == [token]
+        return told
 
     def fit(self, left: int, right: int) -> bool:
         """Whether the merges of the joined bytes give these two tokens."""
-        pair = (left, right)
-        if pair not in self.fits:
-            if len(self.fits) >= MEMO_SIZE:
-                self.fits.clear()
-            self.fits[pair] = self.merged(self.bytes_of[left] + self.bytes_of[right]) == [left, right]
-        return self.fits[pair]
+        if len(self.fits) >= MEMO_SIZE:
+            self.fits.clear()
+        self.fits[left << 32 | right] = told = self.merged(self.bytes_of[left] + self.bytes_of[right]) == [left, right]
+        return told
 
     def next_shorter(self, token: int) -> int:
         """The longest other token that begins this one; -1 if there is none."""
@@ -87,35 +89,47 @@ class Codec:
     def encode_piece(self, piece: bytes) -> list[int]:
         if piece in self.ranks:
             return [self.ranks[piece]]
-        longest, length = [-1] * len(piece), [0] * len(piece)
-        for end, (rank, size) in self.starts.iter(piece.decode("latin-1")):
-            start = end - size + 1
-            if size > length[start]:
-                longest[start], length[start] = rank, size
+        length, size_of, sound, fits = len(piece), self.size_of, self.sound.get, self.fits.get
+        longest = list(map(self.one_byte.__getitem__, piece))
+        for end, (rank, back) in self.starts.iter(piece.decode("latin-1")):
+            longest[end - back] = rank  # ends grow, so the last token found at a place is its longest
         out: list[int] = []
-        dead = bytearray(len(piece) + 1)
-        at, token = 0, longest[0]
-        while at < len(piece):
+        dead = bytearray(length + 1)
+        at, token, last = 0, longest[0], -1
+        while at < length:
             while token >= 0:
-                end = at + len(self.bytes_of[token])
-                if not dead[end] and self.is_sound(token) and (not out or self.fit(out[-1], token)):
-                    break
+                end = at + size_of[token]
+                if not dead[end]:
+                    good = sound(token)
+                    if good is None:
+                        good = self.is_sound(token)
+                    if good and last >= 0:
+                        good = fits(last << 32 | token)
+                        if good is None:
+                            good = self.fit(last, token)
+                    if good:
+                        break
                 token = self.next_shorter(token)
             if token >= 0:
                 out.append(token)
-                at = end
-                token = longest[at] if at < len(piece) else -1
+                at, last = end, token
+                token = longest[at] if at < length else -1
             else:  # no token goes on from here, so no encoding passes through this place
                 dead[at] = 1
                 token = out.pop()
-                at -= len(self.bytes_of[token])
+                last = out[-1] if out else -1
+                at -= size_of[token]
         return out
 
+    @staticmethod
+    def packed(ids: list[int]) -> bytes:
+        return struct.pack(f"<{len(ids)}I", *ids)
+
     def ids_of(self, piece: str) -> bytes:
         """The ids of one match as little-endian unsigned 32-bit integers."""
         found = self.known.get(piece)
         if found is None:
-            found = np.array(self.encode_piece(piece.encode()), dtype="<u4").tobytes()
+            found = self.packed(self.encode_piece(piece.encode()))
             if len(piece) <= MEMO_LENGTH:
                 if len(self.known) >= MEMO_SIZE:
                     self.known.clear()
@@ -126,8 +140,15 @@ class Codec:
         known, new = self.known.get, self.ids_of
         return b"".join([known(piece) or new(piece) for piece in self.pattern.findall(text)])
 
-    def decode(self, ids: bytes) -> bytes:
-        return b"".join(map(self.bytes_of.__getitem__, np.frombuffer(ids, dtype="<u4").tolist()))
+    def decode_all(self, rows: list[bytes]) -> pa.Array:
+        """The bytes that each row of ids stands for."""
+        ids = np.frombuffer(b"".join(rows), dtype="<u4")
+        told = self.tokens.take(pa.array(ids))
+        if told.null_count:
+            raise KeyError("an id that the vocabulary doesn't have")
+        ends = np.frombuffer(told.buffers()[1], dtype=np.int64, count=len(ids) + 1) if len(ids) else np.zeros(1, np.int64)
+        at = np.cumsum([0, *map(len, rows)]) // 4
+        return pa.Array.from_buffers(pa.large_binary(), len(rows), [None, pa.py_buffer(ends[at]), told.buffers()[2]]).cast(pa.binary())
 
 
 @lru_cache(maxsize=2)
@@ -164,7 +185,7 @@ def decode(df: DataFrame, ids: str = "ids", out: str = "decoded", path: str = VO
     def run(batches):
         own = codec(path)
         for batch in batches:
-            yield _with_column(batch, out, pa.array([own.decode(i.as_py() or b"") for i in batch.column(ids)], pa.binary()))
+            yield _with_column(batch, out, own.decode_all([i.as_py() or b"" for i in batch.column(ids)]))
 
     return df.mapInArrow(run, _extended(df, out, T.BinaryType()))
 
@@ -182,8 +203,7 @@ def round_trip(df: DataFrame, text: str = "text", path: str = VOCABULARY) -> Dat
         own = codec(path)
         for batch in batches:
             ids = [own.encode(t.as_py() or "") for t in batch.column(text)]
-            back = [own.decode(i) for i in ids]
-            yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in names], pa.array(ids, pa.binary()), pa.array(back, pa.binary())], names=[*names, "ids", "decoded"])
+            yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in names], pa.array(ids, pa.binary()), own.decode_all(ids)], names=[*names, "ids", "decoded"])
 
     return df.mapInArrow(run, T.StructType([*kept, T.StructField("ids", T.BinaryType()), T.StructField("decoded", T.BinaryType())]))
 
