@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from voxmill.functions import ids, vectors
 from voxmill.functions import text as tx
-from voxmill.operators import signals
+from voxmill.operators import clips, signals
 from voxmill.providers import OutOfMemory, energy_gate, in_batches
 from voxmill.sources import feeds, registry
 
@@ -73,6 +73,31 @@ def test_vectors(spark):
     assert r.clip == 0.1 and r.peak == pytest.approx(10 ** (-3 / 20)) and abs(r.same) < 1e-6
 
 
+def test_clips(spark):
+    x = np.arange(800, dtype=np.float32) / 1600
+    wav = signals.encode_wav(x, 400)
+    rows = spark.createDataFrame([("a", wav, 0.5, 0.25), ("b", wav, 1.9, 5.0), ("c", wav, 3.0, 1.0), ("d", b"no wav", 0.0, 1.0), ("e", None, 0.0, 1.0), ("f", wav, None, 1.0)], "source_path string, content binary, start double, seconds double")
+    got = {r.source_path: r.c for r in rows.select("source_path", clips.wav_cut("content", "start", "seconds").alias("c")).collect()}
+    part, rate = signals.decode_wav(bytes(got["a"]))
+    assert rate == 400 and np.allclose(part, x[200:300], atol=1e-4)
+    assert len(signals.decode_wav(bytes(got["b"]))[0]) == 40 and len(signals.decode_wav(bytes(got["c"]))[0]) == 0
+    assert got["d"] is None and got["e"] is None and got["f"] is None
+    done, rejects = clips.converted(rows, 200)
+    assert {len(signals.decode_wav(bytes(r.content))[0]) for r in done.collect()} == {400}
+    assert {(r.source_path, r.reason) for r in rejects.collect()} == {("d", "convert"), ("e", "convert")}
+    halves = [("k", 1, signals.encode_wav(x[400:], 400)), ("k", 0, signals.encode_wav(x[:400], 400)), ("m", 0, wav), ("m", 1, signals.encode_wav(x, 200)), ("n", 0, b"")]
+    chain = {r.key: r.content for r in clips.wav_joined(spark.createDataFrame(halves, "key string, part int, content binary"), "key", "part").collect()}
+    assert bytes(chain["k"]) == wav and chain["m"] is None and chain["n"] is None
+
+
+def test_normaliser(monkeypatch):
+    assert tx.normaliser() == (tx.spoken_form, "basic") == tx.normaliser("basic")
+    with pytest.raises(KeyError):
+        tx.normaliser("other")
+    monkeypatch.setitem(tx.NORMALISERS, "other", F.lower)
+    assert tx.normaliser("auto") == (F.lower, "other") and tx.normaliser("basic")[1] == "basic"
+
+
 def test_signals():
     rate = 16000
     t = np.arange(rate) / rate

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Callable
 from urllib.parse import urljoin
 
 import pandas as pd
@@ -105,6 +106,18 @@ def spoken_form(text: Column) -> Column:
     return F.trim(F.regexp_replace(F.array_join(said, ""), WHITE_SPACE, " "))
 
 
+#: Ways to bring a text into its spoken form. A package for it registers its own column function.
+NORMALISERS: dict[str, Callable[[Column], Column]] = {"basic": spoken_form}
+
+
+def normaliser(wanted: str = "auto") -> tuple[Callable[[Column], Column], str]:
+    """The way of that name and its name; ``auto`` takes a registered one before the basic one."""
+    name = next((n for n in NORMALISERS if n != "basic"), "basic") if wanted == "auto" else wanted
+    if name not in NORMALISERS:
+        raise KeyError(f"no text normaliser {name!r}; known: {', '.join(sorted(NORMALISERS))}")
+    return NORMALISERS[name], name
+
+
 def safe_filename(name: Column, max_len: int = 120) -> Column:
     """Unsafe characters as underscores, none at the ends, cut, never empty."""
     clean = F.btrim(F.regexp_replace(name, r"[^\p{L}\p{N}_\-.]+", "_"), F.lit("_."))

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import vectors as vec
-from ..operators import segments, shards, signals, speakers
+from ..operators import clips, segments, shards, signals, speakers
 
 RATE, FRAME, HOP = 64, 16, 8
 
@@ -65,6 +65,19 @@ def peak_norm(spark, sf_dir):
     return _read(spark, sf_dir, "embeddings").select("vec_id", F.round(F.array_max(F.transform(x, F.abs)), 9).alias("peak"), F.round(vec.rms(x), 6).alias("rms"))
 
 
+def vector_cut(spark, sf_dir):
+    """A quarter of a second of each vector, from a place that its number tells."""
+    part = clips.cut(F.col("embedding"), RATE, (F.col("vec_id") % 16) / 16, F.lit(0.25))
+    return _read(spark, sf_dir, "embeddings").select("vec_id", F.size(part).alias("n"), F.element_at(part, 1).cast("double").alias("first"), F.element_at(part, -1).cast("double").alias("last"))
+
+
+def vector_concat(spark, sf_dir):
+    """Vectors in runs of four, one after the other."""
+    parts = _read(spark, sf_dir, "embeddings").select(F.floor(F.col("vec_id") / 4).alias("run"), "vec_id", "embedding")
+    x = F.col("embedding")
+    return clips.joined(parts, "run", "vec_id", "embedding").select("run", F.size(x).alias("n"), F.element_at(x, 1).cast("double").alias("first"), F.element_at(x, -1).cast("double").alias("last"))
+
+
 def separation_gate(spark, sf_dir):
     x = F.col("embedding")
     ratio = vec.level_ratio(F.slice(x, 33, 16), x)
@@ -85,7 +98,7 @@ def speaker_clusters(spark, sf_dir):
     return speakers.clusters(rows, 0.85)
 
 
-QUERIES = {f.__name__: f for f in (interval_merge, interval_cut, chunk_plan, shard_assign, shard_sizes, cosine_pairs, half_distance_flag, clip_ratio, peak_norm, separation_gate, snr_frames, rolloff, speaker_clusters)}
+QUERIES = {f.__name__: f for f in (interval_merge, interval_cut, chunk_plan, shard_assign, shard_sizes, cosine_pairs, half_distance_flag, clip_ratio, peak_norm, vector_cut, vector_concat, separation_gate, snr_frames, rolloff, speaker_clusters)}
 
 
 def _merge_sql(min_s: float, max_s: float, pad: float) -> str:
@@ -127,6 +140,8 @@ SQL = {
     "cosine_pairs": f"WITH e AS (SELECT vec_id, label, {_D} AS x FROM embeddings), p AS (SELECT vec_id, x, lead(x) OVER (PARTITION BY label ORDER BY vec_id) AS y FROM e) SELECT vec_id, round({_cos('x', 'y')}, 6) AS distance FROM p WHERE y IS NOT NULL",
     "half_distance_flag": f"WITH e AS (SELECT vec_id, {_D} AS x FROM embeddings) SELECT vec_id, CASE WHEN vec_id % 5 >= 2 THEN {_cos('x[1:32]', 'x[33:64]')} > 0.45e0 END AS multi_speaker FROM e",
     "clip_ratio": f"SELECT vec_id, len(list_filter({_D}, lambda x: abs(x) >= 0.2e0)) / len(embedding)::DOUBLE AS clipping FROM embeddings",
+    "vector_cut": "WITH e AS (SELECT vec_id, embedding[vec_id % 16 * 4 + 1:vec_id % 16 * 4 + 16] AS x FROM embeddings) SELECT vec_id, len(x)::INT AS n, x[1]::DOUBLE AS first, x[-1]::DOUBLE AS last FROM e",
+    "vector_concat": "SELECT vec_id // 4 AS run, sum(len(embedding))::INT AS n, arg_min(embedding[1], vec_id)::DOUBLE AS first, arg_max(embedding[-1], vec_id)::DOUBLE AS last FROM embeddings GROUP BY 1",
     "peak_norm": f"WITH e AS (SELECT vec_id, {_D} AS x FROM embeddings), p AS (SELECT vec_id, list_transform(x, lambda v: v * (pow(10e0, -3 / 20e0) / list_max(list_transform(x, lambda w: abs(w))))) AS y FROM e) SELECT vec_id, round(list_max(list_transform(y, lambda v: abs(v))), 9) AS peak, round(sqrt(list_sum(list_transform(y, lambda v: v * v)) / len(y)), 6) AS rms FROM p",
     "separation_gate": f"WITH e AS (SELECT vec_id, {_D} AS x FROM embeddings), r AS (SELECT vec_id, x, sqrt(list_sum(list_transform(x[33:48], lambda v: v * v)) / 16) / (sqrt(list_sum(list_transform(x, lambda v: v * v)) / len(x)) + 1e-9) AS r FROM e) SELECT vec_id, round(r, 6) AS ratio, r >= 1 AS separate, round(list_avg(list_transform(range(0, 7), lambda i: list_sum(x[i * 9 + 1:i * 9 + 9]) / 9)), 6) AS mos FROM r",
     "snr_frames": f"WITH e AS (SELECT vec_id, {_D} AS x FROM embeddings), f AS (SELECT vec_id, unnest(range(0, (len(x) - 16) // 8 + 1)) AS i, x FROM e), d AS (SELECT vec_id, 10 * log10(list_sum(list_transform(x[i * 8 + 1:i * 8 + 16], lambda v: v * v)) / 16 + 1e-12) AS db FROM f) SELECT vec_id, round(quantile_cont(db, 0.9) - quantile_cont(db, 0.1), 2) AS snr_db FROM d GROUP BY vec_id",

@@ -66,6 +66,12 @@ def spoken_texts(spark, sf_dir):
     return _read(spark, sf_dir, "documents").select("doc_id", F.sha1(tx.spoken_form(F.col("text"))).alias("sha1"), F.length(tx.spoken_form(F.col("text"))).alias("n_chars"))
 
 
+def normalised_turns(spark, sf_dir):
+    """Turns in spoken form by the way that is there, with its name."""
+    run, name = tx.normaliser("auto")
+    return _read(spark, sf_dir, "conversations").select("conv_id", "turn", run(F.col("text")).alias("text_norm"), F.lit(name).alias("backend"))
+
+
 def cer_pairs(spark, sf_dir):
     """The character error rate of each turn against the one before it."""
     talk = _read(spark, sf_dir, "conversations").withColumn("c", tx.comparable(F.col("text")))
@@ -120,7 +126,7 @@ def overlap_files(spark, sf_dir):
     return best.join(docs, "doc_id").groupBy("source").agg(F.count("*").alias("hits")).orderBy(F.desc("hits"), "source").limit(15)
 
 
-QUERIES = {f.__name__: f for f in (safe_names, url_parts, page_expand, href_extract, page_links, source_paths, durations, numbers_in_words, spoken_texts, cer_pairs, ngram_overlap, overlap_hits, overlap_summary, overlap_examples, overlap_files)}
+QUERIES = {f.__name__: f for f in (safe_names, url_parts, page_expand, href_extract, page_links, source_paths, durations, numbers_in_words, spoken_texts, normalised_turns, cer_pairs, ngram_overlap, overlap_hits, overlap_summary, overlap_examples, overlap_files)}
 
 
 def _said_sql(n: str) -> str:
@@ -137,6 +143,8 @@ def _said_sql(n: str) -> str:
     return f"CASE WHEN {n} = 0 THEN 'không' ELSE concat_ws(' ', {', '.join(parts)}) END"
 
 
+_SPOKEN = f"""trim(regexp_replace(array_to_string(list_transform(regexp_extract_all(nfc_normalize(coalesce(text, '')), '\\p{{Nd}}{{1,15}}|\\P{{Nd}}+'),
+lambda p: CASE WHEN regexp_matches(p, '^[0-9]') THEN {_said_sql("try_cast(p AS BIGINT)")} ELSE p END), ''), '\\s+', ' ', 'g'))"""
 _WORDS = r"list_filter(string_split(regexp_replace(nfc_normalize(lower(coalesce(text, ''))), '[^\p{L}\p{N}_]+', ' ', 'g'), ' '), lambda x: x <> '')"
 _OVERLAP = f"""
 o AS (SELECT doc_id, {_WORDS} AS w FROM documents WHERE text IS NOT NULL),
@@ -164,8 +172,8 @@ CASE WHEN starts_with('/' || replace(p, '__', '/'), '/en/') THEN '/data' || '/'
 string_split(p, '/')[-1] || '.tar' AS stem FROM d""",
     "durations": "SELECT event_id, CASE event_id % 4 WHEN 0 THEN event_id % 7 * 3600e0 + event_id % 60 * 60 + event_id % 60 WHEN 1 THEN event_id % 60 * 60e0 + event_id % 60 WHEN 2 THEN trunc(value) END::DOUBLE AS seconds FROM events",
     "numbers_in_words": f"WITH n AS (SELECT DISTINCT unnest(regexp_extract_all(text, '[0-9]{{1,15}}')) AS n FROM documents UNION SELECT DISTINCT (l_orderkey * l_partkey)::VARCHAR FROM lineitem) SELECT n, {_said_sql('n::BIGINT')} AS words FROM n",
-    "spoken_texts": f"""WITH s AS (SELECT doc_id, trim(regexp_replace(array_to_string(list_transform(regexp_extract_all(nfc_normalize(coalesce(text, '')), '\\p{{Nd}}{{1,15}}|\\P{{Nd}}+'),
-lambda p: CASE WHEN regexp_matches(p, '^[0-9]') THEN {_said_sql("try_cast(p AS BIGINT)")} ELSE p END), ''), '\\s+', ' ', 'g')) AS s FROM documents) SELECT doc_id, sha1(s) AS sha1, length(s)::INT AS n_chars FROM s""",
+    "normalised_turns": f"SELECT conv_id, turn, {_SPOKEN} AS text_norm, 'basic' AS backend FROM conversations",
+    "spoken_texts": f"""WITH s AS (SELECT doc_id, {_SPOKEN} AS s FROM documents) SELECT doc_id, sha1(s) AS sha1, length(s)::INT AS n_chars FROM s""",
     "ngram_overlap": f"WITH {_OVERLAP} SELECT item_id, n_grams, n_found, round(frac, 2) AS frac FROM f",
     "overlap_hits": f"WITH {_OVERLAP} SELECT item_id, doc_id, common, place::INT AS place FROM b WHERE place <= 3",
     "overlap_summary": f"WITH {_OVERLAP} SELECT text[1] AS letter, count(*) AS utterances, count(h.item_id) AS hits, round(count(h.item_id) / count(*)::DOUBLE, 5) AS hit_ratio FROM t LEFT JOIN (SELECT item_id FROM f WHERE frac >= 0.6e0) h USING (item_id) GROUP BY 1 ORDER BY hits DESC, letter LIMIT 15",
