@@ -44,6 +44,15 @@ def test_merged_speech(spark, chunks, want):
     assert all(r.n_segments == len(want) for r in got)
 
 
+def test_segments_of_many_and_of_unknown_intervals(spark, monkeypatch):
+    monkeypatch.setattr(segments, "BATCH", 3)
+    rows = [("a", float(2 * k), 2.0 * k + 1) for k in range(5000)] + [("b", 0.0, 25.0), ("b", None, 4.0), ("c", 1.0, float("inf")), (None, 0.0, 2.0)]
+    got = segments.segments_of(spark.createDataFrame(rows, "file_id string, start double, end double"), 1.0, 10.0, 0.0).collect()
+    a = sorted((r.seg_index, r.start, r.end, r.n_segments) for r in got if r.file_id == "a")
+    assert a == [(k, 10.0 * k, 10.0 * k + 9, 1000) for k in range(1000)]
+    assert sorted((r.file_id or "", r.seg_index, r.end, r.n_segments) for r in got if r.file_id != "a") == [("", 0, 2.0, 1), ("b", 0, 10.0, 3), ("b", 1, 20.0, 3), ("b", 2, 25.0, 3)]
+
+
 def test_padding_and_ids(spark):
     df = spark.createDataFrame([("f", 0.05, 2.0)], "file_id string, start double, end double")
     r = segments.segments_of(df, 1.0, 10.0, 0.1).first()

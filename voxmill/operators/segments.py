@@ -2,66 +2,81 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.window import Window
 
 from ..functions import ids
 
 
-def merged_speech(chunks: Column, min_s: float, max_s: float, pad_s: float = 0.1) -> Column:
-    """Segments of sorted intervals (start, end): extended while they fit, cut hard where one
-    interval alone is too long, padded, and left out if shorter than ``min_s``.
-
-    Cuts add ``max_s`` again and again, so times agree to the last bit with a running cutter.
-    """
-    span = "struct<start:double,end:double>"
-    empty = F.array().cast(f"array<{span}>")
-    none = F.lit(None).cast("double")
-
-    def seg(start: Column, end: Column) -> Column:
-        return F.struct(start.alias("start"), end.alias("end"))
-
-    def state(out: Column, start: Column, end: Column) -> Column:
-        return F.struct(out.alias("out"), start.alias("start"), end.alias("end"))
-
-    def cut(a: Column) -> Column:
-        rounds = F.sequence(F.lit(0), F.greatest(F.ceil((a["end"] - a["start"]) / max_s), F.lit(0)).cast("int"))
-        return F.aggregate(
-            rounds,
-            a,
-            lambda b, _: F.when(
-                b["end"] - b["start"] > max_s,
-                state(F.concat(b["out"], F.array(seg(b["start"], b["start"] + max_s))), b["start"] + max_s, b["end"]),
-            ).otherwise(b),
-        )
-
-    def step(a: Column, c: Column) -> Column:
-        opened = state(a["out"], c["start"], c["end"])
-        longer = state(a["out"], a["start"], c["end"])
-        closed = state(F.concat(a["out"], F.array(seg(a["start"], a["end"]))), c["start"], c["end"])
-        nxt = F.when(a["start"].isNull(), opened).when(c["end"] - a["start"] <= max_s, longer).otherwise(closed)
-        return F.when(nxt["end"] - nxt["start"] > max_s, cut(nxt)).otherwise(nxt)
-
-    def finish(a: Column) -> Column:
-        return F.when(a["start"].isNull(), a["out"]).otherwise(F.concat(a["out"], F.array(seg(a["start"], a["end"]))))
-
-    folded = F.aggregate(chunks, state(empty, none, none), step, finish)
-    padded = F.transform(folded, lambda s: seg(F.greatest(s["start"] - pad_s, F.lit(0.0)), s["end"] + pad_s))
-    return F.filter(padded, lambda s: s["end"] - s["start"] >= min_s)
+#: Segments that a task holds before it hands them on.
+BATCH = 10_000
 
 
 def segments_of(intervals: DataFrame, min_s: float, max_s: float, pad_s: float = 0.1) -> DataFrame:
     """One row per segment of each file: file_id, seg_index, n_segments, start, end, id, duration.
 
-    ``intervals``: file_id, start, end. A file's intervals are folded together; they are few and
-    narrow, whatever the length of the recording.
+    A file's intervals (file_id, start, end), in order, are extended while they fit, cut hard
+    where one alone is too long, padded, and left out if shorter than ``min_s``. Cuts add
+    ``max_s`` again and again, so times agree to the last bit with a running cutter. Intervals
+    without finite bounds are left out.
+
+    A task runs through its sorted rows once and holds the open segment, so a file may have any
+    number of intervals; sort and count spill.
     """
-    chunk = F.struct(F.col("start").cast("double").alias("start"), F.col("end").cast("double").alias("end"))
-    files = intervals.groupBy("file_id").agg(F.sort_array(F.collect_list(chunk)).alias("chunks"))
-    files = files.withColumn("segments", merged_speech(F.col("chunks"), min_s, max_s, pad_s))
-    rows = files.select("file_id", F.size("segments").alias("n_segments"), F.posexplode("segments").alias("seg_index", "s"))
-    start, end = F.col("s.start"), F.col("s.end")
-    return rows.select("file_id", "seg_index", "n_segments", start.alias("start"), end.alias("end"), ids.segment_id(F.col("file_id").cast("string"), start, end).alias("id"), (end - start).alias("duration"))
+    bounds = [F.col(c).cast("double").alias(c) for c in ("start", "end")]
+    rows = intervals.select("file_id", *bounds).filter((F.abs("start") < float("inf")) & (F.abs("end") < float("inf")))
+    key = pa.field("file_id", to_arrow_schema(rows.schema).field("file_id").type)
+    schema = pa.schema([key, ("seg_index", pa.int32()), ("start", pa.float64()), ("end", pa.float64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        opened, file, start, end, index = False, None, 0.0, 0.0, 0
+        out: list[tuple] = []
+
+        def close(until: float) -> None:
+            nonlocal index
+            a, b = max(start - pad_s, 0.0), until + pad_s
+            if b - a >= min_s:
+                out.append((file, index, a, b))
+                index += 1
+
+        def told() -> pa.RecordBatch:
+            ready = pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), schema, strict=True)], schema=schema)
+            out.clear()
+            return ready
+
+        for batch in batches:
+            for name, a, b in zip(*(batch.column(c).to_pylist() for c in ("file_id", "start", "end")), strict=True):
+                if opened and name == file and b - start <= max_s:
+                    end = b
+                else:
+                    if opened:
+                        close(end)
+                    if not opened or name != file:
+                        index = 0
+                    opened, file, start, end = True, name, a, b
+                while end - start > max_s:
+                    close(start + max_s)
+                    start += max_s
+                    if len(out) >= BATCH:
+                        yield told()
+            if out:
+                yield told()
+        if opened:
+            close(end)
+            if out:
+                yield told()
+
+    sorted_rows = rows.repartition("file_id").sortWithinPartitions("file_id", "start", "end")
+    kind = rows.schema["file_id"].dataType.simpleString()
+    found = sorted_rows.mapInArrow(run, f"file_id {kind}, seg_index int, start double, end double")
+    n = F.count("*").over(Window.partitionBy("file_id")).cast("int")
+    start, end = F.col("start"), F.col("end")
+    return found.select("file_id", "seg_index", n.alias("n_segments"), "start", "end", ids.segment_id(F.col("file_id").cast("string"), start, end).alias("id"), (end - start).alias("duration"))
 
 
 def chunk_plan(files: DataFrame, chunk_s: float) -> DataFrame:
