@@ -96,7 +96,11 @@ def token_counts(keys: DataFrame, rules: tuple[Rule, ...]) -> dict[str, int]:
     if not wanted:
         return {}
     table = keys.sparkSession.createDataFrame([(t,) for t in wanted], "token string")
-    found = keys.select(F.explode(_tokens(F.col("key"))).alias("token")).join(table, "token", "left_semi").groupBy("token").count()
+    tokens = keys.select(F.explode(_tokens(F.col("key"))).alias("token"))
+    if len(wanted) <= joins.BROADCAST_ROWS:
+        found = tokens.join(F.broadcast(table), "token", "left_semi").groupBy("token").count()
+    else:  # what the tasks have counted meets the table, so no token is hot
+        found = tokens.groupBy("token").count().join(table, "token", "left_semi")
     return dict(map(tuple, found.collect()))
 
 
