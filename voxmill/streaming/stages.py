@@ -7,7 +7,6 @@ from collections.abc import Callable
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from .. import workspace
@@ -71,29 +70,49 @@ def ready_rows(pending: DataFrame, done: DataFrame, upstream_done: bool = False)
     return pending.join(ready.select("file_id"), "file_id", "left_semi")
 
 
-STATE = T.StructType([T.StructField("ids", T.ArrayType(T.LongType())), T.StructField("released", T.BooleanType())])
+STATE = "waiting array<long>, released array<long>, expected long, ended boolean"
 
 
-def barrier(stream: DataFrame) -> DataFrame:
-    """file_id, id of complete files, as a stream; the state holds the ids that wait.
+def file_ends(files: DataFrame) -> DataFrame:
+    """The end of the upstream as rows of ``barrier``'s stream: one for each file that it has."""
+    long = F.lit(None).cast("long")
+    return files.select("file_id").distinct().select("file_id", long.alias("id"), long.alias("n_segments"), F.lit(True).alias("end"))
+
 
-    ``stream``: file_id, id, n_segments (all long). A file is passed on when its last row is
-    there, or at once if it doesn't say how many it has; rows that come later follow at once.
+def barrier(stream: DataFrame) -> DataFrame:
+    """file_id, id of complete files, as a stream, each id once.
+
+    ``stream``: file_id, id, n_segments (all long) and, where the upstream tells its end, ``end``.
+    A file is passed on when as many of its ids are there as the first row that names a number
+    says, or at once while none does; what comes later follows at once if that still holds. A row
+    with ``end`` passes on what waits of its file, and all that comes after. The state holds the
+    ids that wait and, so that a repeated row does not come out twice, those that came out. Rows
+    without an id are left out.
     """
+    rows = stream if "end" in stream.columns else stream.withColumn("end", F.lit(False))
 
     def run(key, parts, state: GroupState):
-        ids, released = state.get if state.exists else ([], False)
-        ids, expected = list(ids), None
+        waiting, released, expected, ended = state.get if state.exists else ([], [], None, False)
+        waiting, released = dict.fromkeys(waiting), list(released)
+        known = {*waiting, *released}
         for part in parts:
-            ids += part["id"].tolist()
-            expected = part["n_segments"].iloc[0] if len(part) else expected
-        if released or pd.isna(expected) or len(set(ids)) >= expected:
-            state.update(([], True))
-            yield pd.DataFrame({"file_id": [key[0]] * len(set(ids)), "id": sorted(set(ids))})
-        else:
-            state.update((ids, False))
-
-    return stream.groupBy("file_id").applyInPandasWithState(run, "file_id long, id long", STATE, "append", GroupStateTimeout.NoTimeout)
+            ended = ended or bool(part["end"].fillna(False).any())
+            new = part[part["id"].notna() & ~part["end"].fillna(False).astype(bool)]
+            numbers = new["n_segments"].dropna()
+            if expected is None and len(numbers):
+                expected = int(numbers.iloc[0])
+            for i in new["id"].astype("int64").tolist():
+                if i not in known:
+                    known.add(i)
+                    waiting[i] = None
+        if ended or expected is None or len(known) >= expected:
+            out, released, waiting = sorted(waiting), released + list(waiting), {}
+            if out:
+                yield pd.DataFrame({"file_id": [key[0]] * len(out), "id": out})
+        state.update((list(waiting), released, expected, ended))
+
+    held = rows.select("file_id", "id", "n_segments", "end")
+    return held.groupBy("file_id").applyInPandasWithState(run, "file_id long, id long", STATE, "append", GroupStateTimeout.NoTimeout)
 
 
 class Gate:
