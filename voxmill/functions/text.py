@@ -177,6 +177,16 @@ def resolved(base: Column, link: Column) -> Column:
     return _resolved(base, link)
 
 
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def _all_resolved(base: pd.Series, links: pd.Series) -> pd.Series:
+    return pd.Series([[urljoin(b or "", x) for x in found] for b, found in zip(base, links, strict=True)])
+
+
+def all_resolved(base: Column, links: Column) -> Column:
+    """A page's links as absolute URLs, in order."""
+    return _all_resolved(base, links)
+
+
 def is_audio_link(url: Column, pattern: str = AUDIO_LINK) -> Column:
     """Whether the pattern occurs in the URL, whatever the case."""
     return url.rlike(f"(?i){pattern}")

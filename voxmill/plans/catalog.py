@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import records, sequences, speech, streams, texts
+from . import records, sequences, sounds, speech, streams, texts
 
-QUERIES = speech.QUERIES | records.QUERIES | texts.QUERIES | sequences.QUERIES | streams.QUERIES
-ORACLE_SQL = speech.SQL | records.SQL | texts.SQL | sequences.SQL | streams.SQL
+QUERIES = speech.QUERIES | records.QUERIES | texts.QUERIES | sequences.QUERIES | streams.QUERIES | sounds.QUERIES
+ORACLE_SQL = speech.SQL | records.SQL | texts.SQL | sequences.SQL | streams.SQL | sounds.SQL

@@ -26,25 +26,51 @@ class OutOfMemory(RuntimeError):
     """A model's memory is exhausted by a batch."""
 
 
-def in_batches(run: Callable[[list[In]], list[Out]], items: Sequence[In], size: int) -> list[Out | None]:
-    """Results in order. A batch too large for memory is halved for good; one that fails for
-    another reason is run item by item, and an item that fails alone gives None."""
-    out: list[Out | None] = []
-    while len(out) < len(items):
-        part = list(items[len(out) : len(out) + size])
+class Batches:
+    """Runs a model on items in order, ``size`` at a time.
+
+    A batch too large for memory is halved, for this batch and all later ones. One that fails for
+    another reason is run item by item, and an item that fails alone gives None; with ``strict`` such
+    a failure, and an item too large for memory alone, is raised.
+    """
+
+    def __init__(self, run: Callable[[list[In]], list[Out]], size: int, strict: bool = False) -> None:
+        self.run, self.size, self.strict = run, size, strict
+
+    def __call__(self, items: Sequence[In]) -> list[Out | None]:
+        out: list[Out | None] = []
+        while len(out) < len(items):
+            part = list(items[len(out) : len(out) + self.size])
+            try:
+                out += self._checked(part)
+            except OutOfMemory:
+                if len(part) == 1:
+                    if self.strict:
+                        raise
+                    out.append(None)
+                self.size = max(1, len(part) // 2)
+            except Exception:  # noqa: BLE001  the bad item is found alone
+                if self.strict:
+                    raise
+                out += [self._alone(item) for item in part]
+        return out
+
+    def _alone(self, item: In) -> Out | None:
         try:
-            out += run(part)
-        except OutOfMemory:
-            if size == 1:
-                out.append(None)
-            size = max(1, size // 2)
-        except Exception:  # noqa: BLE001  the bad item is found alone
-            if len(part) == 1:
-                out.append(None)
-                continue
-            for item in part:
-                out += in_batches(run, [item], 1)
-    return out
+            return self._checked([item])[0]
+        except Exception:  # noqa: BLE001
+            return None
+
+    def _checked(self, part: list[In]) -> list[Out]:
+        found = self.run(part)
+        if len(found) != len(part):
+            raise ValueError(f"a model gave {len(found)} results for {len(part)} items")
+        return list(found)
+
+
+def in_batches(run: Callable[[list[In]], list[Out]], items: Sequence[In], size: int) -> list[Out | None]:
+    """Results in order, as ``Batches`` gives them."""
+    return Batches(run, size)(items)
 
 
 def energy_gate(signal: np.ndarray, rate: int, frame_ms: int = 30, floor_db: float = 30.0) -> list[tuple[float, float]]:

@@ -44,6 +44,33 @@ def page_audio(pages: DataFrame, pattern: str = tx.AUDIO_LINK) -> DataFrame:
     return links.groupBy("link").agg(F.min(F.struct("url", "pos")).alias("at")).select(F.col("link").alias("url"), F.col("at.url").alias("page_url"), F.col("at.pos").alias("pos"))
 
 
+def followed_audio(listing: DataFrame, stored: DataFrame, pattern: str = tx.AUDIO_LINK, limit: int = 30) -> DataFrame:
+    """url, listing_page, title: audio links of listing pages and of the detail pages they lead to.
+
+    ``listing``: pos, url, html; pages are taken in the order of ``pos``. A page's own audio links come
+    first, then those of its detail pages: its first ``limit`` links to http pages that are no audio,
+    as often as they stand there. ``stored``: url, html of the pages that can be had; links to others
+    are passed over. A link belongs to the page where it was first met.
+    """
+    http = F.filter("links", lambda u: F.startswith(u, F.lit("http")) & ~tx.is_audio_link(u, pattern))
+    own = F.filter(F.transform("links", lambda u, i: F.struct(i.alias("at"), u.alias("url"))), lambda x: tx.is_audio_link(x["url"], pattern))
+    pages = _linked(listing.select("pos", "url", "html"))
+    first = pages.select("pos", F.col("url").alias("page"), F.explode(own).alias("l")).select(F.struct("pos", F.lit(-1).alias("detail"), F.col("l.at").alias("at")).alias("place"), F.col("l.url").alias("url"), "page")
+    details = pages.select("pos", F.posexplode(F.slice(http, 1, limit)).alias("detail", "url"))
+    wanted = details.select("url").distinct()
+    known = _linked(stored.join(wanted, "url", "left_semi").groupBy("url").agg(F.min("html").alias("html")))
+    inside = known.select(F.col("url").alias("page"), own.alias("found")).filter(F.size("found") > 0)
+    met = details.withColumnRenamed("url", "page").groupBy("page").agg(F.min(F.struct("pos", "detail")).alias("p")).join(inside, "page")
+    second = met.select("page", "p", F.explode("found").alias("l")).select(F.struct(F.col("p.pos").alias("pos"), F.col("p.detail").alias("detail"), F.col("l.at").alias("at")).alias("place"), F.col("l.url").alias("url"), "page")
+    found = first.unionByName(second).groupBy("url").agg(F.min(F.struct("place", "page")).alias("m"))
+    return found.select("url", F.col("m.page").alias("listing_page"), tx.basename(F.col("url")).alias("title"), F.col("m.place").alias("place"))
+
+
+def _linked(pages: DataFrame) -> DataFrame:
+    """``pages`` with their links, absolute and in order, instead of the HTML."""
+    return pages.withColumn("links", tx.all_resolved(F.col("url"), tx.hrefs(F.col("html")))).drop("html")
+
+
 def needs_probe(duration, max_seconds: float):
     """Whether a length must be asked for: unknown, or above the limit."""
     return duration.isNull() | (duration > max_seconds)
