@@ -119,22 +119,25 @@ def transcribed(rows: DataFrame, name: str, make: Callable[[], providers.Transcr
 # speech intervals as a table function
 
 
-def speech_function(detector: providers.SpeechDetector = providers.energy_gate):
-    """A table function of (samples, rate): start and end of each stretch of speech, in seconds."""
+def speech_function(detector: providers.SpeechDetector = providers.energy_gate, keep: bool = False):
+    """A table function of (samples, rate): start and end of each stretch of speech, in seconds.
+
+    With ``keep`` a signal without speech gives one row of nulls.
+    """
 
     class Intervals:
         def eval(self, samples: list, rate: int):
-            if samples is not None and rate:
-                for start, end in detector(np.asarray(samples, dtype=np.float32), rate):
-                    yield float(start), float(end)
+            found = detector(np.asarray(samples, dtype=np.float32), rate) if samples is not None and rate else []
+            for start, end in found or ([(None, None)] if keep else []):
+                yield start, end
 
     return F.udtf(Intervals, returnType="start double, end double")
 
 
-def speech_intervals(rows: DataFrame, samples: str, rate: Column, detector: providers.SpeechDetector = providers.energy_gate, how: str = "inner") -> DataFrame:
-    """``rows`` side by side with their speech: one row an interval; ``how`` left keeps what has none."""
+def speech_intervals(rows: DataFrame, samples: str, rate: Column, detector: providers.SpeechDetector = providers.energy_gate, keep: bool = False) -> DataFrame:
+    """``rows`` side by side with their speech: one row an interval; ``keep`` keeps what has none, with nulls."""
     held = rows.withColumn("_rate", rate)
-    return held.lateralJoin(speech_function(detector)(F.col(samples).outer(), F.col("_rate").outer()), how=how).drop("_rate")
+    return held.lateralJoin(speech_function(detector, keep)(F.col(samples).outer(), F.col("_rate").outer())).drop("_rate")
 
 
 # diarisation
