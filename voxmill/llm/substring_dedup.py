@@ -16,10 +16,12 @@ those that can repeat are ever shuffled:
 6. The words at both coordinates are compared by a digest; a span that does not agree stays.
 
 Cases. Null and empty texts have no words. Texts of fewer than 20 words lose none. Rows that
-repeat id and text are one document and lose the same words; rows that share an id and differ
-are compared as that document each, and lose only what the digest confirms. Rows without an id
-have no place in the order: they lose nothing and are no source. Ids are whole numbers. An empty
-table gives an empty result. Other columns are not used.
+repeat id and text are one document and lose the same words. Rows that share an id and differ
+each have their windows at that id's places: a window goes if its words start at a smaller id, or
+at a smaller place of any text of its own id. A source is then known by its text too (``tid``, 64
+bits of the words' digest; 0 where an id has one text). Rows without an id have no place in the
+order: they lose nothing and are no source. Ids are whole numbers. An empty table gives an empty
+result. Other columns are not used.
 """
 
 from __future__ import annotations
@@ -28,6 +30,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,11 +54,20 @@ def words_in(text: str | None) -> list[bytes]:
     return (text or "").encode().split()
 
 
+def text_id(digest: bytes) -> int:
+    """A text's number from the SHA-256 of its words; never 0, which stands for an id's only text."""
+    return int.from_bytes(digest[:8], "little", signed=True) or 1
+
+
+def digest_of(words: list[bytes]) -> bytes:
+    return hashlib.sha256(b" ".join(words)).digest()
+
+
 def measured(docs: DataFrame) -> DataFrame:
-    """doc_id, n, words (their digest) and anchors (minimizers) of texts with a window; written."""
+    """doc_id, n, words (their digest), tid and anchors (minimizers) of texts with a window; written."""
 
     def run(batches):
-        schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int32()), ("words", pa.binary()), ("anchors", pa.list_(pa.int64()))])
+        schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int32()), ("words", pa.binary()), ("tid", pa.int64()), ("anchors", pa.list_(pa.int64()))])
         for batch in batches:
             ids, counts, digests, found = [], [], [], []
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
@@ -64,18 +76,27 @@ def measured(docs: DataFrame) -> DataFrame:
                     kmers, at = minimizers(word_hashes(words))
                     ids.append(doc_id)
                     counts.append(len(words))
-                    digests.append(hashlib.sha256(b" ".join(words)).digest())
+                    digests.append(digest_of(words))
                     found.append(kmers[np.unique(at)].view(np.int64))
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(counts, pa.int32()), pa.array(digests, pa.binary()), pa.array(found, pa.list_(pa.int64()))], schema=schema)
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(counts, pa.int32()), pa.array(digests, pa.binary()), pa.array([text_id(d) for d in digests], pa.int64()), pa.array(found, pa.list_(pa.int64()))], schema=schema)
 
-    return scratch.save(docs.mapInArrow(run, "doc_id long, n int, words binary, anchors array<long>"), "measured")
+    return scratch.save(docs.mapInArrow(run, "doc_id long, n int, words binary, tid long, anchors array<long>"), "measured")
+
+
+def with_several(docs: DataFrame, own: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """``docs`` with ``several``, whether the id has different texts, and the table of such ids if there are any."""
+    ids = own.groupBy("doc_id").agg((F.min("tid") != F.max("tid")).alias("several")).filter("several")
+    ids = scratch.save(ids, "shared_ids")
+    if not ids.limit(1).count():
+        return docs.withColumn("several", F.lit(False)), None
+    return joins.keyed_filter(docs, ids, ["doc_id"], "left").withColumn("several", F.coalesce("several", F.lit(False))), ids
 
 
 def same_sequences(own: DataFrame) -> DataFrame:
-    """doc_id, words, src, n of documents whose whole word sequence an earlier document has; written."""
+    """doc_id, words, src, n, tid of documents whose whole word sequence an earlier document has; written."""
     first = own.groupBy("words").agg(F.min("doc_id").alias("src"), F.count("*").alias("rows")).filter("rows > 1")
-    met = joins.weighted_join(own.select("doc_id", "n", "words"), scratch.save(first, "first_sequences"), ["words"], "rows", "inner")
-    return scratch.save(met.filter("doc_id <> src").select("doc_id", "words", "src", "n").distinct(), "same_sequences")
+    met = joins.weighted_join(own.select("doc_id", "n", "words", "tid"), scratch.save(first, "first_sequences"), ["words"], "rows", "inner")
+    return scratch.save(met.filter("doc_id <> src").select("doc_id", "words", "src", "n", "tid").distinct(), "same_sequences")
 
 
 def repeated_minimizers(own: DataFrame) -> DataFrame:
@@ -87,30 +108,32 @@ def repeated_minimizers(own: DataFrame) -> DataFrame:
 
 
 def edges_of(docs: DataFrame, anchors: DataFrame) -> DataFrame:
-    """h, g (96 hash bits), doc_id, pos, before, after of windows whose minimizer is repeated; written.
+    """h, g (96 hash bits), doc_id, tid, pos, before, after of windows whose minimizer is repeated; written.
 
     ``before`` and ``after`` are the ``h`` of the windows next to it, 0 at an end of the text.
     """
 
     def run(batches):
-        schema = pa.schema([("h", pa.int64()), ("g", pa.int32()), ("doc_id", pa.int64()), ("pos", pa.int32()), ("before", pa.int64()), ("after", pa.int64())])
+        schema = pa.schema([("h", pa.int64()), ("g", pa.int32()), ("doc_id", pa.int64()), ("tid", pa.int64()), ("pos", pa.int32()), ("before", pa.int64()), ("after", pa.int64())])
         for batch in batches:
-            rows = zip(batch.column("doc_id").to_pylist(), batch.column("text"), batch.column("anchors"), strict=True)
+            rows = zip(batch.column("doc_id").to_pylist(), batch.column("text"), batch.column("anchors"), batch.column("several").to_pylist(), strict=True)
             parts = []
-            for doc_id, text, known in rows:
-                hashes = word_hashes(words_in(text.as_py()))
+            for doc_id, text, known, several in rows:
+                words = words_in(text.as_py())
+                hashes = word_hashes(words)
                 if len(hashes) < WINDOW:
                     continue
                 kmers, at = minimizers(hashes)
                 pos = np.flatnonzero(np.isin(kmers[at], known.values.to_numpy().view(np.uint64)))
                 h = np.concatenate([[0], window_hashes(hashes, WINDOW).view(np.int64), [0]])
                 g = (window_hashes(mixed(~hashes), WINDOW)[pos] >> np.uint64(32)).astype(np.uint32).view(np.int32)
-                parts.append((h[pos + 1], g, np.full(len(pos), doc_id), pos.astype(np.int32), h[pos], h[pos + 2]))
+                tid = text_id(digest_of(words)) if several else 0
+                parts.append((h[pos + 1], g, np.full(len(pos), doc_id), np.full(len(pos), tid), pos.astype(np.int32), h[pos], h[pos + 2]))
             if parts:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*parts, strict=True)], schema=schema)
 
-    met = docs.join(anchors.hint("shuffle_merge"), "doc_id").select("doc_id", "text", "anchors")
-    return scratch.save(met.mapInArrow(run, "h long, g int, doc_id long, pos int, before long, after long"), "edges")
+    met = docs.join(anchors.hint("shuffle_merge"), "doc_id").select("doc_id", "text", "anchors", "several")
+    return scratch.save(met.mapInArrow(run, "h long, g int, doc_id long, tid long, pos int, before long, after long"), "edges")
 
 
 def only(column: str) -> Column:
@@ -126,36 +149,36 @@ def place_bits(own: DataFrame) -> int:
 
 
 def first_edges(edges: DataFrame, bits: int) -> DataFrame:
-    """h, g, rows, src, src_start, n: the first edge of each nonbranching path of ``n`` edges; written.
+    """h, g, rows, src, tid, src_start, n: the first edge of each nonbranching path of ``n`` edges; written.
 
     Id and place in one number of ``bits`` for the place are compared without a sort; with 0 bits
-    both are compared one after the other, which gives the same.
+    id, place and text are compared one after the other, which gives the same where each id has one text.
 
     A path's places are those of any of its edges, in the same order, so the source of an edge
     stands next to that of its neighbour and one join by source coordinates links them all.
     """
     if bits:
         first = F.min(F.shiftleft("doc_id", bits).bitwiseOR(F.col("pos").cast("long"))).alias("first")
-        src, at = F.shiftright("first", bits), F.col("first").bitwiseAND(F.lit((1 << bits) - 1)).cast("int")
+        src, at, tid = F.shiftright("first", bits), F.col("first").bitwiseAND(F.lit((1 << bits) - 1)).cast("int"), F.lit(0).cast("long")
     else:
-        first = F.min(F.struct("doc_id", "pos")).alias("first")
-        src, at = F.col("first.doc_id"), F.col("first.pos")
+        first = F.min(F.struct("doc_id", "pos", "tid")).alias("first")
+        src, at, tid = F.col("first.doc_id"), F.col("first.pos"), F.col("first.tid")
     repeated = edges.groupBy("h", "g").agg(first, F.count("*").alias("rows"), only("before").alias("before"), only("after").alias("after")).filter("rows > 1")
-    repeated = scratch.save(repeated.select("h", "g", "rows", src.alias("src"), at.alias("src_start"), "before", "after"), "repeated_edges")
-    previous = repeated.select("src", (F.col("src_start") + 1).alias("src_start"), F.col("after").alias("h"), F.col("h").alias("before"), F.lit(False).alias("starts"))
-    linked = repeated.join(previous, ["src", "src_start", "h", "before"], "left").withColumn("starts", F.coalesce("starts", F.lit(True)))
+    repeated = scratch.save(repeated.select("h", "g", "rows", src.alias("src"), tid.alias("tid"), at.alias("src_start"), "before", "after"), "repeated_edges")
+    previous = repeated.select("src", "tid", (F.col("src_start") + 1).alias("src_start"), F.col("after").alias("h"), F.col("h").alias("before"), F.lit(False).alias("starts"))
+    linked = repeated.join(previous, ["src", "tid", "src_start", "h", "before"], "left").withColumn("starts", F.coalesce("starts", F.lit(True)))
     # the edges of one text up to each: at most as many as it has words
-    so_far = Window.partitionBy("src").orderBy("src_start", "h", "g").rowsBetween(Window.unboundedPreceding, 0)
+    so_far = Window.partitionBy("src", "tid").orderBy("src_start", "h", "g").rowsBetween(Window.unboundedPreceding, 0)
     path = linked.withColumn("path", F.sum(F.col("starts").cast("int")).over(so_far))
     head = F.min(F.when(F.col("starts"), F.struct("src_start", "h", "g", "rows"))).alias("head")
-    return scratch.save(path.groupBy("src", "path").agg(head, F.count("*").cast("int").alias("n")).select("head.*", "src", "n"), "first_edges")
+    return scratch.save(path.groupBy("src", "tid", "path").agg(head, F.count("*").cast("int").alias("n")).select("head.*", "src", "tid", "n"), "first_edges")
 
 
 def repeated_paths(edges: DataFrame, bits: int) -> DataFrame:
-    """doc_id, start, n, src, src_start: runs of ``n`` words whose windows occurred before."""
+    """doc_id, start, n, src, tid, src_start: runs of ``n`` words whose windows occurred before."""
     met = joins.weighted_join(edges.select("h", "g", "doc_id", "pos"), first_edges(edges, bits), ["h", "g"], "rows", "inner")
     met = met.filter("doc_id <> src or pos <> src_start")
-    return met.select("doc_id", F.col("pos").alias("start"), (F.col("n") + (WINDOW - 1)).alias("n"), "src", "src_start")
+    return met.select("doc_id", F.col("pos").alias("start"), (F.col("n") + (WINDOW - 1)).alias("n"), "src", "tid", "src_start")
 
 
 def digest(words: list[bytes], start: int, n: int) -> bytes | None:
@@ -165,20 +188,22 @@ def digest(words: list[bytes], start: int, n: int) -> bytes | None:
 
 def with_digests(docs: DataFrame, paths: DataFrame) -> DataFrame:
     """``paths`` with the digest of the words at the source."""
-    place = ["src", "src_start", "n"]
+    place = ["src", "tid", "src_start", "n"]
     asked = scratch.save(paths.groupBy(*place).agg(F.count("*").alias("rows")), "sources")
-    by_doc = asked.groupBy(F.col("src").alias("doc_id")).agg(F.collect_list(F.struct("src_start", "n", "rows")).alias("asked"))
+    by_doc = asked.groupBy(F.col("src").alias("doc_id")).agg(F.collect_list(F.struct("tid", "src_start", "n", "rows")).alias("asked"))
 
     def run(batches):
-        schema = pa.schema([("src", pa.int64()), ("src_start", pa.int32()), ("n", pa.int32()), ("rows", pa.int64()), ("digest", pa.binary())])
+        schema = pa.schema([("src", pa.int64()), ("tid", pa.int64()), ("src_start", pa.int32()), ("n", pa.int32()), ("rows", pa.int64()), ("digest", pa.binary())])
         for batch in batches:
-            for doc_id, text, wanted in zip(batch.column("doc_id").to_pylist(), batch.column("text"), batch.column("asked"), strict=True):
+            for doc_id, text, several, wanted in zip(batch.column("doc_id").to_pylist(), batch.column("text"), batch.column("several").to_pylist(), batch.column("asked"), strict=True):
                 words, places = words_in(text.as_py()), wanted.values
+                if several:  # the places of this one of the id's texts
+                    places = places.filter(pc.equal(places.field("tid"), text_id(digest_of(words))))
                 start, n = places.field("src_start").to_numpy(), places.field("n").to_numpy()
                 told = pa.array([digest(words, a, k) for a, k in zip(start.tolist(), n.tolist(), strict=True)], pa.binary())
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(n), doc_id)), pa.array(start), pa.array(n), places.field("rows"), told], schema=schema)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(n), doc_id)), places.field("tid"), pa.array(start), pa.array(n), places.field("rows"), told], schema=schema)
 
-    met = docs.join(by_doc.hint("shuffle_merge"), "doc_id").select("doc_id", "text", "asked").mapInArrow(run, "src long, src_start int, n int, rows long, digest binary")
+    met = docs.join(by_doc.hint("shuffle_merge"), "doc_id").select("doc_id", "text", "several", "asked").mapInArrow(run, "src long, tid long, src_start int, n int, rows long, digest binary")
     told = scratch.save(met.filter("digest is not null").dropDuplicates(place), "source_digests")
     return joins.weighted_join(paths, told, place, "rows", "inner").drop("rows")
 
@@ -188,10 +213,16 @@ def spans_of(docs: DataFrame) -> DataFrame:
     known = docs.filter("doc_id is not null")
     own = measured(known)
     same = same_sequences(own)
+    known, shared = with_several(known, own)
     single = joins.keyed_filter(own, same.select("doc_id", "words"), ["doc_id", "words"], "left_anti")
     edges = edges_of(known, repeated_minimizers(single))
-    whole = same.select("doc_id", F.lit(0).alias("start"), "n", "src", F.lit(0).alias("src_start"))
-    paths = scratch.save(repeated_paths(edges, place_bits(own)).unionByName(whole), "spans")
+    whole = same.select("doc_id", F.lit(0).alias("start"), "n", "src", "tid", F.lit(0).alias("src_start"))
+    if shared is None:
+        whole = whole.withColumn("tid", F.lit(0).cast("long"))
+    else:
+        met = joins.keyed_filter(whole, shared.withColumnRenamed("doc_id", "src"), ["src"], "left")
+        whole = met.withColumn("tid", F.when(F.col("several"), F.col("tid")).otherwise(0)).drop("several")
+    paths = scratch.save(repeated_paths(edges, place_bits(own) if shared is None else 0).unionByName(whole), "spans")
     scratch.drop(edges)
     scratch.drop(own)
     return scratch.save(with_digests(known, paths).select("doc_id", "start", "n", "digest"), "verified")
