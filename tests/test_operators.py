@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from voxmill import config
+from voxmill import config, workspace
 from voxmill.operators import cleanup, incremental, overlap, packaging, repair, segments, shards, speakers, tiering
 from voxmill.sources import jsonl, media
 from voxmill.streaming import stages
@@ -168,10 +168,59 @@ def test_rewritten_manifest(spark, tmp_path):
     path = tmp_path / "m.jsonl"
     path.write_text('{"id": "a", "audio_path": "/old/a.wav"}\n{bad\n\n{"id": "c", "audio_path": "rel.wav", "more": 1}\n')
     where = f"file://{path}"
-    assert repair.rewrite(spark, f"file://{tmp_path}/none", MANIFEST) == (0, 0, 0)
-    assert repair.rewrite(spark, where, MANIFEST, ("/old", "/new")) == (2, 1, 1)
-    assert {r.value for r in spark.read.text(where).collect()} == {'{"id":"a","audio_path":"/new/a.wav"}', '{"id": "c", "audio_path": "rel.wav", "more": 1}'}
-    assert repair.rewrite(spark, where, MANIFEST, ("/old", "/new")) == (2, 0, 0)
+    assert repair.rewrite(spark, f"file://{tmp_path}/none") == (0, 0, 0)
+    assert repair.rewrite(spark, where, ("/old", "/new")) == (2, 1, 1)
+    assert {r.value for r in spark.read.text(where).collect()} == {'{"id": "a", "audio_path": "/new/a.wav"}', '{"id": "c", "audio_path": "rel.wav", "more": 1}'}
+    assert repair.rewrite(spark, where, ("/old", "/new")) == (2, 0, 0)
+
+
+def test_segments_of_times_too_large_to_cut(spark):
+    """Nanoseconds since 1970: adding half a minute's number changes nothing, which is refused and does not hang."""
+    rows = spark.createDataFrame([(1, 1.7e18, 1.7e18 + 1e6)], "file_id int, start double, end double")
+    with pytest.raises(Exception, match="too coarse"):
+        segments.segments_of(rows, 1.0, 30.0).collect()
+    assert segments.segments_of(rows.select("file_id", (F.col("start") - 1.7e18).alias("start"), (F.col("end") - 1.7e18).alias("end")), 1.0, 30_000.0, 0.0).count() == 34
+
+
+def test_repair_keeps_every_record(spark, tmp_path):
+    """Only what is no JSON goes: a number written as text and fields of no schema stay, as they stood."""
+    path, where = tmp_path / "m.jsonl", f"file://{tmp_path}/m.jsonl"
+    lines = ['{"id": "a", "path": "/old/x\\u00e9", "extra": {"path": "/old/in", "n": [1, 2.50]}}', '{"id":"b","path":"/older/y","dur":"12s"}', "{broken", '{"id":  "c", "path": null}', '{"id": "d", "path": 7}']
+    path.write_text("\n".join(lines) + "\n")
+    assert repair.rewrite(spark, where, ("/old/", "/new"), dry_run=True) == (4, 1, 1) and path.read_text() == "\n".join(lines) + "\n"
+    assert repair.rewrite(spark, where, ("/old/", "/new")) == (4, 1, 1)
+    moved = '{"id": "a", "path": "/new/xé", "extra": {"path": "/old/in", "n": [1, 2.5]}}'
+    assert [r.value for r in spark.read.text(where).collect()] == [moved, lines[1], lines[3], lines[4]]
+    found = {r.id: r.dur for r in repair.records(repair.lines_of(spark, where), T.StructType([T.StructField("id", T.StringType()), T.StructField("dur", T.DoubleType())])).collect()}
+    assert found == {"a": None, "b": None, "c": None, "d": None}
+
+
+def test_replacement_that_breaks_off(spark, tmp_path, monkeypatch):
+    """Whatever step fails, the old table or the new one is there whole, and the next start ends the work."""
+    old, new = f"file://{tmp_path}/table", f"file://{tmp_path}/fresh"
+    spark.range(3).write.parquet(old)
+    spark.range(5).write.parquet(new)
+    whole, steps = workspace._renamed, []
+
+    def failing(store, source, target):
+        steps.append(str(source))
+        if str(source).endswith("fresh"):
+            raise OSError("the rename failed")
+        whole(store, source, target)
+
+    monkeypatch.setattr(workspace, "_renamed", failing)
+    with pytest.raises(OSError, match="rename failed"):
+        workspace.replace(spark, new, old)
+    assert spark.read.parquet(old).count() == 3 and spark.read.parquet(new).count() == 5 and not (tmp_path / "table.replaced").exists()
+    monkeypatch.setattr(workspace, "recover", lambda *a: None)  # as if the process had died there
+    with pytest.raises(OSError):
+        workspace.replace(spark, new, old)
+    assert not (tmp_path / "table").exists() and (tmp_path / "table.replaced").exists()
+    monkeypatch.undo()
+    workspace.recover(spark, old)
+    assert spark.read.parquet(old).count() == 3
+    workspace.replace(spark, new, old)
+    assert spark.read.parquet(old).count() == 5 and sorted(p.name for p in tmp_path.iterdir()) == ["table"]
 
 
 def test_ledgers_of_a_folder_and_its_subfolders(spark, tmp_path):
@@ -224,10 +273,10 @@ def test_corrupt_manifests(spark, tmp_path):
     path.write_text('{"id": "a", "audio_path": "/old/a.wav"}\n{bad\n\n{"id": "c", "audio_path": "rel.wav"}\n{"id": "d"')
     assert [r.id for r in jsonl.read(spark, f"file://{path}", MANIFEST).orderBy("id").collect()] == ["a", "c"]
     assert jsonl.read(spark, f"file://{tmp_path}/none.jsonl", MANIFEST).count() == 0
-    lines = repair.parsed(spark, f"file://{path}", MANIFEST)
+    lines = repair.lines_of(spark, f"file://{path}")
     assert repair.counts(lines) == (2, 2, 0)
     assert repair.counts(lines, ("/old", "/new")) == (2, 2, 1)
-    assert {r.audio_path for r in repair.repaired(lines, ("/old", "/new")).collect()} == {"/new/a.wav", "rel.wav"}
+    assert {r.audio_path for r in repair.records(repair.repaired(lines, ("/old", "/new")).withColumn("good", F.lit(True)), MANIFEST).collect()} == {"/new/a.wav", "rel.wav"}
 
 
 def test_media_scan(spark, tmp_path):

@@ -56,6 +56,7 @@ class Dataset:
 
     def check_config(self) -> None:
         """Refuse to append to a dataset that other rules made; remember ours if there is none."""
+        workspace.recover(self.spark, self.path)
         if workspace.exists(self.spark, self.part("config")):
             if self.spark.read.text(self.part("config")).first()[0] != self.hash:
                 raise ConfigChanged("tiers, keep or split differ from those of the dataset")
@@ -93,11 +94,19 @@ class Dataset:
         return {"new": n, "kept": n_kept, "skipped_missing": waiting}
 
     def sharded(self, kept: DataFrame) -> DataFrame:
-        """``kept`` with its shard: rows in the order of ids, cut when they have SHARD_BYTES."""
+        """``kept`` with its shard: rows in the order of ids, cut when they have SHARD_BYTES.
+
+        Shards are cut on ids and sizes alone. What goes back to the rows are the shards' first ids, one
+        array for each split of a batch and one id for every SHARD_BYTES, so media are not moved here
+        and cross one shuffle in all, that of the write.
+        """
         size = F.octet_length(self.media) if self.media in kept.columns else F.octet_length(F.coalesce("text", F.lit("")))
         narrow = kept.select("split", "batch", "id", size.alias("bytes"))
         cut = shards.assign(narrow, ["split", "batch"], "id", "bytes", self.shard_bytes)
-        return kept.join(cut.select("id", "shard"), "id")
+        firsts = cut.groupBy("split", "batch", "shard").agg(F.min("id").alias("first")).groupBy("split", "batch").agg(F.array_sort(F.collect_list("first")).alias("_firsts"))
+        firsts = workspace.saved(firsts, "shard_firsts")
+        shard = (F.size(F.filter("_firsts", lambda first: first <= F.col("id"))) - 1).cast(dict(cut.dtypes)["shard"])
+        return kept.join(F.broadcast(firsts), ["split", "batch"]).withColumn("shard", shard).drop("_firsts")
 
     def rebuild(self, rows: DataFrame, missing: DataFrame | None = None) -> dict[str, int]:
         """Package everything anew by the rules that hold now, whatever was there before.

@@ -1,60 +1,83 @@
-"""Manifests in JSON lines: what is corrupt goes, and moved paths are rewritten."""
+"""Manifests in JSON lines: what is no JSON goes, and moved paths are rewritten in their lines."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import json
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import workspace
-from ..functions import text as tx
 
+#: The fields that hold paths of a manifest and of a ledger.
+FIELDS = ("audio_path", "path")
+
+
+def lines_of(spark: SparkSession, path: str) -> DataFrame:
+    """``value``: every non-blank line; ``good``: whether it is JSON, whatever its fields and their types."""
+    rows = spark.read.text(path).filter(F.trim("value") != "")
+    return rows.withColumn("good", F.try_parse_json("value").isNotNull())
+
+
+def records(lines: DataFrame, schema: T.StructType) -> DataFrame:
+    """The good lines' records; a field that does not fit the schema is null, and the rest stays."""
+    return lines.filter("good").select(F.from_json("value", schema).alias("r")).select("r.*")
+
+
+def _moves(relocate: tuple[str, str] | None, fields: tuple[str, ...]) -> Column:
+    """Whether a good line has a path below the old root."""
+    found = F.lit(False)
+    for name in fields if relocate else ():
+        place = F.get_json_object("value", f"$['{name}']")
+        found = found | F.coalesce(F.startswith(place, F.lit(relocate[0].rstrip("/") + "/")), F.lit(False))
+    return F.col("good") & found
+
+
+def _rewritten(relocate: tuple[str, str], fields: tuple[str, ...]):
+    """A column function over (line, whether it moves): the line with its paths below the new root, all else as it was."""
+    old, new = (root.rstrip("/") + "/" for root in relocate)
+
+    def one(line: str, moves: bool) -> str:
+        record = json.loads(line) if moves else None
+        if not isinstance(record, dict):
+            return line
+        for name in fields:
+            if isinstance(record.get(name), str) and record[name].startswith(old):
+                record[name] = new + record[name][len(old) :]
+        return json.dumps(record, ensure_ascii=False)
+
+    @F.pandas_udf(T.StringType())
+    def run(lines: pd.Series, moves: pd.Series) -> pd.Series:
+        return pd.Series([one(*x) for x in zip(lines, moves, strict=True)], dtype=object)
 
-def parsed(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Every non-blank line with its record, null where the line is corrupt."""
-    full = T.StructType([*schema.fields, T.StructField("_corrupt", T.StringType())])
-    record = F.from_json("value", full, {"columnNameOfCorruptRecord": "_corrupt", "mode": "PERMISSIVE"})
-    lines = spark.read.text(path).filter(F.trim("value") != "").withColumn("r", record)
-    return lines.select("value", F.when(F.col("r._corrupt").isNull(), F.struct(*[F.col(f"r.{f.name}").alias(f.name) for f in schema.fields])).alias("record"))
+    return run
 
 
-def repaired(lines: DataFrame, relocate: tuple[str, str] | None = None, fields: tuple[str, ...] = ("audio_path", "source_path", "path")) -> DataFrame:
-    """The good records, with ``moved`` where a path of theirs was rewritten."""
-    good = lines.filter("record is not null").select("record.*")
-    moved = F.lit(False)
-    if relocate:
-        for name in (f for f in fields if f in good.columns):
-            new = tx.relocated(F.col(name), *relocate)
-            moved = moved | F.coalesce(new != F.col(name), F.lit(False))
-        good = good.withColumn("moved", moved)
-        return good.withColumns({n: tx.relocated(F.col(n), *relocate) for n in fields if n in good.columns})
-    return good.withColumn("moved", moved)
+def repaired(lines: DataFrame, relocate: tuple[str, str] | None = None, fields: tuple[str, ...] = FIELDS) -> DataFrame:
+    """The good lines, with ``moved`` where a path was rewritten; the others are as they stood."""
+    good = lines.filter("good").withColumn("moved", _moves(relocate, fields))
+    return good.select((_rewritten(relocate, fields)("value", "moved") if relocate else F.col("value")).alias("value"), "moved")
 
 
-def counts(lines: DataFrame, relocate: tuple[str, str] | None = None) -> tuple[int, int, int]:
-    """Kept, bad and moved."""
-    kept, bad = lines.agg(F.count("record"), F.count_if(F.col("record").isNull())).first()
-    return kept, bad, repaired(lines, relocate).filter("moved").count()
+def counts(lines: DataFrame, relocate: tuple[str, str] | None = None, fields: tuple[str, ...] = FIELDS) -> tuple[int, int, int]:
+    """Kept, bad and moved, in one pass."""
+    return tuple(lines.agg(F.count_if("good"), F.count_if(~F.col("good")), F.count_if(_moves(relocate, fields))).first())
 
 
-def rewrite(spark: SparkSession, path: str, schema: T.StructType, relocate: tuple[str, str] | None = None) -> tuple[int, int, int]:
+def rewrite(spark: SparkSession, path: str, relocate: tuple[str, str] | None = None, fields: tuple[str, ...] = FIELDS, dry_run: bool = False) -> tuple[int, int, int]:
     """Put a manifest without corrupt lines, and with moved paths, in the place of the old one.
 
-    Kept, bad and moved, as ``counts``. Lines that don't change are kept as they are; those that do
-    have the fields of ``schema``. No file is nothing to do, and nor is a manifest without faults.
+    Kept, bad and moved, as ``counts``. Only what is no JSON is dropped, and lines keep all their
+    fields. No file is nothing to do, nor is a manifest without faults, nor a dry run.
     """
+    workspace.recover(spark, path)
     if not workspace.exists(spark, path):
         return 0, 0, 0
-    lines = parsed(spark, path, schema)
-    kept, bad, moved = counts(lines, relocate)
-    if bad or moved:
-        good = lines.filter("record is not null").select("value", "record.*")
-        paths = [n for n in ("audio_path", "source_path", "path") if n in good.columns] if relocate else []
-        new = {n: tx.relocated(F.col(n), *relocate) for n in paths}
-        differs = F.lit(False)
-        for n in paths:
-            differs = differs | F.coalesce(new[n] != F.col(n), F.lit(False))
-        record = F.to_json(F.struct(*[(new[n] if n in new else F.col(n)).alias(n) for n in schema.names]))
-        good.select(F.when(differs, record).otherwise(F.col("value")).alias("value")).write.text(f"{path}.repair")
+    lines = lines_of(spark, path)
+    kept, bad, moved = counts(lines, relocate, fields)
+    if (bad or moved) and not dry_run:
+        repaired(lines, relocate, fields).select("value").write.mode("overwrite").text(f"{path}.repair")
         workspace.replace(spark, f"{path}.repair", path)
     return kept, bad, moved

@@ -23,7 +23,7 @@ def segments_of(intervals: DataFrame, min_s: float, max_s: float, pad_s: float =
     A file's intervals (file_id, start, end), in order, are extended while they fit, cut hard
     where one alone is too long, padded, and left out if shorter than ``min_s``. Cuts add
     ``max_s`` again and again, so times agree to the last bit with a running cutter. Intervals
-    without finite bounds are left out.
+    without finite bounds are left out; times so large that adding ``max_s`` changes nothing are refused.
 
     A task runs through its sorted rows once and holds the open segment, so a file may have any
     number of intervals; sort and count spill.
@@ -60,6 +60,8 @@ def segments_of(intervals: DataFrame, min_s: float, max_s: float, pad_s: float =
                         index = 0
                     opened, file, start, end = True, name, a, b
                 while end - start > max_s:
+                    if start + max_s == start:
+                        raise ValueError(f"times near {start:g} are too coarse for segments of {max_s:g}; give them from a later origin or in a larger unit")
                     close(start + max_s)
                     start += max_s
                     if len(out) >= BATCH:

@@ -47,13 +47,6 @@ def average_linkage(x: np.ndarray, threshold: float, sizes: np.ndarray | None =
     return np.array([rank[o] for o in owner.tolist()])
 
 
-def _saved(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written to the shared folder, so that rounds neither repeat nor grow."""
-    path = workspace.new_folder(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def _nearest(state: DataFrame, groups: DataFrame, threshold: float) -> DataFrame:
     """key, lo, hi: each cluster's nearest one below the threshold; of equals the first."""
 
@@ -105,33 +98,33 @@ def _large_clusters(rows: DataFrame, threshold: float) -> DataFrame:
         firsts = keys[np.unique(labels, return_index=True)[1]]
         return pd.DataFrame({"hi": keys, "lo": firsts[labels]}).query("hi != lo")
 
-    rows = _saved(rows.withColumn("key", F.monotonically_increasing_id()), "segments")
+    rows = workspace.saved(rows.withColumn("key", F.monotonically_increasing_id()), "segments")
     members = rows.select("file_id", "id", "g", "key", F.col("key").alias("cluster"))
-    state = _saved(rows.select("g", "key", F.lit(1).cast("long").alias("n"), unit("embedding").alias("total")), "clusters")
+    state = workspace.saved(rows.select("g", "key", F.lit(1).cast("long").alias("n"), unit("embedding").alias("total")), "clusters")
 
     def moved(pairs: DataFrame) -> DataFrame:
         met = members.join(pairs.select(F.col("hi").alias("cluster"), "lo"), "cluster", "left")
-        return _saved(met.select("file_id", "id", "g", "key", F.coalesce("lo", "cluster").alias("cluster")), "members")
+        return workspace.saved(met.select("file_id", "id", "g", "key", F.coalesce("lo", "cluster").alias("cluster")), "members")
 
     while True:
         groups = state.groupBy("g").agg(F.count("*").alias("rows")).filter(F.col("rows") > TASK_ROWS)
-        groups = _saved(groups.select("g", F.ceil(F.col("rows") / TASK_ROWS).cast("long").alias("tiles")), "groups")
+        groups = workspace.saved(groups.select("g", F.ceil(F.col("rows") / TASK_ROWS).cast("long").alias("tiles")), "groups")
         if groups.isEmpty():
             break
-        near = _saved(_nearest(state, groups, threshold), "nearest")
-        pairs = _saved(near.groupBy("lo", "hi").agg(F.count("*").alias("ends")).filter("ends = 2").select("lo", "hi"), "pairs")
+        near = workspace.saved(_nearest(state, groups, threshold), "nearest")
+        pairs = workspace.saved(near.groupBy("lo", "hi").agg(F.count("*").alias("ends")).filter("ends = 2").select("lo", "hi"), "pairs")
         members = moved(pairs)
         going = state.join(near.select("key"), "key").join(pairs.withColumnRenamed("hi", "key"), "key", "left")
         both = going.groupBy("g", F.coalesce("lo", "key").alias("key")).agg(F.sum("n").alias("n"), F.collect_list("total").alias("t"))
         total = F.when(F.size("t") == 2, F.zip_with(F.col("t")[0], F.get("t", F.lit(1)), lambda a, b: a + b)).otherwise(F.col("t")[0])
         waiting = state.join(F.broadcast(groups), "g", "left_anti").select("g", "key", "n", "total")
-        state = _saved(both.select("g", "key", "n", total.alias("total")).unionByName(waiting), "clusters")
+        state = workspace.saved(both.select("g", "key", "n", total.alias("total")).unionByName(waiting), "clusters")
     members = moved(state.groupBy("g").applyInPandas(rest, "hi long, lo long"))
 
     # ranks of a file's clusters by their first rows: in ranges, then the ranges' sums
     firsts = members.groupBy("g", "cluster").agg(F.min(F.struct("id", "key")).alias("first"))
     firsts = firsts.repartitionByRange("g", "first").withColumn("range", F.spark_partition_id())
-    firsts = _saved(firsts, "firsts")
+    firsts = workspace.saved(firsts, "firsts")
     before = Window.partitionBy("g").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     ranges = firsts.groupBy("g", "range").agg(F.count("*").alias("c")).select("g", "range", F.coalesce(F.sum("c").over(before), F.lit(0)).alias("base"))
     ranked = firsts.withColumn("k", F.row_number().over(Window.partitionBy("g", "range").orderBy("first"))).join(ranges, ["g", "range"])
@@ -155,7 +148,7 @@ def clusters(segments: DataFrame, threshold: float = 0.35) -> DataFrame:
     kinds = {f.name: f.dataType.simpleString() for f in segments.schema.fields}
     schema = f"file_id {kinds['file_id']}, id {kinds['id']}, speaker_id string"
     large = segments.groupBy(F.col("file_id").alias("f")).agg(F.count("*").alias("rows")).filter(F.col("rows") > TASK_ROWS)
-    large = _saved(large.select("f", F.monotonically_increasing_id().alias("g")), "large_files")
+    large = workspace.saved(large.select("f", F.monotonically_increasing_id().alias("g")), "large_files")
     if large.isEmpty():
         return segments.groupBy("file_id").applyInPandas(run, schema)
     is_large = F.col("file_id").eqNullSafe(F.col("f"))

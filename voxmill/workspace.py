@@ -43,10 +43,47 @@ def matches(spark: SparkSession, pattern: str) -> bool:
     return bool(target.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(target))
 
 
-def replace(spark: SparkSession, new: str, old: str) -> None:
-    """Put what is at ``new`` in the place of ``old``, by renaming."""
-    source, target = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (new, old))
-    store = source.getFileSystem(spark._jsc.hadoopConfiguration())
-    store.delete(target, True)
+def _store(spark: SparkSession, *paths: str) -> tuple:
+    """The store of the first path, and the paths as it knows them."""
+    found = [spark._jvm.org.apache.hadoop.fs.Path(p) for p in paths]
+    return found[0].getFileSystem(spark._jsc.hadoopConfiguration()), *found
+
+
+def _renamed(store, source, target) -> None:
     if not store.rename(source, target):
-        raise OSError(f"can't rename {new} to {old}")
+        raise OSError(f"can't rename {source} to {target}")
+
+
+def replace(spark: SparkSession, new: str, old: str) -> None:
+    """Put what is at ``new`` in the place of ``old``.
+
+    The old one is renamed aside, the new one renamed in, and only then the old one deleted. If the
+    second step fails, the old one is put back; if the process dies between them, ``recover`` does.
+    """
+    recover(spark, old)
+    store, source, target, aside = _store(spark, new, old, f"{old}.replaced")
+    if store.exists(target):
+        _renamed(store, target, aside)
+    try:
+        _renamed(store, source, target)
+    except Exception:
+        recover(spark, old)
+        raise
+    store.delete(aside, True)
+
+
+def recover(spark: SparkSession, path: str) -> None:
+    """End what a ``replace`` of ``path`` that broke off has left: the old one comes back if the new one isn't there."""
+    store, target, aside = _store(spark, path, f"{path}.replaced")
+    if store.exists(aside):
+        if store.exists(target):
+            store.delete(aside, True)
+        else:
+            _renamed(store, aside, target)
+
+
+def drop(df: DataFrame) -> None:
+    """Delete a table that ``saved`` wrote and that nothing reads any more."""
+    for file in df.inputFiles()[:1]:
+        store, folder = _store(df.sparkSession, file.rsplit("/", 1)[0])
+        store.delete(folder, True)
