@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import uuid
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyarrow import fs
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .. import workspace
 from ..functions import text as tx
+from ..sources import tail
 
 # Names of transcript columns in the order of preference, and the first bytes of
 # audio formats.
@@ -46,28 +48,78 @@ def safe_name(path: Column, shard: Column, row: Column) -> Column:
     return F.coalesce(F.nullif(name, F.lit("")), F.format_string("shard%05d_row%06d", shard, row))
 
 
-def planned(rows: DataFrame, shard: str = "shard", row: str = "row") -> DataFrame:
-    """file_name, text and content of ``rows`` that have media; only three columns are read."""
+def parquet_files(spark: SparkSession, root: str, first: int | None = None) -> DataFrame:
+    """The parquet files below ``root`` by path, the first few where asked; none of them is opened."""
+    found = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", True).load(root).select("path").orderBy("path")
+    return found if first is None else found.limit(first)
+
+
+def planned(rows: DataFrame, shard: str = "shard", row: str = "row", limit: int | None = None) -> DataFrame:
+    """file_name, text, content and place of ``rows`` that have media; only the columns named are read.
+
+    ``limit`` takes the first rows that have media, by their place. Of rows with the same name the first
+    keeps it, and the others have their place added to it, so none is written over another.
+    """
     audio, text = audio_column(rows.schema), text_column(rows.schema)
     path = F.col(f"{audio}.path") if "path" in rows.schema[audio].dataType.names else F.lit(None).cast("string")
     content = F.col(f"{audio}.bytes")
-    name = F.concat(safe_name(path, F.col(shard), F.col(row)), sniffed_extension(content))
-    return rows.filter(F.octet_length(content) > 0).select(name.alias("file_name"), (F.coalesce(F.col(text), F.lit("")) if text else F.lit("")).alias("text"), content.alias("content"))
-
-
-def write_files(plan: DataFrame, folder: str) -> DataFrame:
-    """Write each row's content to ``folder``; returns the metadata, file_name and text."""
+    base, ext = safe_name(path, F.col(shard), F.col(row)), sniffed_extension(content)
+    held = rows.filter(F.octet_length(content) > 0)
+    place = F.struct(F.col(shard).cast("long").alias("shard"), F.col(row).cast("long").alias("row"))
+    told = (F.coalesce(F.col(text), F.lit("")) if text else F.lit("")).alias("text")
+    if limit is not None:
+        last = held.select(place.alias("p")).orderBy("p").limit(limit).agg(F.max("p").alias("last")).select("last.*").first()  # one place
+        held = held.filter(place <= F.struct(F.lit(last["shard"]).cast("long").alias("shard"), F.lit(last["row"]).cast("long").alias("row")))
+    named = held.select(base.alias("base"), ext.alias("ext"), told, content.alias("content"), place.alias("place"))
+    names = named.select(F.concat("base", "ext").alias("file_name"), "place")
+    shared = workspace.saved(names.groupBy("file_name").agg(F.count("*").alias("n"), F.min("place").alias("first")).filter("n > 1").select("file_name", "first"), "shared_names")
+    met = named.withColumn("file_name", F.concat("base", "ext")).join(shared, "file_name", "left")
+    other = F.concat("base", F.format_string("_shard%05d_row%06d", "place.shard", "place.row"), "ext")
+    name = F.when(F.col("first").isNull() | (F.col("first") == F.col("place")), F.col("file_name")).otherwise(other)
+    return met.select(name.alias("file_name"), "text", "content", "place")
+
+
+def write_files(plan: DataFrame, folder: str, encode: Callable[[bytes], bytes] | None = None) -> DataFrame:
+    """Write each row's content to ``folder``; returns file_name, text and ``error``.
+
+    With ``encode`` contents become WAVs, and a row that it fails on has no file and says why. A file
+    is renamed when it is whole, so a lost task leaves none in part.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        where, root = fs.FileSystem.from_uri(folder)
+        where, root = tail.opened(folder)
         where.create_dir(root, recursive=True)
+
+        def written(name: str, content: bytes) -> tuple[str, str | None]:
+            try:
+                if encode is not None:
+                    name, content = f"{name.rsplit('.', 1)[0]}.wav", encode(content)
+            except Exception as e:  # noqa: BLE001  a row's failure is its own
+                return name, f"{type(e).__name__}: {e}"[:200]
+            part = f"{root}/.{uuid.uuid4().hex}.part"
+            with where.open_output_stream(part, compression=None) as out:
+                out.write(content)
+            where.move(part, f"{root}/{name}")
+            return name, None
+
         for batch in batches:
-            for name, content in zip(batch.column("file_name").to_pylist(), batch.column("content"), strict=True):
-                with where.open_output_stream(f"{root}/{name}") as out:
-                    out.write(content.as_py())
-            yield batch.select(["file_name", "text"])
+            done = [written(name, content.as_py()) for name, content in zip(batch.column("file_name").to_pylist(), batch.column("content"), strict=True)]
+            names, errors = zip(*done, strict=True) if done else ((), ())
+            yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), batch.column("text"), pa.array(errors, pa.string())], ["file_name", "text", "error"])
+
+    return plan.select("file_name", "text", "content").mapInArrow(run, "file_name string, text string, error string")
+
+
+def extract(rows: DataFrame, folder: str, limit: int | None = None, encode: Callable[[bytes], bytes] | None = None) -> dict[str, int]:
+    """Media of ``rows`` as files in ``folder`` beside ``metadata.csv`` (file_name, text); how many, and how many failed.
 
-    return plan.mapInArrow(run, "file_name string, text string")
+    Rows without media count as failed, as do those that can't be encoded.
+    """
+    done = workspace.saved(write_files(planned(rows, limit=limit), folder, encode), "extracted")
+    done.filter("error is null").select("file_name", "text").write.mode("overwrite").option("header", True).option("escape", '"').csv(f"{folder}/metadata.csv")
+    n, errors = done.agg(F.count("*"), F.count("error")).first()
+    empty = 0 if limit is not None else rows.count() - n
+    return {"files": n - errors, "errors": errors + empty}
 
 
 def video_sidecar(info: Column, source: str) -> Column:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import workspace
 from ..functions import text as tx
-from ..operators import clips, hosts, loudness, signals, speakers
+from ..operators import clips, extraction, hosts, loudness, signals, speakers
 from ..providers import OutOfMemory, energy_gate
 from ..sources import feeds, headers
 
@@ -101,6 +101,14 @@ def hosted_model(spark, sf_dir):
     return hosts.hosted(rows, "shouts", _shouts, ["said"], "out", "string", 64).select("conv_id", "turn", "out")
 
 
+def extracted_media(spark, sf_dir):
+    """Vectors as WAVs in rows that share a hundred names, written as files; the metadata that names them."""
+    rows = _wav(spark, sf_dir).select(F.struct(F.col("content").alias("bytes"), F.format_string("in/clip %02d.wav", F.col("vec_id") % 100).alias("path")).alias("audio"), F.col("vec_id").cast("string").alias("text"), (F.col("vec_id") % 7).alias("shard"), F.col("vec_id").alias("row"))
+    out = workspace.new_folder(spark, "extracted")
+    extraction.extract(rows, out)
+    return spark.read.schema("file_name string, text string").option("header", True).option("escape", '"').csv(f"{out}/metadata.csv")
+
+
 PATTERN = "/[a-m][^/]*$"
 
 
@@ -111,7 +119,7 @@ def detail_links(spark, sf_dir):
     return feeds.followed_audio(pages, pages.select(at.alias("url"), "html"), PATTERN, 5).select("url", "listing_page", F.col("place.pos").alias("pos"), (F.col("place.detail") >= 0).alias("followed"))
 
 
-QUERIES = {f.__name__: f for f in (speech_intervals, diarised_segments, loudness_levels, header_durations, recordings_written, hosted_model, detail_links)}
+QUERIES = {f.__name__: f for f in (speech_intervals, diarised_segments, loudness_levels, header_durations, recordings_written, hosted_model, extracted_media, detail_links)}
 _HREFS = r"""regexp_extract_all(html, '(?i)href=["'']([^"'']+)["'']', 1)"""
 SQL = {
     "speech_intervals": """WITH f AS (SELECT vec_id, i, 10 * log10(embedding[i]::DOUBLE * embedding[i]::DOUBLE + 1e-12) AS db FROM (SELECT vec_id, embedding, unnest(range(1, 65)) AS i FROM embeddings)),
@@ -121,6 +129,7 @@ SELECT vec_id, round((min(i) - 1) * 30 / 1000e0, 3) AS start, round(max(i) * 30
     "loudness_levels": "SELECT vec_id, (-10 - vec_id % 30)::INT AS lufs, -23::INT AS after FROM embeddings",
     "header_durations": "SELECT vec_id, 64 * (vec_id % 50 + 1) / 8000e0 AS seconds FROM embeddings",
     "recordings_written": "SELECT vec_id // 8 AS run, count(*) AS parts, round(sum(64 * (vec_id % 50 + 1)) / 8000e0, 6) AS seconds, round(sum(64 * (vec_id % 50 + 1)) / 8000e0, 6) AS by_header FROM embeddings GROUP BY 1",
+    "extracted_media": """SELECT printf('clip_%02d', vec_id % 100) || CASE WHEN row_number() OVER (PARTITION BY vec_id % 100 ORDER BY vec_id % 7, vec_id) > 1 THEN printf('_shard%05d_row%06d', vec_id % 7, vec_id) ELSE '' END || '.wav' AS file_name, vec_id::VARCHAR AS text FROM embeddings""",
     "hosted_model": "SELECT conv_id, turn, CASE WHEN (conv_id + turn) % 13 <> 0 THEN upper(trim(left(regexp_replace(text, '[^ -~]', '', 'g'), 20))) END AS out FROM conversations",
     "detail_links": f"""WITH p AS (SELECT page_id AS pos, url, list_transform({_HREFS}, lambda h: regexp_extract(url, '^[a-z]+://[^/]+') || h) AS links FROM pages),
 l AS (SELECT pos, url, links, i, links[i] AS link, regexp_matches(links[i], '(?i){PATTERN}') AS hit FROM (SELECT *, unnest(range(1, len(links) + 1)) AS i FROM p)),
