@@ -16,7 +16,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import _parse_datatype_string
 from pyspark.sql.window import Window
 
-from .. import providers
+from .. import providers, workspace
 from ..functions import vectors
 from . import signals, speakers
 
@@ -168,7 +168,8 @@ def turns(found: DataFrame, segment: str, change: float = 0.45, same: float = 0.
     spans = spans.withColumn("end", F.least(F.coalesce(until, F.col("end")), F.col("end")))
     means = rows.select(segment, "_turn", F.posexplode("_e").alias("at", "v")).groupBy(segment, "_turn", "at").agg(F.avg("v").alias("v"))
     means = means.groupBy(segment, "_turn").agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "v"))), lambda x: x["v"]).alias("embedding"))
-    named = speakers.clusters(means.select(F.col(segment).alias("file_id"), F.col("_turn").alias("id"), "embedding"), same)
+    means = workspace.saved(means.select(F.col(segment).alias("file_id"), F.col("_turn").alias("id"), "embedding"), "turns")
+    named = speakers.clusters(means, same)
     named = named.select(F.col("file_id").alias(segment), F.col("id").alias("_turn"), F.col("speaker_id").alias("speaker"))
     return spans.join(named, [segment, "_turn"]).select(F.col(segment).alias("segment"), "speaker", "start", "end", (F.col("end") - F.col("start")).alias("seconds"))
 
@@ -177,4 +178,4 @@ def diarised(rows: DataFrame, segment: str, samples: str, rate: int, name: str,
     """Turns of every segment's signal, by an embedder over sliding windows; ``speakers.dominant`` sums them up."""
     cut = windows(rows.select(segment, samples), samples, rate, seconds, hop).withColumn("rate", F.lit(rate))
     found = embedded(cut, name, make, samples, "rate").drop(samples, "rate")
-    return turns(found, segment, change, same)
+    return turns(workspace.saved(found, "windows"), segment, change, same)
