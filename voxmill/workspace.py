@@ -80,10 +80,3 @@ def recover(spark: SparkSession, path: str) -> None:
             store.delete(aside, True)
         else:
             _renamed(store, aside, target)
-
-
-def drop(df: DataFrame) -> None:
-    """Delete a table that ``saved`` wrote and that nothing reads any more."""
-    for file in df.inputFiles()[:1]:
-        store, folder = _store(df.sparkSession, file.rsplit("/", 1)[0])
-        store.delete(folder, True)
