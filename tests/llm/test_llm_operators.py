@@ -496,6 +496,40 @@ def test_ngram_join_of_a_group_in_pieces(spark, monkeypatch):
     assert got == brute_components(rows)[0] and got[10] == 5
 
 
+def template_rows():
+    """Texts with a template and more or less of their own, two of them near each other in the crowd."""
+    template = words(100, 31)
+    rows = [(k, " ".join([*template, *words(rng_size, 4000 + k)])) for k, rng_size in enumerate([25] * 60 + [14, 13, 12, 11, 10, 9, 8] * 6)]
+    twin = words(25, 4003)
+    return rows + [(500, " ".join([*template, *twin[:-1], "other"])), (501, " ".join([*template[:80], *words(30, 77)])), (502, " ".join(template))]
+
+
+@pytest.mark.parametrize(("tile", "group"), [(400_000, 4096), (1_500, 4096), (600, 8)])
+def test_ngram_join_of_a_template_with_pilots_and_tiles(spark, monkeypatch, tile, group):
+    monkeypatch.setattr(ngram_join, "TILE_SHINGLES", tile)
+    monkeypatch.setattr(ngram_join, "GROUP_PAIRS", group)
+    monkeypatch.setattr(ngram_join, "PILOTS", 3)
+    for rows in (template_rows(), near_rows(7)):
+        got = ngram_join.joined(docs_of(spark, rows)).collect()
+        assert {r.doc_id: r.component_id for r in got} == brute_components(rows)[0]
+
+
+def test_near_misses_of_one_template_meet_nobody(spark):
+    """25 words of their own beside a template of 100: each pair falls short, and no group is left."""
+    rows = [(k, " ".join([*words(100, 31), *words(25, 9000 + k)])) for k in range(300)]
+    sets, table = ngram_join.sets_of(docs_of(spark, rows))
+    assert table.sum() == sum(r.n for r in sets.collect())
+    assert ngram_join.groups_of(ngram_join.prefixes(docs_of(spark, rows), table)).count() == 0
+
+
+def test_partners_equal_brute_force():
+    rng = random.Random(3)
+    for _ in range(200):
+        sets = sorted((n, 9 * (n - rng.randrange(n // 5 + 1)) // 4 - n) for n in [rng.randrange(1, 60) for _ in range(rng.randrange(1, 12))])
+        want = [any(a != b and y[0] <= x[1] and x[0] <= y[1] for b, y in enumerate(sets)) for a, x in enumerate(sets)]
+        assert ngram_join.partnered(np.array([s[0] for s in sets]), np.array([s[1] for s in sets])).tolist() == want
+
+
 @pytest.mark.parametrize(("pilots", "walkers", "states"), [(16, 4096, 1_000_000), (1, 3, 5)])
 def test_tree_and_forest_equal_brute_force(monkeypatch, pilots, walkers, states):
     for name, value in (("PILOTS", pilots), ("WALKERS", walkers), ("STATES", states)):

@@ -4,14 +4,19 @@
    shingles in a table of fixed size. Equal sets become one class, named by its smallest id.
 2. That table orders all shingles: rarely counted ones first. Two sets that may be linked share
    one among the first 20 % of each in this order (prefix filter, exact). The documents behind
-   one such shingle form a group; pairs of a group are ruled out by size and by the distance of
-   parity bitmaps, which never exceeds the sets' difference. What is left joins documents to
-   blocks, by a spanning forest of each group and never by all its pairs.
+   one such shingle form a group. The first shingle that two sets share stands at a place in
+   each, and their overlap can't exceed what is left from there on: with its size and the place
+   of the shingle a set tells the largest partner that it may have, and groups are cut where no
+   smaller set reaches a larger one. So texts that have a template in common and too much of
+   their own meet nobody, however many they are. Other pairs are ruled out by size and by the
+   distance of parity bitmaps, which never exceeds the sets' difference. What is left joins
+   documents to blocks, by a spanning forest of each group and never by all its pairs.
 3. Each block's sets meet in a prefix tree, ordered by how many of them have a shingle. All
    sets walk it together, level by level: a branch holds the overlap with all documents below
    it, and ends when even the remaining lengths can't reach the bound, or when all that is below
-   it was joined before. Blocks above TILE_SHINGLES
-   are cut into tiles, and every two tiles meet, so no block is one task's.
+   it was joined before. A block above TILE_SHINGLES is not one task's: all its sets meet a few
+   pilots, and those that this joins to the largest component are settled. The others and the
+   settled ones are cut into tiles; every two tiles meet but for two of settled sets.
 4. The links' components, again without collecting them, give each document its answer.
 
 Cases. Null and empty texts have no set and are linked with nothing. Fewer than five words are
@@ -27,7 +32,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,6 +42,8 @@ from .shingles import mixed, shingle_set
 #: Cells of the table that counts shingles; its size is fixed, whatever the corpus.
 CELLS = 1 << 18
 SLICES = 16
+#: Tasks that add up the counts of all tasks.
+SUMS = 16
 #: Shingles of a block, or of one side of it, that one task compares, on average.
 TILE_SHINGLES = 400_000
 #: Groups above this skip the bitmaps and join their documents in a row.
@@ -72,19 +78,21 @@ def sets_of(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(none, pa.int32()), pa.array(none, pa.binary())], schema=schema)
         parts = [p.tobytes() for p in np.split(counts, SLICES)]
         none = [None] * SLICES
-        yield pa.RecordBatch.from_arrays([pa.array(none, pa.int64()), pa.array([TaskContext.get().partitionId() % 64] * SLICES, pa.int64()), pa.array(none, pa.binary()), pa.array(range(SLICES), pa.int32()), pa.array(parts, pa.binary())], schema=schema)
+        yield pa.RecordBatch.from_arrays([pa.array(none, pa.int64()), pa.array(none, pa.int64()), pa.array(none, pa.binary()), pa.array(range(SLICES), pa.int32()), pa.array(parts, pa.binary())], schema=schema)
 
     both = scratch.save(docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, digest binary, slice int, counts binary"), "sets")
 
-    def added(pdf):
-        total = np.zeros(CELLS // SLICES, dtype=np.int64)
-        for part in pdf["counts"]:
-            total += np.frombuffer(part, dtype=np.int64)
-        return pdf.iloc[:1].assign(counts=[total.tobytes()])
+    def summed(batches):
+        """The counts of a task's rows, added up as they come."""
+        total = np.zeros((SLICES, CELLS // SLICES), dtype=np.int64)
+        for batch in batches:
+            for k, part in zip(batch.column("slice").to_pylist(), batch.column("counts"), strict=True):
+                total[k] += np.frombuffer(part.as_buffer(), dtype=np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(range(SLICES), pa.int32()), pa.array([t.tobytes() for t in total], pa.binary())], names=["slice", "counts"])
 
-    parts = both.filter("slice is not null").select("slice", F.col("n").alias("salt"), "counts")
-    some = parts.groupBy("slice", "salt").applyInPandas(added, "slice int, salt long, counts binary")
-    whole = some.groupBy("slice").applyInPandas(added, "slice int, salt long, counts binary")
+    parts = both.filter("slice is not null").select("slice", "counts")
+    some = parts.mapInArrow(summed, "slice int, counts binary")  # as many rows as this has tasks
+    whole = some.repartition(SUMS).mapInArrow(summed, "slice int, counts binary").repartition(1).mapInArrow(summed, "slice int, counts binary")
     table = np.zeros(CELLS, dtype=np.int64)
     for row in whole.collect():  # SLICES rows, CELLS numbers in all
         table[row["slice"] * (CELLS // SLICES) : (row["slice"] + 1) * (CELLS // SLICES)] = np.frombuffer(row["counts"], dtype=np.int64)
@@ -150,13 +158,22 @@ def _runs(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held)
 
 
+def partnered(sizes: np.ndarray, reaches: np.ndarray) -> np.ndarray:
+    """Which of these sets have another within their reach that they are within the reach of; by rising size."""
+    before = np.concatenate([[-1], np.maximum.accumulate(reaches)])
+    second = np.concatenate([[-1], np.maximum.accumulate(np.minimum(reaches, before[:-1]))])
+    until = np.searchsorted(sizes, reaches, side="right")
+    return np.where(reaches >= sizes, second[until], before[until]) >= sizes  # a set in its own reach is not its partner
+
+
 def groups_of(firsts: DataFrame) -> DataFrame:
     """key, doc_id, star of every distinct group of documents that share a prefix shingle.
 
-    Groups with the same documents have the same key and are kept once. Documents of a very
-    large group are passed on in pieces, in the order of their ids. All pieces have the group's
-    first document and are a ``star``: only if each of its documents is joined to the first do
-    documents of two pieces meet.
+    A group is cut where the sizes rise beyond the reach of all smaller sets, and sets without a
+    partner in it are left out. Groups with the same documents have the same key and are kept
+    once. A very large group is passed on in pieces, in the order of sizes. All pieces have the
+    group's first document and are a ``star``: only if each of its documents is joined to the
+    first do documents of two pieces meet.
     """
 
     def run(batches):
@@ -164,8 +181,9 @@ def groups_of(firsts: DataFrame) -> DataFrame:
         seen: set[bytes] = set()
         keys, ids, stars = [], [], []
 
-        def piece(parts: list[np.ndarray], star: bool):
-            docs = np.unique(np.concatenate(parts))
+        def piece(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]], star: bool):
+            docs, sizes, reaches = (np.concatenate(p) for p in zip(*parts, strict=True))
+            docs = np.unique(docs if star else docs[partnered(sizes, reaches)])
             if len(docs) < 2:
                 return
             key = hashlib.md5(docs.tobytes() + (b"*" if star else b"")).digest()
@@ -180,24 +198,33 @@ def groups_of(firsts: DataFrame) -> DataFrame:
         def record():
             return pa.RecordBatch.from_arrays([pa.concat_arrays(keys), pa.concat_arrays(ids), pa.concat_arrays(stars)], schema=schema)
 
-        token, held, size, cut = None, [], 0, False
+        token, far, held, size, cut = None, -1, [], 0, False
         for batch in batches:
-            tokens, docs = batch.column("token").to_numpy(), batch.column("doc_id").to_numpy()
-            cuts = np.concatenate([[0], np.flatnonzero(tokens[1:] != tokens[:-1]) + 1, [len(tokens)]])
-            # alone in this batch and neither its first nor last token: no group
+            if not batch.num_rows:
+                continue
+            tokens, docs, packed = (batch.column(c).to_numpy() for c in ("token", "doc_id", "packed"))
+            sizes, reaches = packed >> 32, packed & 0xFFFFFFFF
+            # each shingle's numbers lie above those of the one before it
+            above = np.cumsum(np.concatenate([[0], tokens[1:] != tokens[:-1]])) << 40
+            ahead = np.maximum.accumulate(np.concatenate([[far if tokens[0] == token else -1], above + reaches]))
+            begins = above + sizes > ahead[:-1]
+            token, far = tokens[-1], int(ahead[-1] - above[-1])
+            cuts = np.concatenate([np.flatnonzero(begins), [len(tokens)]])
+            if cuts[0] > 0:
+                cuts = np.concatenate([[0], cuts])
+            # alone in this batch and neither its first nor last: no group
             wide = np.flatnonzero((np.diff(cuts) > 1) | (np.arange(len(cuts) - 1) == 0) | (np.arange(len(cuts) - 1) == len(cuts) - 2))
             for k in wide.tolist():
                 a, b = cuts[k], cuts[k + 1]
-                if token is not None and tokens[a] != token:
+                if begins[a]:
                     if size > 1:
                         piece(held, cut)
                     held, size, cut = [], 0, False
-                token = tokens[a]
-                held.append(docs[a:b])
+                held.append((docs[a:b], sizes[a:b], reaches[a:b]))
                 size += b - a
                 if size > 4 * GROUP_PAIRS:  # pass on what is here; its first document links it with the rest
                     piece(held, True)
-                    held, size, cut = [held[0][:1]], 1, True
+                    held, size, cut = [tuple(x[:1] for x in held[0])], 1, True
             if sum(map(len, ids)) > 50_000:
                 yield record()
                 keys, ids, stars = [], [], []
@@ -206,8 +233,10 @@ def groups_of(firsts: DataFrame) -> DataFrame:
         if ids:
             yield record()
 
-    rows = firsts.select("doc_id", F.explode("prefix").alias("token")).repartition("token").sortWithinPartitions("token", "doc_id")
-    return rows.mapInArrow(run, "key binary, doc_id long, star boolean").distinct()
+    # the largest set that may be linked, if this is the first shingle of both: n - at >= required(n, most)
+    most = F.floor(9 * (F.col("n") - F.col("at")) / 4).cast("long") - F.col("n")
+    rows = firsts.select("doc_id", "n", F.posexplode("prefix").alias("at", "token")).select("doc_id", "token", (F.shiftleft("n", 32) + most).alias("packed"))
+    return rows.repartition("token").sortWithinPartitions("token", "packed", "doc_id").mapInArrow(run, "key binary, doc_id long, star boolean").distinct()
 
 
 class Forest:
@@ -424,14 +453,18 @@ def tree_links(blocks: np.ndarray, sets: list[np.ndarray], sides: np.ndarray) ->
     return [(int(rows[a]), int(rows[b])) for a, b in runs.joined]
 
 
-def links(docs: DataFrame, blocks: DataFrame) -> DataFrame:
-    """a, b: a spanning forest of the links inside each block. ``blocks``: doc_id, block, weight."""
+def links(docs: DataFrame, seats: DataFrame) -> DataFrame:
+    """a, b: a spanning forest of the links inside each tile and between two tiles that meet.
+
+    ``seats``: doc_id, block, tile of the document, low and high, the tiles that its tile meets.
+    """
 
     def sets(batches):
-        schema = pa.schema([("doc_id", pa.int64()), ("block", pa.int64()), ("tiles", pa.int64()), ("n", pa.int64()), ("tokens", pa.binary())])
+        seat = ["doc_id", "block", "tile", "low", "high"]
+        schema = pa.schema([*((c, pa.int64()) for c in seat), ("n", pa.int64()), ("tokens", pa.binary())])
         for batch in batches:
             own = [shingle_set(t.as_py()) for t in batch.column("text")]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("block"), batch.column("tiles"), pa.array([len(s) for s in own], pa.int64()), pa.array([s.tobytes() for s in own], pa.binary())], schema=schema)
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in seat), pa.array([len(s) for s in own], pa.int64()), pa.array([s.tobytes() for s in own], pa.binary())], schema=schema)
 
     def run(batches):
         schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
@@ -454,21 +487,51 @@ def links(docs: DataFrame, blocks: DataFrame) -> DataFrame:
         if held:
             yield flush()
 
-    tiled = blocks.withColumn("tiles", F.ceil(F.col("weight") / TILE_SHINGLES).cast("long")).select("doc_id", "block", "tiles")
-    if tiled.limit(joins.BROADCAST_ROWS + 1).count() <= joins.BROADCAST_ROWS:
-        tiled = F.broadcast(tiled)
-    rows = docs.select("doc_id", "text").join(tiled, "doc_id").mapInArrow(sets, "doc_id long, block long, tiles long, n long, tokens binary")
+    rows = docs.select("doc_id", "text").join(_few(seats), "doc_id").mapInArrow(sets, "doc_id long, block long, tile long, low long, high long, n long, tokens binary")
     # a document of tile t goes to the task of every pair of tiles that has t
-    tile = F.pmod(F.xxhash64("doc_id"), F.col("tiles"))
-    rows = rows.withColumn("tile", tile).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1)))
+    rows = rows.withColumn("other", F.explode(F.sequence("low", "high")))
     side = F.when(F.col("tile") == F.col("other"), 0).when(F.col("tile") < F.col("other"), 1).otherwise(2).cast("long")
     task = F.concat_ws("/", "block", F.least("tile", "other"), F.greatest("tile", "other"))
-    # sets of like sizes share a tree, as its depth is that of the largest
-    depth = F.floor(F.log2(F.col("n") + 1)).cast("int")
-    rows = rows.select("doc_id", "n", "tokens", side.alias("side"), task.alias("task"), depth.alias("depth"))
+    rows = rows.select("doc_id", "n", "tokens", side.alias("side"), task.alias("task"))
     return rows.repartition("task").sortWithinPartitions("task").mapInArrow(run, "a long, b long")
 
 
+def _few(df: DataFrame) -> DataFrame:
+    """``df``, which is written and narrow, to be broadcast if it has few rows."""
+    return F.broadcast(df) if df.limit(joins.BROADCAST_ROWS + 1).count() <= joins.BROADCAST_ROWS else df
+
+
+def block_links(docs: DataFrame, blocks: DataFrame) -> DataFrame:
+    """a, b: what joins the documents of each block as their links do. ``blocks``: doc_id, block, size, weight."""
+    tiles = F.ceil(F.col("weight") / TILE_SHINGLES).cast("long")
+    tile = F.pmod(F.xxhash64("doc_id"), F.col("tiles"))
+    zero = F.lit(0).cast("long")
+    held = blocks.withColumn("tiles", tiles)
+    small = held.filter("tiles <= 1").select("doc_id", "block", zero.alias("tile"), zero.alias("low"), zero.alias("high"))
+    large = held.filter("tiles > 1")
+    if not large.limit(1).count():
+        return links(docs, scratch.save(small, "seats"))
+    # every set is in a tile of its own number, and the pilots, some PILOTS a block, meet each tile
+    pilot = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.col("size")) < PILOTS
+    first = large.select("doc_id", "block", (tile + 1).alias("tile"), zero.alias("low"), zero.alias("high"))
+    pilots = large.filter(pilot).select("doc_id", "block", zero.alias("tile"), (zero + 1).alias("low"), F.col("tiles").alias("high"))
+    near = scratch.save(links(docs, scratch.save(first.unionByName(pilots), "seats")), "pilot_links")
+    found = components(near)
+    label = F.coalesce("root", "doc_id")
+    named = scratch.save(large.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(*large.columns, label.alias("label")), "labels")
+    most = named.groupBy("block", "label").agg(F.count("*").alias("rows"), F.first("size").alias("size"), F.first("tiles").alias("tiles"))
+    most = most.groupBy("block").agg(F.max_by("label", F.struct("rows", "label")).alias("main"), F.max("rows").alias("settled"), F.first("size").alias("size"), F.first("tiles").alias("all"))
+    share = F.col("settled") / F.col("size")
+    most = most.select("block", "main", "size", F.ceil(F.col("all") * (1 - share)).cast("long").alias("loose"), F.ceil(F.col("all") * share).cast("long").alias("rest"))
+    # loose sets meet all tiles, settled ones the tiles of loose sets
+    met = joins.weighted_join(named.select("doc_id", "block", "label"), scratch.save(most, "mains"), ["block"], "size", "inner").filter("loose > 0")
+    settled = F.col("label") == F.col("main")
+    number = F.when(settled, F.col("loose") + F.pmod(F.xxhash64("doc_id"), F.col("rest"))).otherwise(F.pmod(F.xxhash64("doc_id"), F.col("loose")))
+    last = F.when(settled, F.col("loose") - 1).otherwise(F.col("loose") + F.col("rest") - 1)
+    seats = small.unionByName(met.select("doc_id", "block", number.alias("tile"), zero.alias("low"), last.alias("high")))
+    return links(docs, scratch.save(seats, "seats")).unionByName(near)
+
+
 def joined(docs: DataFrame) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id."""
     scratch.bound_batches(docs.sparkSession)
@@ -490,7 +553,7 @@ def joined(docs: DataFrame) -> DataFrame:
     sizes = firsts.groupBy("doc_id").agg(F.sum("n").alias("n"))
     weights = whole.join(sizes, "doc_id").groupBy("block").agg(F.count("*").alias("size"), F.sum("n").alias("weight"))
     sized = joins.weighted_join(whole, weights, ["block"], "size", "inner")
-    edges = links(single, scratch.save(sized, "block_sizes"))
+    edges = block_links(single, scratch.save(sized, "block_sizes"))
     if several.limit(1).count():  # the sets of one id are one node
         own = joins.keyed_filter(some, several, ["doc_id"], "left_semi").join(classes, "digest")
         edges = edges.unionByName(own.select(F.col("doc_id").alias("a"), F.col("rep").alias("b")))
