@@ -160,3 +160,9 @@ def test_targets_and_data_source(spark, tmp_path):
     (tmp_path / "f.xml").write_text(RSS)
     df = spark.read.format(registry.register(spark, "rss")).option("paths", f"{tmp_path}/f.xml,{tmp_path}/gone.xml").load()
     assert feeds.episodes(df).count() == 2
+
+
+def test_plan_of_the_spoken_form(spark):
+    plans = spark.createDataFrame([("1",)], "a string").select(tx.spoken_form(F.col("a")))._jdf.queryExecution()
+    sizes = [len(p.toString()) for p in (plans.analyzed(), plans.optimizedPlan(), plans.executedPlan())]
+    assert max(sizes) < 20_000, sizes

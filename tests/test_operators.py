@@ -153,6 +153,27 @@ def test_crash_before_the_manifest(spark, tmp_path):
     assert data.metadata().count() == spark.read.parquet(data.part("data")).count() == 3
 
 
+def test_reconciled_metadata_and_written_report(spark, tmp_path):
+    import shutil
+
+    data = packaging.Dataset(spark, f"file://{tmp_path}/d", TIERS)
+    assert data.reconcile() == 0
+    data.append(packaged_rows(spark, 3))
+    first = next(p.name for p in (tmp_path / "d" / "manifest").iterdir() if p.name.startswith("batch="))
+    data.append(packaged_rows(spark, 5))
+    assert data.reconcile() == 0
+    shutil.rmtree(tmp_path / "d" / "manifest" / first)  # these three are no longer done
+    assert data.reconcile() == 3 and data.reconcile() == 0
+    rows = spark.read.option("header", True).csv(data.part("metadata"))
+    assert sorted((r.id, r.text, r.file_name) for r in rows.collect()) == [(f"s00{k}", "chữ", f"wav/train/s00{k}.wav") for k in (3, 4)]
+    assert data.append(packaged_rows(spark, 5))["new"] == 3 and data.metadata().count() == 5
+    for n in (5, 2):
+        page = spark.read.text(data.write_report(packaged_rows(spark, n))).first()[0]
+        assert f"<h2>Totals</h2><table><tr><th>n</th><th>hours</th><th>n_speakers</th></tr><tr><td>{n}</td>" in page
+    shutil.rmtree(tmp_path / "d" / "manifest")
+    assert data.reconcile() == 5
+
+
 def test_rebuild_and_shards(spark, tmp_path):
     data = packaging.Dataset(spark, f"file://{tmp_path}/d", TIERS, shard_bytes=6)
     data.append(packaged_rows(spark, 5))

@@ -63,30 +63,29 @@ def character_error_rate(reference: Column, other: Column) -> Column:
     return F.when((reference == "") & (other == ""), 0.0).when((reference == "") | (other == ""), 1.0).otherwise(distance)
 
 
-def _below_thousand(n: Column, full: Column) -> Column:
-    """A group of three digits; ``full`` also says hundreds that are zero."""
+def _said(d: Column) -> Column:
+    """A group of three digits (h, t, o) and its unit; ``full`` also says hundreds that are zero."""
     digit = F.array(*[F.lit(w) for w in DIGIT_WORDS])
 
-    def word(d: Column) -> Column:
-        return F.element_at(digit, d.cast("int") + 1)
+    def word(k: Column) -> Column:
+        return F.element_at(digit, k.cast("int") + 1)
 
-    hundred, ten, one = F.floor(n / 100), F.floor(n % 100 / 10), n % 10
-    hundreds = F.when((hundred > 0) | full, F.concat(word(hundred), F.lit(" trăm")))
-    tens = F.when((ten == 0) & (one > 0) & ((hundred > 0) | full), F.lit("lẻ")).when(ten == 1, F.lit("mười")).when(ten > 1, F.concat(word(ten), F.lit(" mươi")))
-    ones = F.when((one == 5) & (ten >= 1), F.lit("lăm")).when((one == 1) & (ten > 1), F.lit("mốt")).when(one > 0, word(one))
-    return F.concat_ws(" ", hundreds, tens, ones)
+    hundreds = F.when((d.h > 0) | d.full, F.concat(word(d.h), F.lit(" trăm")))
+    tens = F.when((d.t == 0) & (d.o > 0) & ((d.h > 0) | d.full), F.lit("lẻ")).when(d.t == 1, F.lit("mười")).when(d.t > 1, F.concat(word(d.t), F.lit(" mươi")))
+    ones = F.when((d.o == 5) & (d.t >= 1), F.lit("lăm")).when((d.o == 1) & (d.t > 1), F.lit("mốt")).when(d.o > 0, word(d.o))
+    return F.concat_ws(" ", hundreds, tens, ones, F.nullif(d.unit, F.lit("")))
 
 
 def number_in_words(n: Column) -> Column:
-    """A whole number of up to 18 digits in Vietnamese words."""
-    size = F.abs(n)
-    parts = []
-    for k in range(len(UNIT_WORDS) - 1, -1, -1):
-        group = _div(size, 1000**k) % 1000
-        above = _div(size, 1000 ** (k + 1)) > 0 if k < 5 else F.lit(False)
-        said = _below_thousand(group, above)
-        parts.append(F.when(group > 0, F.concat_ws(" ", said, F.lit(UNIT_WORDS[k]) if UNIT_WORDS[k] else F.lit(None).cast("string"))))
-    spoken = F.concat_ws(" ", *parts)
+    """A whole number of up to 18 digits in Vietnamese words.
+
+    Groups and digits are variables of nested transforms, so that each is stated once in the plan.
+    """
+    units = F.array(*[F.struct(F.lit(1000**k).alias("scale"), F.lit(UNIT_WORDS[k]).alias("unit")) for k in range(len(UNIT_WORDS) - 1, -1, -1)])
+    upto = F.transform(units, lambda u: F.struct(_div(F.abs(n), u.scale).alias("n"), u.unit.alias("unit")))
+    groups = F.transform(upto, lambda u: F.struct((u.n % 1000).alias("g"), (u.n >= 1000).alias("full"), u.unit.alias("unit")))
+    digits = F.transform(F.filter(groups, lambda u: u.g > 0), lambda u: F.struct(_div(u.g, F.lit(100)).alias("h"), (_div(u.g, F.lit(10)) % 10).alias("t"), (u.g % 10).alias("o"), u.full.alias("full"), u.unit.alias("unit")))
+    spoken = F.array_join(F.transform(digits, _said), " ")
     return F.when(n == 0, F.lit(DIGIT_WORDS[0])).when(n < 0, F.concat(F.lit("âm "), spoken)).otherwise(spoken)
 
 
@@ -94,15 +93,16 @@ def number_in_words(n: Column) -> Column:
 DIGITS = tuple("".join(c) for c in zip(*[(chr(c), str(unicodedata.digit(chr(c)))) for c in range(128, 0x1FFFF) if unicodedata.category(chr(c)) == "Nd"], strict=True))
 
 
-def _div(n: Column, by: int) -> Column:
+def _div(n: Column, by: Column) -> Column:
     """Whole division."""
-    return F.call_function("div", n, F.lit(by))
+    return F.call_function("div", n, by)
 
 
 def spoken_form(text: Column) -> Column:
     """NFC, numbers (cut every 15 digits of any script) in words, white space collapsed; null is empty."""
     parts = F.regexp_extract_all(nfc(F.coalesce(text, F.lit(""))), F.lit(r"\p{Nd}{1,15}|\P{Nd}+"), F.lit(0))
-    said = F.transform(parts, lambda p: F.when(p.rlike(r"^\p{Nd}"), number_in_words(F.translate(p, *DIGITS).try_cast("bigint"))).otherwise(p))
+    numbered = F.transform(parts, lambda p: F.struct(p.alias("part"), F.when(p.rlike(r"^\p{Nd}"), F.translate(p, *DIGITS).try_cast("bigint")).alias("n")))
+    said = F.transform(numbered, lambda p: F.when(p.n.isNull(), p.part).otherwise(number_in_words(p.n)))
     return F.trim(F.regexp_replace(F.array_join(said, ""), WHITE_SPACE, " "))
 
 

@@ -8,6 +8,7 @@ batch that broke off is written to the same places again.
 
 from __future__ import annotations
 
+import html
 import uuid
 from collections.abc import Sequence
 
@@ -57,6 +58,7 @@ class Dataset:
     def check_config(self) -> None:
         """Refuse to append to a dataset that other rules made; remember ours if there is none."""
         workspace.recover(self.spark, self.path)
+        workspace.recover(self.spark, self.part("metadata"))
         if workspace.exists(self.spark, self.part("config")):
             if self.spark.read.text(self.part("config")).first()[0] != self.hash:
                 raise ConfigChanged("tiers, keep or split differ from those of the dataset")
@@ -72,6 +74,27 @@ class Dataset:
         done = self.manifest().select("batch").distinct()
         return rows.join(done, "batch", "left_semi")
 
+    def reconcile(self) -> int:
+        """Remove metadata of ids that no manifest row names; how many went.
+
+        Rows of a batch that broke off before its manifest, or whose ids were taken from the manifest
+        since, go; the rest are written beside the old metadata and take their place when they are whole.
+        """
+        place = self.part("metadata")
+        workspace.recover(self.spark, place)
+        if not workspace.exists(self.spark, place):
+            return 0
+        rows, manifest = self.spark.read.option("header", True).csv(place), self.manifest()
+        if "batch" not in rows.columns:  # no batch has a row
+            return 0
+        done = rows.select("id").limit(0) if manifest is None else manifest.select(F.col("id").cast("string"))
+        removed = rows.join(done, "id", "left_anti").count()
+        if removed:
+            fresh = f"{place}.rewrite-{uuid.uuid4().hex}"
+            rows.join(done, "id", "left_semi").select(*METADATA, "batch").write.partitionBy("batch").option("header", True).csv(fresh)
+            workspace.replace(self.spark, fresh, place)
+        return removed
+
     def append(self, rows: DataFrame, missing: DataFrame | None = None) -> dict[str, int]:
         """Package what is not packaged yet; rows in ``missing`` (id) wait for their media."""
         self.check_config()
@@ -119,11 +142,20 @@ class Dataset:
         return done
 
     def report(self, rows: DataFrame) -> str:
-        """An HTML page with the tables by tier and by split."""
+        """An HTML page with the totals of what is kept and the tables by tier and by split."""
         held = decided(rows, self.tiers, self.val, self.test, self.seed)
-        tables = {"tier": tiering.by_tier(held).orderBy("tier"), "split": tiering.by_split(held.filter(tiering.is_kept(F.col("tier"), self.keep)))}
+        kept = held.filter(tiering.is_kept(F.col("tier"), self.keep))
+        tables = {"Totals": tiering.totals(kept), "By tier": tiering.by_tier(held).orderBy("tier"), "By split": tiering.by_split(kept)}
         parts = []
         for name, df in tables.items():  # a handful of rows each
-            cells = "".join("<tr>" + "".join(f"<td>{'-' if v is None else f'{v:.2f}' if isinstance(v, float) else v}</td>" for v in row) + "</tr>" for row in df.collect())
-            parts.append(f"<h2>By {name}</h2><table><tr>{''.join(f'<th>{c}</th>' for c in df.columns)}</tr>{cells}</table>")
+            cells = "".join("<tr>" + "".join(f"<td>{'-' if v is None else f'{v:.2f}' if isinstance(v, float) else html.escape(str(v))}</td>" for v in row) + "</tr>" for row in df.collect())
+            parts.append(f"<h2>{name}</h2><table><tr>{''.join(f'<th>{c}</th>' for c in df.columns)}</tr>{cells}</table>")
         return f"<html><body>{''.join(parts)}</body></html>"
+
+    def write_report(self, rows: DataFrame) -> str:
+        """Write the report beside the data, in place of an earlier one; its folder."""
+        place = self.part("report")
+        fresh = f"{place}.new-{uuid.uuid4().hex}"
+        self.spark.createDataFrame([(self.report(rows),)], "value string").coalesce(1).write.text(fresh)
+        workspace.replace(self.spark, fresh, place)
+        return place
