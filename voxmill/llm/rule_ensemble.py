@@ -5,6 +5,11 @@ conjunction of bounds), a lasso logistic regression over the rules, and the rule
 a weight compiled to one column expression. Trees and weights are fitted by Spark ML on at most
 ``max_rows`` labelled rows, chosen by a hash of the id; the score itself is a native expression.
 
+The rows are dealt to FOLDS by the hash of the id. Trees and weights are fitted without each fold in
+turn, for every penalty of PENALTIES, and the penalty is that with the smallest log loss on the rows
+left out. The ensembles fitted with it are averaged, so a document's score tells in how many
+of them which rules hold.
+
 Cases. Null and empty texts have statistics of 0 and get a score. Rows are scored one by one,
 so ties and repeats need no rule. Labels of unknown documents, null labels and labels that
 disagree evenly are left out. Without labels of both kinds the score is the smoothed share of
@@ -16,11 +21,13 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.util import inheritable_thread_target
 
 from . import scratch
 from .host_rules import SYMBOLS, repeated_line_count
@@ -28,7 +35,9 @@ from .words import words_of
 
 #: The rows that the trees and weights are fitted on, at most.
 MAX_ROWS = 20_000
-TREES, DEPTH, LASSO, SEED = 24, 3, 0.002, 7
+TREES, DEPTH, SEED = 24, 3, 7
+#: Parts of the training rows that are left out in turn, and the lasso's penalties to choose from.
+FOLDS, PENALTIES = 3, (0.002, 0.0005, 0.0001)
 THRESHOLD = 0.7
 STATISTICS = ("n_words", "word_length", "symbols", "upper", "digits", "exclaims", "pipes", "stops", "distinct", "repeated_lines", "line_words")
 
@@ -106,34 +115,78 @@ class Ensemble:
     intercept: float
     rules: tuple[tuple[Rule, float], ...] = ()
 
-    def score(self) -> Column:
-        """The probability of label 1, as an expression over STATISTICS."""
+    def logit(self) -> Column:
+        """The logarithm of the odds of label 1, as an expression over STATISTICS."""
         total = F.lit(self.intercept)
         for rule, weight in self.rules:
             total = total + F.when(rule.column(), F.lit(weight)).otherwise(F.lit(0.0))
-        return 1 / (1 + F.exp(-total))
+        return total
+
+    def score(self) -> Column:
+        """The probability of label 1."""
+        return 1 / (1 + F.exp(-self.logit()))
+
+    def loss(self) -> Column:
+        """The log loss of a row with ``label``, from the odds, so that sure scores have a finite one."""
+        wrong = F.when(F.col("label") == 1, -self.logit()).otherwise(self.logit())
+        return F.greatest(wrong, F.lit(0.0)) + F.log1p(F.exp(-F.abs(wrong)))
+
+
+def mean_of(ensembles: list[Ensemble]) -> Ensemble:
+    """The ensemble whose odds' logarithm is the mean of those of ``ensembles``; equal rules become one."""
+    weights: dict[Rule, float] = {}
+    for rule, weight in (pair for e in ensembles for pair in e.rules):
+        weights[rule] = weights.get(rule, 0.0) + weight / len(ensembles)
+    rules = tuple(sorted(((r, w) for r, w in weights.items() if w), key=lambda pair: str(pair[0])))
+    return Ensemble(sum(e.intercept for e in ensembles) / len(ensembles), rules)
+
+
+def grown(train: DataFrame, n: int) -> tuple[list[Rule], DataFrame]:
+    """The rules of a forest and the table (label, z) of which of them hold; ``train`` (label, STATISTICS) has n rows of both labels."""
+    names = F.array(*[F.col(c).cast("double") for c in STATISTICS])
+    rows = train.select("label", *STATISTICS, array_to_vector(names).alias("x")).coalesce(1)
+    forest = RandomForestClassifier(featuresCol="x", labelCol="label", numTrees=TREES, maxDepth=DEPTH, minInstancesPerNode=max(3, min(50, n // 100)), seed=SEED, subsamplingRate=0.8).fit(rows)
+    rules = sorted({r for tree in forest.trees for r in paths_of(tree._java_obj.rootNode(), STATISTICS)}, key=str)
+    hits = F.array(*[F.when(r.column(), 1.0).otherwise(0.0) for r in rules]).cast("array<double>")
+    return rules, scratch.save(rows.select("label", array_to_vector(hits).alias("z")), "hits").coalesce(1)
+
+
+def weighed(rules: list[Rule], hits: DataFrame, penalty: float) -> Ensemble:
+    """The rules that keep a weight under the lasso's ``penalty``."""
+    lasso = LogisticRegression(featuresCol="z", labelCol="label", elasticNetParam=1.0, regParam=penalty, maxIter=40).fit(hits)
+    weights = [float(w) for w in lasso.coefficients.toArray()]
+    return Ensemble(float(lasso.intercept), tuple((r, w) for r, w in zip(rules, weights, strict=True) if w))
 
 
 def fit(labelled: DataFrame, max_rows: int = MAX_ROWS) -> Ensemble:
-    """Fit to ``doc_id``, ``label`` (0 or 1) and STATISTICS."""
+    """Fit to ``doc_id``, ``label`` (0 or 1) and STATISTICS.
+
+    A fold whose rest has one label only is passed over; with none left, or where trees find no rule,
+    the score is the smoothed share of label 1.
+    """
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
-    rows = labelled.orderBy(*order).limit(max_rows)
+    fold = F.pmod(F.xxhash64("doc_id"), F.lit(FOLDS)).cast("int").alias("fold")
+    rows = labelled.orderBy(*order).limit(max_rows).select("doc_id", F.col("label").cast("double").alias("label"), *STATISTICS, fold)
     rows = scratch.save(rows.coalesce(1).sortWithinPartitions(*order, *STATISTICS), "training")
-    n, ones = rows.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0))).first()
+    counts = {r.fold: (r.n, r.ones) for r in rows.groupBy("fold").agg(F.count("*").alias("n"), F.sum("label").alias("ones")).collect()}  # FOLDS rows
+    n, ones = (sum(c[k] for c in counts.values()) for k in (0, 1))
     share = (ones + 1) / (n + 2)
     constant = Ensemble(math.log(share / (1 - share)))
-    if ones in (0, n):
+    parts = [k for k in range(FOLDS) if 0 < ones - counts.get(k, (0, 0.0))[1] < n - counts.get(k, (0, 0.0))[0]]
+    forests = [(k, *grown(rows.filter(F.col("fold") != k), n - counts.get(k, (0, 0.0))[0])) for k in parts]
+    forests = [(k, rules, hits) for k, rules, hits in forests if rules]
+    if not forests:
         return constant
-    names = F.array(*[F.col(c).cast("double") for c in STATISTICS])
-    train = rows.select("doc_id", F.col("label").cast("double").alias("label"), *STATISTICS, array_to_vector(names).alias("x")).coalesce(1)
-    forest = RandomForestClassifier(featuresCol="x", labelCol="label", numTrees=TREES, maxDepth=DEPTH, minInstancesPerNode=max(3, min(50, n // 100)), seed=SEED, subsamplingRate=0.8).fit(train)
-    rules = sorted({r for tree in forest.trees for r in paths_of(tree._java_obj.rootNode(), STATISTICS)}, key=str)
-    if not rules:
-        return constant
-    hits = F.array(*[F.when(r.column(), 1.0).otherwise(0.0) for r in rules])
-    lasso = LogisticRegression(featuresCol="z", labelCol="label", elasticNetParam=1.0, regParam=LASSO, maxIter=60).fit(train.select("label", array_to_vector(hits).alias("z")))
-    weights = [float(w) for w in lasso.coefficients.toArray()]
-    return Ensemble(float(lasso.intercept), tuple((r, w) for r, w in zip(rules, weights, strict=True) if w))
+    # The fits are many small jobs over one small table each, so they run side by side.
+    tasks = [(rules, hits, penalty) for _, rules, hits in forests for penalty in PENALTIES]
+    with ThreadPool(FOLDS) as pool:
+        found = pool.map(inheritable_thread_target(labelled.sparkSession)(lambda task: weighed(*task)), tasks)
+    paths = [found[at : at + len(PENALTIES)] for at in range(0, len(found), len(PENALTIES))]
+    apart = [F.when(F.col("fold") == k, e.loss()).otherwise(0.0) for (k, *_), ensembles in zip(forests, paths, strict=True) for e in ensembles]
+    told = rows.agg(*[F.sum(loss) for loss in apart]).first()
+    losses = [sum(x or 0.0 for x in told[at :: len(PENALTIES)]) for at in range(len(PENALTIES))]
+    best = losses.index(min(losses))
+    return mean_of([ensembles[best] for ensembles in paths])
 
 
 def known_labels(labels: DataFrame, column: str = "quality") -> DataFrame:
