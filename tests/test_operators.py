@@ -115,6 +115,28 @@ def test_overlap(spark):
     assert overlap.best_matches(overlap.fractions(grams, index).filter("frac > 0.5"), grams, index).first().ours == 1
 
 
+@pytest.mark.parametrize("share", [1, 4, 1000])
+def test_best_matches_of_hot_grams(spark, monkeypatch, share):
+    """One n-gram that all texts of ours have, met whole or in pieces, against counting by hand."""
+    monkeypatch.setattr(overlap, "HOT_SHARE", share)
+    ours = [(k, "hot") for k in range(60)] + [(k, f"g{k % 7}") for k in range(60)] + [(3, "rare")]
+    theirs = [(100, "hot"), (100, "hot"), (100, "g3"), (101, "g5"), (101, "rare"), (102, "none"), (103, "hot")]
+    grams = spark.createDataFrame(theirs, "key int, gram string")
+    index = spark.createDataFrame(ours, "key int, gram string")
+    got = [tuple(r) for r in overlap.best_matches(grams.select("key").distinct(), grams, index, 3).select("key", "ours", "common", "place").collect()]
+    want = []
+    for key in range(100, 104):
+        common = {}
+        for gram in [g for k, g in theirs if k == key]:
+            for text in [k for k, g in ours if g == gram]:
+                common[text] = common.get(text, 0) + 1
+        best = sorted(common.items(), key=lambda c: (-c[1], c[0]))[:3]
+        want += [(key, text, n, place) for place, (text, n) in enumerate(best, 1)]
+    assert sorted(got) == want
+    hot = overlap.in_pieces(grams.select("gram", "key"), index.select("gram", F.col("key").alias("ours")))[1]
+    assert hot.filter("gram = 'hot'").select("piece").distinct().count() > 1 or share == 1
+
+
 @pytest.mark.parametrize("few", [0, 200_000])
 def test_overlap_index_of_wanted_grams(spark, monkeypatch, few):
     monkeypatch.setattr(overlap, "FEW_GRAMS", few)

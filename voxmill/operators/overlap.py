@@ -16,6 +16,9 @@ from ..functions.windows import run_hashes
 
 #: Distinct n-grams that every task may know; more are met in a shuffle.
 FEW_GRAMS = 200_000
+#: An n-gram with more than one in HOT_SHARE rows of the index is met in PIECES tasks. There are fewer
+#: than HOT_SHARE of these, so every task may know them.
+HOT_SHARE, PIECES = 1000, 64
 
 
 def tokenised(rows: DataFrame, key: Column, text: Column) -> DataFrame:
@@ -81,10 +84,26 @@ def fractions(grams: DataFrame, grams_of_ours: DataFrame) -> DataFrame:
     return sums.withColumn("frac", F.try_divide("n_found", "n_grams"))
 
 
+def in_pieces(counted: DataFrame, ours: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both sides (with ``gram``; ours with ``ours``) with ``piece``: 0, or for a hot n-gram of ours one of PIECES.
+
+    Rows of ours go to a piece by their text, rows of the other side to all pieces.
+    """
+    least = ours.count() // HOT_SHARE
+    hot = ours.groupBy("gram").count().filter(F.col("count") > least).select("gram", F.lit(True).alias("hot"))
+    hot = F.broadcast(workspace.saved(hot, "hot_grams"))
+    split = ours.join(hot, "gram", "left").withColumn("piece", F.when(F.col("hot"), F.pmod(F.xxhash64("ours"), F.lit(PIECES)).cast("int")).otherwise(0)).drop("hot")
+    pieces = F.when(F.col("hot"), F.sequence(F.lit(0), F.lit(PIECES - 1))).otherwise(F.array(F.lit(0)))
+    return counted.join(hot, "gram", "left").withColumn("piece", F.explode(pieces)).drop("hot"), split
+
+
 def best_matches(hits: DataFrame, grams: DataFrame, grams_of_ours: DataFrame, k: int = 3) -> DataFrame:
-    """key, ours, common, place: the ``k`` texts of ours with most n-grams in common, by hit."""
+    """key, ours, common, place: the ``k`` texts of ours with most n-grams in common, by hit.
+
+    An n-gram that very many texts of ours have is met in pieces, each of some of these texts.
+    """
     counted = grams.join(hits.select("key"), "key", "left_semi").groupBy("gram", "key").agg(F.count("*").alias("times"))
-    met = counted.join(grams_of_ours.select("gram", F.col("key").alias("ours")), "gram")
-    common = met.groupBy("key", "ours").agg(F.sum("times").alias("common"))
+    counted, ours = in_pieces(counted, grams_of_ours.select("gram", F.col("key").alias("ours")))
+    common = counted.join(ours, ["gram", "piece"]).groupBy("key", "ours").agg(F.sum("times").alias("common"))
     place = F.row_number().over(Window.partitionBy("key").orderBy(F.desc("common"), "ours"))
     return common.withColumn("place", place).filter(F.col("place") <= k)
