@@ -24,7 +24,7 @@ from dataclasses import dataclass
 from multiprocessing.pool import ThreadPool
 
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.util import inheritable_thread_target
@@ -126,11 +126,6 @@ class Ensemble:
         """The probability of label 1."""
         return 1 / (1 + F.exp(-self.logit()))
 
-    def loss(self) -> Column:
-        """The log loss of a row with ``label``, from the odds, so that sure scores have a finite one."""
-        wrong = F.when(F.col("label") == 1, -self.logit()).otherwise(self.logit())
-        return F.greatest(wrong, F.lit(0.0)) + F.log1p(F.exp(-F.abs(wrong)))
-
 
 def mean_of(ensembles: list[Ensemble]) -> Ensemble:
     """The ensemble whose odds' logarithm is the mean of those of ``ensembles``; equal rules become one."""
@@ -141,21 +136,32 @@ def mean_of(ensembles: list[Ensemble]) -> Ensemble:
     return Ensemble(sum(e.intercept for e in ensembles) / len(ensembles), rules)
 
 
-def grown(train: DataFrame, n: int) -> tuple[list[Rule], DataFrame]:
-    """The rules of a forest and the table (label, z) of which of them hold; ``train`` (label, STATISTICS) has n rows of both labels."""
+def grown(rows: DataFrame, left_out: int, n: int) -> tuple[list[Rule], DataFrame]:
+    """The rules of a forest without a fold, and the table (label, fold, z) of which of them hold in every row.
+
+    The n rows of the other folds have both labels.
+    """
     names = F.array(*[F.col(c).cast("double") for c in STATISTICS])
-    rows = train.select("label", *STATISTICS, array_to_vector(names).alias("x")).coalesce(1)
-    forest = RandomForestClassifier(featuresCol="x", labelCol="label", numTrees=TREES, maxDepth=DEPTH, minInstancesPerNode=max(3, min(50, n // 100)), seed=SEED, subsamplingRate=0.8).fit(rows)
+    rows = rows.select("label", "fold", *STATISTICS, array_to_vector(names).alias("x")).coalesce(1)
+    forest = RandomForestClassifier(featuresCol="x", labelCol="label", numTrees=TREES, maxDepth=DEPTH, minInstancesPerNode=max(3, min(50, n // 100)), seed=SEED, subsamplingRate=0.8).fit(rows.filter(F.col("fold") != left_out))
     rules = sorted({r for tree in forest.trees for r in paths_of(tree._java_obj.rootNode(), STATISTICS)}, key=str)
     hits = F.array(*[F.when(r.column(), 1.0).otherwise(0.0) for r in rules]).cast("array<double>")
-    return rules, scratch.save(rows.select("label", array_to_vector(hits).alias("z")), "hits").coalesce(1)
+    return rules, scratch.save(rows.select("label", "fold", array_to_vector(hits).alias("z")), "hits").coalesce(1)
 
 
-def weighed(rules: list[Rule], hits: DataFrame, penalty: float) -> Ensemble:
-    """The rules that keep a weight under the lasso's ``penalty``."""
-    lasso = LogisticRegression(featuresCol="z", labelCol="label", elasticNetParam=1.0, regParam=penalty, maxIter=40).fit(hits)
+def weighed(rules: list[Rule], hits: DataFrame, left_out: int, penalty: float) -> tuple[Ensemble, float]:
+    """The rules that keep a weight under the lasso's ``penalty``, and the log loss of the fold left out."""
+    lasso = LogisticRegression(featuresCol="z", labelCol="label", elasticNetParam=1.0, regParam=penalty, maxIter=40).fit(hits.filter(F.col("fold") != left_out))
     weights = [float(w) for w in lasso.coefficients.toArray()]
-    return Ensemble(float(lasso.intercept), tuple((r, w) for r, w in zip(rules, weights, strict=True) if w))
+    odds = vector_to_array("rawPrediction")[1]
+    told = lasso.transform(hits.filter(F.col("fold") == left_out)).agg(F.sum(log_loss(odds))).first()[0]
+    return Ensemble(float(lasso.intercept), tuple((r, w) for r, w in zip(rules, weights, strict=True) if w)), told or 0.0
+
+
+def log_loss(logit: Column) -> Column:
+    """The log loss of a row with ``label``, from the odds, so that sure scores have a finite one."""
+    wrong = F.when(F.col("label") == 1, -logit).otherwise(logit)
+    return F.greatest(wrong, F.lit(0.0)) + F.log1p(F.exp(-F.abs(wrong)))
 
 
 def fit(labelled: DataFrame, max_rows: int = MAX_ROWS) -> Ensemble:
@@ -173,20 +179,16 @@ def fit(labelled: DataFrame, max_rows: int = MAX_ROWS) -> Ensemble:
     share = (ones + 1) / (n + 2)
     constant = Ensemble(math.log(share / (1 - share)))
     parts = [k for k in range(FOLDS) if 0 < ones - counts.get(k, (0, 0.0))[1] < n - counts.get(k, (0, 0.0))[0]]
-    forests = [(k, *grown(rows.filter(F.col("fold") != k), n - counts.get(k, (0, 0.0))[0])) for k in parts]
-    forests = [(k, rules, hits) for k, rules, hits in forests if rules]
-    if not forests:
-        return constant
+    forests = [(k, *grown(rows, k, n - counts.get(k, (0, 0.0))[0])) for k in parts]
     # The fits are many small jobs over one small table each, so they run side by side.
-    tasks = [(rules, hits, penalty) for _, rules, hits in forests for penalty in PENALTIES]
+    tasks = [(rules, hits, k, penalty) for penalty in PENALTIES for k, rules, hits in forests if rules]
+    if not tasks:
+        return constant
     with ThreadPool(FOLDS) as pool:
         found = pool.map(inheritable_thread_target(labelled.sparkSession)(lambda task: weighed(*task)), tasks)
-    paths = [found[at : at + len(PENALTIES)] for at in range(0, len(found), len(PENALTIES))]
-    apart = [F.when(F.col("fold") == k, e.loss()).otherwise(0.0) for (k, *_), ensembles in zip(forests, paths, strict=True) for e in ensembles]
-    told = rows.agg(*[F.sum(loss) for loss in apart]).first()
-    losses = [sum(x or 0.0 for x in told[at :: len(PENALTIES)]) for at in range(len(PENALTIES))]
-    best = losses.index(min(losses))
-    return mean_of([ensembles[best] for ensembles in paths])
+    each = len(tasks) // len(PENALTIES)
+    paths = [found[at : at + each] for at in range(0, len(found), each)]
+    return mean_of([ensemble for ensemble, _ in min(paths, key=lambda path: sum(loss for _, loss in path))])
 
 
 def known_labels(labels: DataFrame, column: str = "quality") -> DataFrame:
