@@ -1,7 +1,6 @@
 """Each operator on small cases: nulls, empty and long texts, ties, repeated rows, empty tables."""
 
 import hashlib
-import itertools
 import math
 import random
 import re
@@ -656,32 +655,6 @@ def test_rule_ensemble(spark, hard, empty):
     assert rule_ensemble.fit(train.filter("false").select("doc_id", "label", *rule_ensemble.STATISTICS)).rules == ()
 
 
-def test_scores_order_documents_of_one_label(spark):
-    """Labels are drawn by how bad a text is; inside each label the worse texts score lower."""
-    rng = random.Random(11)
-    rows, bad, label = [], {}, {}
-    for k in range(900):
-        bad[k] = rng.random()
-        label[k] = int(rng.random() > bad[k])
-        rows.append((k, " ".join(w.upper() + "!" if rng.random() < bad[k] else w for w in words(60, k))))
-    docs = rule_ensemble.with_statistics(docs_of(spark, rows).select("doc_id", "text"))
-    labels = spark.createDataFrame(list(label.items()), "doc_id long, label int")
-    train = docs.join(labels, "doc_id").filter("doc_id % 3 <> 0")
-    model = rule_ensemble.fit(train.select("doc_id", "label", *rule_ensemble.STATISTICS))
-    scores = {r.doc_id: r.s for r in docs.filter("doc_id % 3 = 0").select("doc_id", model.score().alias("s")).collect()}
-    for one in (0, 1):
-        ids = [k for k in scores if label[k] == one]
-        assert len({scores[k] for k in ids}) > 10
-        pairs = [(scores[a] - scores[b]) * (bad[b] - bad[a]) for a, b in itertools.combinations(ids, 2) if scores[a] != scores[b]]
-        assert np.mean([p > 0 for p in pairs]) > 0.8
-
-
-def test_mean_of_ensembles():
-    one, two = (rule_ensemble.tightened([("upper", True, v)]) for v in (0.1, 0.2))
-    got = rule_ensemble.mean_of([rule_ensemble.Ensemble(1.0, ((one, 2.0), (two, 1.0))), rule_ensemble.Ensemble(0.0, ((one, 4.0), (two, -1.0)))])
-    assert got == rule_ensemble.Ensemble(0.5, ((one, 3.0),))
-
-
 def brute_score(model, statistics):
     """The score of one row of statistics, rule by rule."""
     total = model.intercept
