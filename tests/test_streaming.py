@@ -145,3 +145,27 @@ def test_barrier_and_the_end_of_the_upstream(spark, tmp_path):
     ends.write.mode("append").parquet(f"{tmp_path}/in")
     got = [(r.file_id, r.id) for r in drained(stages.barrier(spark.readStream.schema(schema).parquet(f"{tmp_path}/in")), tmp_path)]
     assert len(got) == len(set(got)) and set(got) == want[-1] | {(3, 2), (4, 1), (2, 4)}
+
+
+def test_barrier_calls_python_for_groups_of_files(spark, tmp_path, monkeypatch):
+    """Files of one group keep apart, null's too, over restarts; states (and so calls) are as many as groups, not files."""
+    monkeypatch.setattr(stages, "GROUPS", 2)
+    schema, big = "file_id long, id long, n_segments long, end boolean", 2**60 + 1
+    rounds = [
+        [(f, i, f % 3 + 1, False) for f in range(300) for i in (1, 1, 2)] + [(None, big, 2, None), (big, big, None, None), (7, None, None, False)],
+        [(f, 3, 1, False) for f in range(300) if f % 3 == 2] + [(None, big, 9, False), (None, 1, 9, False), (big, 1, 5, False)],
+        [(big, 2, None, False), (None, None, None, True), (None, 5, None, False), (big, None, None, True), (5, 1, 3, False)],
+    ]
+    seen, known = {}, []
+    for rows in rounds:
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        got = [(r.file_id, r.id) for r in drained(stages.barrier(spark.readStream.schema(schema).parquet(f"{tmp_path}/in")), tmp_path)]
+        for f, i, n, end in rows:
+            ids, number, ended = seen.get(f, (set(), None, False))
+            if i is not None and not end:
+                ids, number = ids | {i}, n if number is None else number
+            seen[f] = ids, number, ended or bool(end)
+        known += [(f, i) for f, (ids, number, ended) in seen.items() for i in ids if (ended or number is None or len(ids) >= number) and (f, i) not in known]
+        assert len(got) == len(set(got)) and set(got) == set(known)
+    states = spark.read.format("statestore").load(f"{tmp_path}/checkpoint")
+    assert states.count() == 3

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -70,7 +71,11 @@ def ready_rows(pending: DataFrame, done: DataFrame, upstream_done: bool = False)
     return pending.join(ready.select("file_id"), "file_id", "left_semi")
 
 
-STATE = "waiting array<long>, released array<long>, expected long, ended boolean"
+#: Groups that the files of a barrier are dealt to by their hash; the files of a group share a state and a call.
+#: A checkpoint goes on with the number that it began with.
+GROUPS = 8192
+#: Packed arrays: files and the numbers they name; files that have ended; ids with their file and whether they came out.
+STATE = {"files": np.int64, "numbers": np.int64, "ended": np.int64, "owners": np.int64, "ids": np.int64, "out": np.bool_}
 
 
 def file_ends(files: DataFrame) -> DataFrame:
@@ -88,31 +93,43 @@ def barrier(stream: DataFrame) -> DataFrame:
     with ``end`` passes on what waits of its file, and all that comes after. The state holds the
     ids that wait and, so that a repeated row does not come out twice, those that came out. Rows
     without an id are left out.
+
+    Files are very many and small, and a call for each would cost far more than its few rows. So
+    Spark deals them to GROUPS groups, and each call checks all files of a group that have new rows.
     """
     rows = stream if "end" in stream.columns else stream.withColumn("end", F.lit(False))
+    ended = F.coalesce("end", F.lit(False))
+    group = F.when(F.col("file_id").isNull(), -1).otherwise(F.pmod(F.xxhash64("file_id"), F.lit(GROUPS))).cast("int")
+    # without nulls, as pandas would make such columns floats; the group of null has no other file
+    values = [F.coalesce(c, F.lit(0)).alias(c) for c in ("file_id", "id", "n_segments")]
+    held = rows.select(group.alias("group"), *values, (F.col("id").isNotNull() & ~ended).alias("given"), F.col("n_segments").isNotNull().alias("named"), ended.alias("end"))
 
     def run(key, parts, state: GroupState):
-        waiting, released, expected, ended = state.get if state.exists else ([], [], None, False)
-        waiting, released = dict.fromkeys(waiting), list(released)
-        known = {*waiting, *released}
-        for part in parts:
-            ended = ended or bool(part["end"].fillna(False).any())
-            new = part[part["id"].notna() & ~part["end"].fillna(False).astype(bool)]
-            numbers = new["n_segments"].dropna()
-            if expected is None and len(numbers):
-                expected = int(numbers.iloc[0])
-            for i in new["id"].astype("int64").tolist():
-                if i not in known:
-                    known.add(i)
-                    waiting[i] = None
-        if ended or expected is None or len(known) >= expected:
-            out, released, waiting = sorted(waiting), released + list(waiting), {}
-            if out:
-                yield pd.DataFrame({"file_id": [key[0]] * len(out), "id": out})
-        state.update((list(waiting), released, expected, ended))
-
-    held = rows.select("file_id", "id", "n_segments", "end")
-    return held.groupBy("file_id").applyInPandasWithState(run, "file_id long, id long", STATE, "append", GroupStateTimeout.NoTimeout)
+        was = dict(zip(STATE, state.get if state.exists else [b""] * len(STATE), strict=True))
+        was = {name: np.frombuffer(packed, STATE[name]) for name, packed in was.items()}
+        parts = [[part[c].to_numpy() for c in ("file_id", "id", "n_segments", "given", "named", "end")] for part in parts]
+        file, row_id, number, given, named, end = (np.concatenate(column) for column in zip(*parts, strict=True))
+        # what the state has comes first, and of equal keys the first stays
+        files, at = np.unique(np.concatenate([was["files"], file[given & named]]), return_index=True)
+        numbers = np.concatenate([was["numbers"], number[given & named]])[at]
+        ended = np.union1d(was["ended"], file[end])
+        owners, ids = np.concatenate([was["owners"], file[given]]), np.concatenate([was["ids"], row_id[given]])
+        order = np.lexsort((ids, owners))
+        new = np.ones(len(order), bool)
+        new[1:] = (np.diff(owners[order]) != 0) | (np.diff(ids[order]) != 0)
+        order = order[new]
+        owners, ids, out = owners[order], ids[order], np.concatenate([was["out"], np.zeros(given.sum(), bool)])[order]
+        _, place, count = np.unique(owners, return_inverse=True, return_counts=True)
+        short = np.isin(owners, files)
+        short[short] = count[place[short]] < numbers[np.searchsorted(files, owners[short])]
+        passed = ~short | np.isin(owners, ended)
+        if (now := passed & ~out).any():
+            found = pd.DataFrame({"file_id": owners[now], "id": ids[now]})
+            yield found if key[0] >= 0 else found.assign(file_id=pd.array([pd.NA] * len(found), "Int64"))
+        state.update(tuple(np.asarray(x, kind).tobytes() for x, kind in zip((files, numbers, ended, owners, ids, out | passed), STATE.values(), strict=True)))
+
+    schema = ", ".join(f"{name} binary" for name in STATE)
+    return held.filter("given or end").groupBy("group").applyInPandasWithState(run, "file_id long, id long", schema, "append", GroupStateTimeout.NoTimeout)
 
 
 class Gate:
