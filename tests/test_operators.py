@@ -152,6 +152,26 @@ def packaged_rows(spark, n, first=0):
     return spark.createDataFrame(rows, "id string, file_id string, speaker_id string, " + SEGMENT)
 
 
+
+def test_overlap_hands_little_to_python_at_once(spark, monkeypatch):
+    """Batches of texts are small, and words are hashed in parts without losing an n-gram at a seam or taking one over two texts."""
+    monkeypatch.setattr(overlap, "WORDS_AT_ONCE", 5)
+    before = spark.conf.get(workspace.BATCH_CONF)
+    try:
+        spark.conf.set(workspace.BATCH_CONF, "64000000b")
+        ours = {k: [f"w{(7 * k + j * j) % 23}" for j in range(size)] for k, size in enumerate((0, 2, 3, 17, 1, 40, 8))}
+        rows = spark.createDataFrame([(k, " ".join(words)) for k, words in ours.items()], "k int, t string").coalesce(1)
+        held = overlap.tokenised(rows, F.col("k"), F.col("t"))
+        assert int(spark.conf.get(workspace.BATCH_CONF).rstrip("b")) <= workspace.BATCH_BYTES
+        every = [w for words in ours.values() for w in words]
+        asked = sorted({" ".join(every[k : k + 3]) for k in range(len(every) - 2)})  # those over two texts too
+        got = overlap.index(held, 3, spark.createDataFrame([(g,) for g in asked], "gram string")).collect()
+    finally:
+        spark.conf.set(workspace.BATCH_CONF, before)
+    want = {(k, " ".join(words[j : j + 3])) for k, words in ours.items() for j in range(len(words) - 2)}
+    assert len(got) == len(want) and {(r.key, r.gram) for r in got} == want
+
+
 def test_incremental_packaging(spark, tmp_path):
     data = packaging.Dataset(spark, f"file://{tmp_path}/d", TIERS)
     assert data.append(packaged_rows(spark, 3))["new"] == 3

@@ -19,13 +19,17 @@ FEW_GRAMS = 200_000
 #: An n-gram with more than one in HOT_SHARE rows of the index is met in PIECES tasks. There are fewer
 #: than HOT_SHARE of these, so every task may know them.
 HOT_SHARE, PIECES = 1000, 64
+#: Words that a task hashes at once, whatever the length of a text.
+WORDS_AT_ONCE = 1 << 17
 
 
 def tokenised(rows: DataFrame, key: Column, text: Column) -> DataFrame:
     """key, text and its words.
 
-    The fence is not deterministic, so no later filter is moved below it to make words anew.
+    The fence is not deterministic, so no later filter is moved below it to make words anew. Texts,
+    and later their words, go to Python in small batches.
     """
+    workspace.bound_batches(rows.sparkSession)
     held = rows.select(key.alias("key"), text.alias("text"), tx.words(text).alias("words"), F.monotonically_increasing_id().alias("fence"))
     return held.filter("fence >= 0").drop("fence")
 
@@ -56,12 +60,13 @@ def _found(ours: DataFrame, n: int, wanted: list[str]) -> DataFrame:
         for batch in batches:
             words = batch.column("words").flatten()
             ends = np.cumsum(batch.column("words").value_lengths().to_numpy())
-            hashes = run_hashes(words, n)
-            text = np.searchsorted(ends, np.arange(len(hashes)), side="right")
-            at = np.flatnonzero(np.isin(hashes, known))
-            at = at[at + n <= ends[text[at]]]  # inside one text
-            grams = [" ".join(words.slice(k, n).to_pylist()) for k in at.tolist()]
-            yield pa.RecordBatch.from_arrays([batch.column("key").take(pa.array(text[at])), pa.array(grams, pa.string())], names=["key", "gram"])
+            for start in range(0, len(words), WORDS_AT_ONCE):
+                hashes = run_hashes(words.slice(start, WORDS_AT_ONCE + n - 1), n)
+                at = start + np.flatnonzero(np.isin(hashes, known))
+                text = np.searchsorted(ends, at, side="right")
+                inside = at + n <= ends[text]  # of one text
+                grams = [" ".join(words.slice(k, n).to_pylist()) for k in at[inside].tolist()]
+                yield pa.RecordBatch.from_arrays([batch.column("key").take(pa.array(text[inside])), pa.array(grams, pa.string())], names=["key", "gram"])
 
     return ours.select("key", "words").mapInArrow(run, f"key {ours.schema['key'].dataType.simpleString()}, gram string")
 

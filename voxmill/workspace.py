@@ -31,6 +31,18 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Bytes of a batch of texts that Spark hands to Python. Spark's own 64 MB become several times as much
+#: there, in each worker of an executor.
+BATCH_BYTES = 4 << 20
+BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Have the session hand rows to Python in batches of BATCH_BYTES or its own smaller size."""
+    if int(spark.conf.get(BATCH_CONF).rstrip("b")) > BATCH_BYTES:
+        spark.conf.set(BATCH_CONF, f"{BATCH_BYTES}b")
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     """Whether there is something at ``path``, in any store that Spark reads."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
