@@ -105,6 +105,42 @@ def test_speakers_of_large_files(spark, monkeypatch):
     assert {(r.file_id, r.id): r.speaker_id for r in got} == want and len(got) == len(rows)
 
 
+def test_speakers_of_several_blocks(spark, monkeypatch):
+    """A block has several strips, a file several blocks, of more rows than a task clusters."""
+    for name, rows in (("TASK_ROWS", 12), ("BLOCK_ROWS", 20), ("STRIP_ROWS", 6)):
+        monkeypatch.setattr(speakers, name, rows)
+    x = np.random.default_rng(5).normal(size=(70, 8)).astype(np.float32)
+    rows = [("a", k, [float(v) for v in r]) for k, r in enumerate(x)]
+    got = {r.id: r.speaker_id for r in speakers.clusters(spark.createDataFrame(rows, "file_id string, id int, embedding array<float>"), 0.7).collect()}
+    assert got == {k: f"a_spk{label}" for k, label in enumerate(_literal_linkage(x.astype(float), 0.7))}
+
+
+def _literal_linkage(x, threshold):
+    """Labels by merging the nearest pair of the whole matrix again and again."""
+    unit = speakers.units(x)
+    apart, size, owner = 1 - unit @ unit.T, np.ones(len(x)), np.arange(len(x))
+    np.fill_diagonal(apart, np.inf)
+    while (least := apart.min()) < threshold:
+        i, j = sorted(np.unravel_index(apart.argmin(), apart.shape))
+        row = (apart[i] * size[i] + apart[j] * size[j]) / (size[i] + size[j])
+        apart[i], apart[:, i], apart[i, i] = row, row, np.inf
+        apart[j], apart[:, j] = np.inf, np.inf
+        size[i], owner[owner == j] = size[i] + size[j], i
+    assert least >= threshold
+    names = {}
+    return [names.setdefault(o, len(names)) for o in owner.tolist()]
+
+
+def test_linkage_searches_no_whole_matrix():
+    """The labels of the plain way, also among equal distances, without a search of all distances a step."""
+    rng = np.random.default_rng(1)
+    for n, kind in ((60, "plain"), (60, "grid"), (40, "copies")):
+        x = rng.normal(size=(n, 6)) if kind == "plain" else rng.integers(-1, 2, size=(n, 3)).astype(float) + 0.0
+        x = np.repeat(x[: n // 4], 4, axis=0) if kind == "copies" else x
+        for threshold in (0.05, 0.5, 0.9):
+            assert speakers.average_linkage(x, threshold).tolist() == _literal_linkage(x, threshold), (kind, threshold)
+
+
 def test_overlap(spark):
     ours = spark.createDataFrame([(1, "a b c d e f g h i j"), (2, "x y")], "k int, t string")
     theirs = spark.createDataFrame([(7, "A, b c d e f! g h z"), (8, "q w e r t y u i o")], "k int, t string")

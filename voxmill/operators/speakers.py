@@ -11,8 +11,11 @@ from pyspark.sql.window import Window
 from .. import workspace
 from ..functions import vectors
 
-#: Rows of a file that one task clusters with a matrix of distances; also those of a block.
-TASK_ROWS = 2000
+#: Rows of a file that one task clusters with a matrix of distances (128 MB, twice that while it is made).
+TASK_ROWS = 4000
+#: Rows of a block, of which a task compares two, and of a strip, the rows compared with a block at once.
+#: Each row is sent once for each block of its file.
+BLOCK_ROWS, STRIP_ROWS = 8192, 512
 
 
 def units(x: np.ndarray) -> np.ndarray:
@@ -27,18 +30,29 @@ def average_linkage(x: np.ndarray, threshold: float, sizes: np.ndarray | None =
     """
     n = len(x)
     unit = units(x) if sizes is None else x
-    apart = 1 - unit @ unit.T
+    apart = unit @ unit.T
+    np.subtract(1, apart, out=apart)
     np.fill_diagonal(apart, np.inf)
+    near = apart.argmin(axis=1)  # each row's nearest, kept up so that no step searches the matrix
+    least = apart[np.arange(n), near]
     size, owner, alive = np.ones(n) if sizes is None else sizes.astype(np.float64), np.arange(n), n
     while alive > 1:
-        i, j = np.unravel_index(np.argmin(apart), apart.shape)
-        if apart[i, j] >= threshold:
+        i = least.argmin()
+        if least[i] >= threshold:
             break
-        i, j = min(i, j), max(i, j)
+        i, j = min(i, near[i]), max(i, near[i])
         row = (apart[i] * size[i] + apart[j] * size[j]) / (size[i] + size[j])
         apart[i], apart[:, i] = row, row
         apart[i, i] = np.inf
         apart[j], apart[:, j] = np.inf, np.inf
+        row = apart[i]
+        stale = ((near == i) | (near == j)) & ~(row <= least)
+        nearer = (row < least) | ((row == least) & (i < near))  # of equals the first
+        near[nearer], least[nearer] = i, row[nearer]
+        stale[i], stale[j], least[j] = True, False, np.inf
+        stale = np.flatnonzero(stale)
+        near[stale] = apart[stale].argmin(axis=1)
+        least[stale] = apart[stale, near[stale]]
         size[i] += size[j]
         owner[owner == j] = i
         alive -= 1
@@ -47,6 +61,31 @@ def average_linkage(x: np.ndarray, threshold: float, sizes: np.ndarray | None =
     return np.array([rank[o] for o in owner.tolist()])
 
 
+def _closest(left: np.ndarray, right: np.ndarray, same: bool) -> list[tuple[np.ndarray, np.ndarray]]:
+    """The least distance and its place in the other block, for each row of both; of one block if they are the same.
+
+    Of equals the first. No more than a strip's distances are held at once.
+    """
+    to, across = np.empty(len(left), np.int64), np.empty(len(left))
+    at, down = np.zeros(len(right), np.int64), np.full(len(right), np.inf)
+    for start in range(0, len(left), STRIP_ROWS):
+        apart = 1 - left[start : start + STRIP_ROWS] @ right.T
+        rows = np.arange(len(apart))
+        if same:
+            apart[rows, start + rows] = np.inf
+        best = apart.argmin(axis=1)
+        to[start : start + len(rows)], across[start : start + len(rows)] = best, apart[rows, best]
+        best = apart.argmin(axis=0)
+        found = apart[best, np.arange(len(right))]
+        nearer = found < down
+        at[nearer], down[nearer] = start + best[nearer], found[nearer]
+    if not same:
+        return [(across, to), (down, at)]
+    # rounding may differ between both directions of a pair, which has the lesser
+    nearer = (down < across) | ((down == across) & (at < to))
+    return [(np.where(nearer, down, across), np.where(nearer, at, to))]
+
+
 def _nearest(state: DataFrame, groups: DataFrame, threshold: float) -> DataFrame:
     """key, lo, hi: each cluster's nearest one below the threshold; of equals the first."""
 
@@ -57,13 +96,9 @@ def _nearest(state: DataFrame, groups: DataFrame, threshold: float) -> DataFrame
         right = ~left if (~left).any() or pdf["low"].iloc[0] != pdf["high"].iloc[0] else left
         out = []
         if left.any() and right.any():
-            apart = 1 - means[left] @ means[right].T
-            if right is left:
-                apart = np.minimum(apart, apart.T)
-                np.fill_diagonal(apart, np.inf)
-            for own, other, d in ((keys[left], keys[right], apart), (keys[right], keys[left], apart.T))[: 1 if right is left else 2]:
-                at = d.argmin(axis=1)
-                out.append(pd.DataFrame({"key": own, "apart": d[np.arange(len(own)), at], "other": other[at]}))
+            sides = _closest(means[left], means[right], right is left)
+            for own, other, (apart, at) in zip((keys[left], keys[right]), (keys[right], keys[left]), sides, strict=False):
+                out.append(pd.DataFrame({"key": own, "apart": apart, "other": other[at]}))
         found = pd.concat(out) if out else pd.DataFrame({"key": [], "apart": [], "other": []})
         return found[found["apart"] < threshold]
 
@@ -108,7 +143,7 @@ def _large_clusters(rows: DataFrame, threshold: float) -> DataFrame:
 
     while True:
         groups = state.groupBy("g").agg(F.count("*").alias("rows")).filter(F.col("rows") > TASK_ROWS)
-        groups = workspace.saved(groups.select("g", F.ceil(F.col("rows") / TASK_ROWS).cast("long").alias("tiles")), "groups")
+        groups = workspace.saved(groups.select("g", F.ceil(F.col("rows") / BLOCK_ROWS).cast("long").alias("tiles")), "groups")
         if groups.isEmpty():
             break
         near = workspace.saved(_nearest(state, groups, threshold), "nearest")
