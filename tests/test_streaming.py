@@ -169,3 +169,16 @@ def test_barrier_calls_python_for_groups_of_files(spark, tmp_path, monkeypatch):
         assert len(got) == len(set(got)) and set(got) == set(known)
     states = spark.read.format("statestore").load(f"{tmp_path}/checkpoint")
     assert states.count() == 3
+
+
+def test_barrier_makes_few_calls_and_keeps_its_groups(spark, tmp_path, monkeypatch):
+    """Many files are dealt to no more than 512 states, and a checkpoint is not resumed with another number of groups."""
+    files = spark.range(20_000).selectExpr("id AS file_id", "CAST(1 AS LONG) AS id", "CAST(1 + id % 2 AS LONG) AS n_segments", "false AS end")
+    files.coalesce(1).write.parquet(f"{tmp_path}/in")
+    stream = spark.readStream.schema(files.schema).parquet(f"{tmp_path}/in")
+    assert len(drained(stages.barrier(stream), tmp_path)) == 10_000
+    assert spark.read.format("statestore").load(f"{tmp_path}/checkpoint").count() <= 512
+    monkeypatch.setattr(stages, "GROUPS", 7)
+    files.limit(100).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    with pytest.raises(Exception, match="began with"):
+        drained(stages.barrier(stream), tmp_path)

@@ -71,9 +71,12 @@ def ready_rows(pending: DataFrame, done: DataFrame, upstream_done: bool = False)
     return pending.join(ready.select("file_id"), "file_id", "left_semi")
 
 
-#: Groups that the files of a barrier are dealt to by their hash; the files of a group share a state and a call.
-#: A checkpoint goes on with the number that it began with.
-GROUPS = 8192
+#: Groups that the files of a barrier are dealt to by their hash; the files of a group share a state and a call,
+#: and a call costs some 10 ms whatever its rows. A checkpoint goes on with the number that it began with, and
+#: fails with another.
+GROUPS = 512
+#: Ids that one row of a call's output has.
+IDS_AT_ONCE = 1 << 16
 #: Packed arrays: files and the numbers they name; files that have ended; ids with their file and whether they came out.
 STATE = {"files": np.int64, "numbers": np.int64, "ended": np.int64, "owners": np.int64, "ids": np.int64, "out": np.bool_}
 
@@ -98,15 +101,17 @@ def barrier(stream: DataFrame) -> DataFrame:
     Spark deals them to GROUPS groups, and each call checks all files of a group that have new rows.
     """
     rows = stream if "end" in stream.columns else stream.withColumn("end", F.lit(False))
-    ended = F.coalesce("end", F.lit(False))
-    group = F.when(F.col("file_id").isNull(), -1).otherwise(F.pmod(F.xxhash64("file_id"), F.lit(GROUPS))).cast("int")
+    ended, groups = F.coalesce("end", F.lit(False)), GROUPS
+    group = F.when(F.col("file_id").isNull(), -1).otherwise(F.pmod(F.xxhash64("file_id"), F.lit(groups))).cast("int")
     # without nulls, as pandas would make such columns floats; the group of null has no other file
     values = [F.coalesce(c, F.lit(0)).alias(c) for c in ("file_id", "id", "n_segments")]
     held = rows.select(group.alias("group"), *values, (F.col("id").isNotNull() & ~ended).alias("given"), F.col("n_segments").isNotNull().alias("named"), ended.alias("end"))
 
     def run(key, parts, state: GroupState):
-        was = dict(zip(STATE, state.get if state.exists else [b""] * len(STATE), strict=True))
-        was = {name: np.frombuffer(packed, STATE[name]) for name, packed in was.items()}
+        *packed, dealt = state.get if state.exists else (*[b""] * len(STATE), groups)
+        if dealt != groups:
+            raise ValueError(f"the checkpoint began with {dealt} groups, not {groups}")
+        was = {name: np.frombuffer(part, STATE[name]) for name, part in zip(STATE, packed, strict=True)}
         parts = [[part[c].to_numpy() for c in ("file_id", "id", "n_segments", "given", "named", "end")] for part in parts]
         file, row_id, number, given, named, end = (np.concatenate(column) for column in zip(*parts, strict=True))
         # what the state has comes first, and of equal keys the first stays
@@ -123,13 +128,17 @@ def barrier(stream: DataFrame) -> DataFrame:
         short = np.isin(owners, files)
         short[short] = count[place[short]] < numbers[np.searchsorted(files, owners[short])]
         passed = ~short | np.isin(owners, ended)
-        if (now := passed & ~out).any():
-            found = pd.DataFrame({"file_id": owners[now], "id": ids[now]})
-            yield found if key[0] >= 0 else found.assign(file_id=pd.array([pd.NA] * len(found), "Int64"))
-        state.update(tuple(np.asarray(x, kind).tobytes() for x, kind in zip((files, numbers, ended, owners, ids, out | passed), STATE.values(), strict=True)))
-
-    schema = ", ".join(f"{name} binary" for name in STATE)
-    return held.filter("given or end").groupBy("group").applyInPandasWithState(run, "file_id long, id long", schema, "append", GroupStateTimeout.NoTimeout)
+        now = passed & ~out
+        of, which = owners[now], ids[now]
+        for k in range(0, len(which), IDS_AT_ONCE):
+            yield pd.DataFrame({"null": [key[0] < 0], "file_id": [of[k : k + IDS_AT_ONCE]], "id": [which[k : k + IDS_AT_ONCE]]})
+        held = (files, numbers, ended, owners, ids, out | passed)
+        state.update((*(np.asarray(x, kind).tobytes() for x, kind in zip(held, STATE.values(), strict=True)), groups))
+
+    schema = ", ".join(f"{name} binary" for name in STATE) + ", groups int"
+    # Spark fills up each batch of output with as many empty states, so a row of output has many ids
+    out = held.filter("given or end").groupBy("group").applyInPandasWithState(run, "null boolean, file_id array<long>, id array<long>", schema, "append", GroupStateTimeout.NoTimeout)
+    return out.select("null", F.inline(F.arrays_zip("file_id", "id"))).select(F.when(~F.col("null"), F.col("file_id")).alias("file_id"), "id")
 
 
 class Gate:
